@@ -2,7 +2,7 @@
 
 Features of a text are the words and word pairs split at white space, and the same
 of the words' shapes (letters of either case, digits and other signs, runs cut to
-one), hashed into DIM places. A feature's value is its count over the square root of
+one), pairs of equal words as one feature, hashed into DIM places. A feature's value is its count over the square root of
 the sum of squared counts. The score is the logistic of the sparse dot product.
 
 Training takes a sample of about MAX_TRAIN labelled rows, drawn by hash of the id at
@@ -26,8 +26,10 @@ from lorebase.llm.batches import _mix, _ODD, KEEP, SPACES, runs, slices, with_co
 
 DIM = 1 << 20
 MAX_TRAIN = 6000
-EPOCHS, ALPHA, BETA, L1, L2 = 3, 0.5, 1.0, 0.02, 0.01
+EPOCHS, ALPHA, BETA, L1, L2 = 5, 1.0, 1.0, 0.02, 0.01
 THRESHOLD = 0.3
+#: Place of all pairs of a word with itself, whichever word it is.
+REPEAT = 7
 _SHAPE = np.full(256, ord("."), np.uint8)
 _SHAPE[[*range(97, 123), *range(128, 256)]] = ord("a")
 _SHAPE[[*range(65, 91)]] = ord("A")
@@ -65,6 +67,11 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
         for j, (x, bounds) in enumerate(((h, first), _pairs(h, first))):
             places.append((_mix(x + np.uint64(2 * k + j + 1) * _ODD) >> np.uint64(44)).astype(np.int64))
             rows.append(np.repeat(np.arange(len(offsets) - 1), np.diff(bounds)))
+        if k == 0:
+            row = rows[0]
+            again = row[1:][(h[1:] == h[:-1]) & (row[1:] == row[:-1])]
+            places.append(np.full(len(again), REPEAT))
+            rows.append(again)
     return np.concatenate(places), np.concatenate(rows)
 
 

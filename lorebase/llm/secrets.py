@@ -35,6 +35,8 @@ KINDS = (
 )
 BASE = 3
 MAX_OWNERS = 2
+#: Rows with spans that may be broadcast, some 100 MB; beyond, a shuffled join.
+MAX_BROADCAST_ROWS = 300_000
 
 
 def _spans(text: Column, kind: int, found: Column, values: Column) -> Column:
@@ -156,8 +158,8 @@ def masked(text: Column, spans: Column) -> Column:
 def mask_secrets(docs: DataFrame, max_owners: int = MAX_OWNERS, text: str = "text", owner: str = "source") -> DataFrame:
     """``docs`` with live-looking secrets masked; widely copied examples stay. All rows and columns stay.
 
-    The corpus-wide step returns the examples' hashes; the documents are not
-    shuffled but scanned again, and only rows with spans are joined.
+    The documents are scanned again and joined with the rows that have spans, which
+    are broadcast if they are few.
     """
     same = ["__id", "__hash"]
     key = {"__id": F.col("doc_id"), "__hash": F.xxhash64(text)}
@@ -171,6 +173,8 @@ def mask_secrets(docs: DataFrame, max_owners: int = MAX_OWNERS, text: str = "tex
         .dropDuplicates(["k_id", "k_hash"])
     )
     on = reduce(Column.__and__, [F.col("__id").eqNullSafe(F.col("k_id")), F.col("__hash").eqNullSafe(F.col("k_hash"))])
-    out = rows.join(spans, on, "left")
+    spans = materialise(spans, "spans")
+    small = spans.count() <= MAX_BROADCAST_ROWS
+    out = rows.join(F.broadcast(spans) if small else spans, on, "left")
     fixed = F.when(F.size("spans") > 0, masked(F.col(text), F.col("spans"))).otherwise(F.col(text))
     return out.withColumn(text, fixed).drop(*same, "k_id", "k_hash", "spans").select(*docs.columns)
