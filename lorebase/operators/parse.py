@@ -22,7 +22,8 @@ LABELS = (
     ("眼诊", "eye_diagnosis"), ("诊断", "diagnosis"), ("针灸处方", "acupuncture_rx"), ("中药处方", "herbal_rx"), ("解说", "notes"),
 )
 ENDS_COMPLAINT = ("问诊", "脉诊", "望诊", "舌诊", "眼诊", "诊断", "针灸", "中药", "解说", "备注")
-TABLE_MARKS = ("|**倪医师病案纪录**", "|**来诊原因**|")
+RECORD = "病案纪录"
+TABLE_MARKS = rf"\|\*\*[^|*]*{RECORD}\*\*|\|\*\*来诊原因\*\*\|"
 VISIT, LEAST_VISIT = "初诊日期", 50
 #: Plain text: label, field, labels one of which ends the section.
 SECTIONS = (
@@ -33,7 +34,7 @@ SECTIONS = (
 
 
 def is_table_format(text: Column) -> Column:
-    return text.contains(TABLE_MARKS[0]) | text.contains(TABLE_MARKS[1])
+    return text.rlike(TABLE_MARKS)
 
 
 def _after(line: Column, label: str) -> Column:
@@ -61,7 +62,7 @@ def table_cases(docs: DataFrame) -> DataFrame:
     """Cases of pipe tables. A line with both marks begins a case; the line after a header row holds the person."""
     lines = docs.select("path", F.posexplode(F.split(ustrip(F.col("text")), "\n")).alias("pos", "line")).withColumn("line", ustrip(F.col("line")))
     lines = lines.where("line <> ''").where(~F.col("line").rlike(r"^\|[-:]+\|$")).withColumn("line", F.regexp_replace(F.regexp_replace("line", r"^\|", ""), r"\|$", ""))
-    start = F.col("line").contains(VISIT) & F.col("line").contains("倪医师病案纪录")
+    start = F.col("line").contains(VISIT) & F.col("line").contains(RECORD)
     header = F.col("line").contains("姓名") & F.col("line").contains("性别")
     lines = lines.withColumn("kind", F.when(start, "start").when(header, "header").otherwise("line"))
     inside = Window.partitionBy("path").orderBy("pos")

@@ -10,8 +10,9 @@ from lorebase.functions.identity import key_of
 from lorebase.functions.text import blank_to_null
 from lorebase.sources.catalog import IDENTITY_FIELDS, MERGE_FIELDS
 
-#: Sources by rank; the leading source, and what marks a full row.
-LEADING, RANKS = "nihaixia", {"nihaixia": 0, "hantang": 1}
+#: Sources by rank, and the leading one: the caller's own names for them.
+LEADING, RANKS = "primary", {"primary": 0, "secondary": 1}
+#: Columns that do not count towards a full row.
 META = ("id", "name", "raw_path", "source_repo")
 
 
@@ -30,7 +31,7 @@ def fullness(df: DataFrame, meta: tuple[str, ...] = META) -> Column:
     return reduce(Column.__add__, flags, F.lit(0))
 
 
-def canonical_rows(df: DataFrame, name: str = "name", key: str = "id", tier: Column | None = None, full: Column | None = None, rank: Column | None = None) -> DataFrame:
+def canonical_rows(df: DataFrame, name: str = "name", key: str = "id", tier: Column | None = None, full: Column | None = None, rank: Column | None = None, leading: str = LEADING, ranks: dict[str, int] = RANKS) -> DataFrame:
     """(name, canonical_id, id) of every row in a group of two or more.
 
     Rows with a channel from the leading source come first, then others with a
@@ -38,10 +39,10 @@ def canonical_rows(df: DataFrame, name: str = "name", key: str = "id", tier: Col
     """
     if tier is None:
         has = blank_to_null(F.col("six_channel"), False).isNotNull()
-        tier = F.when(has & (F.col("source_repo") == LEADING), 0).when(has, 1).otherwise(2)
+        tier = F.when(has & (F.col("source_repo") == leading), 0).when(has, 1).otherwise(2)
     full = fullness(df) if full is None else full
     if rank is None:
-        rank = reduce(lambda out, s: F.when(F.col("source_repo") == s[0], s[1]).otherwise(out), RANKS.items(), F.lit(9))
+        rank = reduce(lambda out, s: F.when(F.col("source_repo") == s[0], s[1]).otherwise(out), ranks.items(), F.lit(9))
     rows = df.select(F.col(name).alias("name"), F.col(key).alias("id"), tier.alias("tier"), full.alias("full"), rank.alias("rank"))
     best = F.struct(
         "tier", F.when(F.col("tier") == 2, -F.col("full")).otherwise(0).alias("f"), F.when(F.col("tier") == 2, F.col("rank")).otherwise(0).alias("r"), "id"
@@ -112,13 +113,13 @@ def repoint_evidence(evidence: DataFrame, groups: DataFrame) -> DataFrame:
     bad = evidence.groupBy("dedupe_key").agg(F.count_distinct(content).alias("n")).where("n > 1")
     if not bad.isEmpty():
         raise Collision("evidence rows of one identity differ in content")
-    w = Window.partitionBy("dedupe_key").orderBy("id")
+    w = Window.partitionBy("dedupe_key").orderBy("id" if "id" in evidence.columns else "dedupe_key")
     return evidence.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
-def migrate(db: dict[str, DataFrame], refs: list[tuple[str, str, list[str]]], table: str = "formulas", fields: tuple[str, ...] = MERGE_FIELDS) -> dict[str, DataFrame]:
+def migrate(db: dict[str, DataFrame], refs: list[tuple[str, str, list[str]]], table: str = "formulas", fields: tuple[str, ...] = MERGE_FIELDS, leading: str = LEADING, ranks: dict[str, int] = RANKS) -> dict[str, DataFrame]:
     """The tables after all groups are merged; nothing is published here. ``refs``: (edge, fk, key of the edge)."""
-    groups = canonical_rows(db[table])
+    groups = canonical_rows(db[table], leading=leading, ranks=ranks)
     present = tuple(f for f in fields if f in db[table].columns)
     fills, kept_out = merged_fields(db[table], groups, present)
     wide = fills.groupBy(F.col("canonical_id").alias("id")).pivot("field", list(present)).agg(F.first("value"))

@@ -368,15 +368,15 @@ def _formula_parts(spark, d):
     """Parts as formulas with blanks in two fields."""
     p = t(spark, d, "part")
     return p.select(
-        F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.when(F.col("p_size") > 40, F.col("p_brand")).alias("six_channel"), F.when(F.col("p_size") % 2 == 0, "nihaixia").otherwise("hantang").alias("source_repo"),
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.when(F.col("p_size") > 40, F.col("p_brand")).alias("six_channel"), F.when(F.col("p_size") % 2 == 0, "primary").otherwise("secondary").alias("source_repo"),
         F.when(F.col("p_size") % 3 == 0, F.col("p_type")).alias("chapter"), F.when(F.col("p_size") % 5 == 0, F.col("p_brand")).otherwise("").alias("dosage"), F.lit("").alias("raw_path"),
     )
 
 
-_FORMULA = """select p_partkey as id, p_name as name, case when p_size > 40 then p_brand end as six_channel, case when p_size % 2 = 0 then 'nihaixia' else 'hantang' end as source_repo,
+_FORMULA = """select p_partkey as id, p_name as name, case when p_size > 40 then p_brand end as six_channel, case when p_size % 2 = 0 then 'primary' else 'secondary' end as source_repo,
  case when p_size % 3 = 0 then p_type end as chapter, case when p_size % 5 = 0 then p_brand else '' end as dosage from part"""
-_TIERED = f"""select *, case when six_channel is not null and source_repo = 'nihaixia' then 0 when six_channel is not null then 1 else 2 end as tier,
- (six_channel is not null)::int + (chapter is not null)::int + (dosage <> '')::int as fullness, case source_repo when 'nihaixia' then 0 else 1 end as rnk from ({_FORMULA})"""
+_TIERED = f"""select *, case when six_channel is not null and source_repo = 'primary' then 0 when six_channel is not null then 1 else 2 end as tier,
+ (six_channel is not null)::int + (chapter is not null)::int + (dosage <> '')::int as fullness, case source_repo when 'primary' then 0 else 1 end as rnk from ({_FORMULA})"""
 _CANON = f"""select name, id, first_value(id) over (partition by name order by tier, case when tier = 2 then -fullness else 0 end, case when tier = 2 then rnk else 0 end, id) as canonical_id, six_channel, chapter, dosage
  from ({_TIERED}) qualify count(*) over (partition by name) >= 2"""
 

@@ -35,11 +35,11 @@ ENTITIES = (
     Table("folk_formulas", "id long, " + _text("name disease indication composition usage_info source commentary raw_path"), required=("name",), search=("name", "disease", "commentary"), label="民间方"),
     Table("courses", "id long, name string, order_num int, total_hours double, lesson_count int, " + _text("description key_topics raw_path"), required=("name",)),
     Table("classics", "id long, " + _text("book_name chapter_name chapter_num content annotation") + ", word_count int, raw_path string", required=("book_name",), search=("chapter_name", "content"), label="经典"),
-    Table("course_notes", "id long, " + _text("module_name note_type title content") + ", word_count int, " + _text("raw_path source_repo"), required=("module_name",), defaults={"source_repo": "nihaixia"}, facets=("module_name", "note_type")),
+    Table("course_notes", "id long, " + _text("module_name note_type title content") + ", word_count int, " + _text("raw_path source_repo"), required=("module_name",), defaults={"source_repo": "primary"}, facets=("module_name", "note_type")),
     Table("books", "id long, " + _text("title author category content") + ", word_count int, " + _text("format raw_path"), required=("title",), facets=("category", "format")),
     Table("lectures", "id long, " + _text("title speaker lecture_type date_info content") + ", word_count int, raw_path string", required=("title",), facets=("lecture_type",), search=("title", "content"), label="讲座"),
     Table("tianji", "id long, " + _text("title category content") + ", word_count int, raw_path string", required=("title",), facets=("category",)),
-    Table("treatment_methods", "id long, " + _text("name category description related_pathomechanism related_herbs related_acupoints raw_path source_repo"), required=("name",), defaults={"source_repo": "nihaixia-kb"}, search=("name", "description", "related_herbs"), label="治法"),
+    Table("treatment_methods", "id long, " + _text("name category description related_pathomechanism related_herbs related_acupoints raw_path source_repo"), required=("name",), defaults={"source_repo": "primary-kb"}, search=("name", "description", "related_herbs"), label="治法"),
     Table("diagnostic_notes", "id long, " + _text("title note_type content") + ", word_count int, raw_path string", required=("title",)),
 )
 EDGES = (

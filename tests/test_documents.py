@@ -9,9 +9,9 @@ from lorebase.operators import parse
 from lorebase.sources import documents, sinks
 from lorebase.streaming.incremental import import_cases
 
-TABLE = """|**倪医师病案纪录**|
+TABLE = """|**王医师病案纪录**|
 |:--|
-|初诊日期：2019/3/7 倪医师病案纪录|
+|初诊日期：2019/3/7 王医师病案纪录|
 |姓名|性别|年龄|日期|
 |<p>Ann Lee</p>|女|45岁|2019/3/7|
 |**来诊原因：** <p>头痛</p>|
@@ -21,11 +21,11 @@ TABLE = """|**倪医师病案纪录**|
 |诊断：太阳|
 |中药处方：桂枝三钱|
 |解说备注：无|
-|初诊日期：2019/4/1 倪医师病案纪录|
+|初诊日期：2019/4/1 王医师病案纪录|
 |姓名|性别|年龄|日期|
 |Bob|x|30|2019/4/1|
 |来诊原因：咳|
-|初诊日期：2019/5/1 倪医师病案纪录|
+|初诊日期：2019/5/1 王医师病案纪录|
 |问诊：空|
 """
 VISITS = "初诊日期：短\n初诊日期：2020\n姓名\t性别\t年龄\t日期\nCarl\t男\t50\t2020/1/2\n来诊原因：腰痛\n已经三年\n\n还有腿麻\n问诊：口渴\n问诊：不渴\n望诊：x\n诊断：肾虚而且是非常长的一个诊断用来凑足字数的五十个字\n中药处方：肾气丸"

@@ -85,8 +85,8 @@ def formulas(spark, rows):
 
 def test_migration(spark):
     rows = [
-        (1, "甲汤", "hantang", "p", {"six_channel": "太阳", "dosage": ""}), (2, "甲汤", "nihaixia", "p", {"dosage": "三钱", "alias": "x"}),
-        (3, "甲汤", "nihaixia", "p", {"dosage": "三钱", "alias": "y"}), (4, "乙汤", "hantang", "p", {}), (5, "乙汤", "nihaixia", "p", {}), (6, "丙汤", "o", "p", {}),
+        (1, "甲汤", "secondary", "p", {"six_channel": "太阳", "dosage": ""}), (2, "甲汤", "primary", "p", {"dosage": "三钱", "alias": "x"}),
+        (3, "甲汤", "primary", "p", {"dosage": "三钱", "alias": "y"}), (4, "乙汤", "secondary", "p", {}), (5, "乙汤", "primary", "p", {}), (6, "丙汤", "o", "p", {}),
     ]
     db = {
         "formulas": formulas(spark, rows),
