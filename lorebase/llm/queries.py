@@ -68,3 +68,47 @@ def op9_top_k(spark, d):
 @query
 def op10_secrets(spark, d):
     return secrets.secret_report(read_table(spark, d, "documents"))
+
+
+_FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+ORACLES["op2_jaccard_join"] = f"""
+with recursive d as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_FOLD}), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents),
+ s as (select distinct doc_id, unnest(case when len(w) = 0 then []::varchar[] when len(w) < 5 then [array_to_string(w, ' ')] else [array_to_string(w[i:i+4], ' ') for i in range(1, len(w) - 3)] end) as x from d),
+ n as (select doc_id, count(*) as n from s group by 1),
+ p as (select a.doc_id as a, b.doc_id as b, count(*) as i from s a join s b on a.x = b.x and a.doc_id < b.doc_id group by 1, 2),
+ l as (select a, b from p join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * i >= 75 * (na.n + nb.n - i)),
+ e as (select a, b from l union all select b, a from l),
+ r(a, b) as (select doc_id, doc_id from d union select r.a, e.b from r join e on e.a = r.b)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, min(r.b) as component_id from d left join n on n.doc_id = d.doc_id join r on r.a = d.doc_id group by d.doc_id, n.n"""
+
+def _rule_sql(part: str) -> str:
+    ordered = sorted(url_filter.RULES, key=lambda r: -len(r[1]) - len(r[2]))
+    return " ".join(f"when (host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '{p}') then '{h + p if part == 'rule' else action}'" for action, h, p in ordered)
+
+
+_SITES = " or ".join(f"site = '{e[:-1]}' or ends_with(site, '.{e[:-1]}')" for e in url_filter.LISTED)
+
+ORACLES["op3_url_filter"] = f"""
+with u as (select page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
+ p as (select page_id, translate(regexp_extract(rest, '^[^/?#]*'), {_FOLD}) as host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from u),
+ q as (select *, regexp_replace(host, '[.]+$', '') as site from p)
+select page_id, host, path, case {_rule_sql("rule")} end as rule, case {_rule_sql("action")} when {_SITES} then 'block' else 'allow' end as verdict from q"""
+
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), {_FOLD}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+ORACLES["op7_decontaminate"] = f"""
+with d as (select doc_id, {_WORDS} as w from documents),
+ i as (select row_number() over () as item, item_id, {_WORDS} as w from benchmark),
+ v as (select distinct item, item_id, least(10, len(w)) as n, unnest([array_to_string(w[s:s + least(10, len(w)) - 1], ' ') for s in range(1, len(w) - least(10, len(w)) + 2)]) as x from i where len(w) > 0),
+ f as (select doc_id, n, unnest(range(1, greatest(1, len(w) - n + 2))) as s, w from d, (select distinct n from v)),
+ h as (select f.doc_id, f.s, f.n, v.item, v.item_id from f join v on v.n = f.n and v.x = array_to_string(f.w[f.s:f.s + f.n - 1], ' ')),
+ c as (select doc_id, count(distinct pos) as n_hit from (select doc_id, unnest(range(s, s + n)) as pos from h) group by 1),
+ k as (select doc_id, count(*) as n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) as ids from (select distinct doc_id, item, item_id from h) group by 1)
+select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join c using (doc_id) left join k using (doc_id)"""
+
+ORACLES["op9_top_k"] = """
+with v as (select vec_id, [floor(64 * x::double) for x in embedding] as v from embeddings where embedding is not null and len([1 for x in embedding if x is null or not isfinite(x)]) = 0),
+ s as (select a.vec_id as query_id, b.vec_id, list_inner_product(a.v, b.v)::bigint as score from v a join v b on a.vec_id % 20 = 0 and a.vec_id <> b.vec_id)
+select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank, vec_id, score from s qualify rank <= 20"""
