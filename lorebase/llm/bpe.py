@@ -26,6 +26,7 @@ from functools import lru_cache
 from hashlib import sha256
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -34,9 +35,11 @@ from tokenizers import Tokenizer
 from lorebase.llm.batches import with_columns
 from lorebase.sources.tables import materialise
 
-MAX_WORDS, MAX_WORD_BYTES = 400_000, 24
+MAX_WORDS, MAX_WORD_BYTES = 200_000, 24
 #: Distinct words a task counts before it passes them on.
-FLUSH = 400_000
+FLUSH = 200_000
+#: Bytes of text whose words are held at once.
+PART_BYTES = 1 << 20
 _W = r"\p{White_Space}"
 _SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_W}\p{{L}}\p{{N}}]+|{_W}+(?!\P{{White_Space}})|{_W}+"
 OUTPUTS = {
@@ -146,7 +149,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", outputs: tuple = ("id
         w = words_of(path)
         known = dict(zip(*shared.value))
         text_of = [str(i) for i in range(len(w.pieces))]
-        for b in batches:
+        for b in (part for whole in batches for part in _parts(whole, place)):
             texts = [w.find(t.as_py()) if t.is_valid else [] for t in b.column(place)]
             new = list({x for t in texts for x in t if x not in known})
             here = dict(zip(new, w.encode(new)))
@@ -173,6 +176,17 @@ def encode(docs: DataFrame, path: str, text: str = "text", outputs: tuple = ("id
     return rows.mapInArrow(run, kind).toDF(*schema.names, *outputs)
 
 
+def _parts(batch: pa.RecordBatch, place: int):
+    """Consecutive rows of a batch that hold about PART_BYTES of text; a longer text is a part of its own."""
+    first = size = 0
+    for k, n in enumerate(pc.fill_null(pc.binary_length(batch.column(place)), 0).to_pylist()):
+        if k > first and size + n > PART_BYTES:
+            yield batch.slice(first, k - first)
+            first, size = k, 0
+        size += n
+    yield batch.slice(first)
+
+
 def joined(ids: list[int], pieces: list[bytes]) -> str:
     """The pieces of the ids, one after the other."""
     return b"".join([pieces[i] for i in ids]).decode("utf-8", "replace")
