@@ -30,6 +30,14 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionAll(least.select("a", F.col("m").alias("b")))
 
 
+#: Edges a task of an iteration takes at least; small graphs are not dealt out over all partitions.
+TASK_EDGES = 200_000
+
+
+def _few(edges: DataFrame, n: int) -> DataFrame:
+    return edges.coalesce(max(1, -(-n // TASK_EDGES)))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label) of every node with an edge; label is the least node reached. Labels' own rows are included.
 
@@ -38,7 +46,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = materialise(_ordered(edges.select(F.col(a).alias("a"), F.col(b).alias("b"))), "edges")
     before = _fact(edges)
     while before[0]:
-        edges = materialise(_ordered(_small_star(_ordered(_large_star(edges)))), "edges")
+        n = before[0]
+        wide = _few(_ordered(_large_star(_few(edges, n))), n)
+        edges = materialise(_few(_ordered(_small_star(wide)), n), "edges")
         now = _fact(edges)
         if now == before:
             break

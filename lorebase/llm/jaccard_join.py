@@ -13,8 +13,8 @@ equal sets form a class (128-bit set hash); one set of each class takes part.
    that key is scanned; so are those light sets that a heavy one can reach. The
    boundary is the one of least cost: number of subsets against lengths of lists, from
    sums over all documents by size.
-3. Links. First each set is compared with its neighbour by size in a list and with the
-   first of the list. Sets joined by verified links are contracted; then all pairs of
+3. Links. Lists of the same sets are merged. First each set is compared with its
+   neighbour by size in a list and with the least of the list. Sets joined by verified links are contracted; then all pairs of
    different components within a list that pass the size and position bounds are
    compared. What is left out are pairs that are connected already, so components are
    exact while no list is expanded within one component.
@@ -46,6 +46,8 @@ BITS = 18
 MAX_LIGHT = 64
 #: Rows of two numbers that may be broadcast, 64 MB at most; beyond, a shuffled join.
 MAX_BROADCAST_ROWS = 2_000_000
+#: Pairs of texts whose sets are held at once.
+VERIFY_ROWS = 500
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -156,6 +158,19 @@ def postings(reps: DataFrame, x: int) -> DataFrame:
     return listed.select("key", "node", "n", "pos").unionAll(light.select("key", "node", "n", F.lit(0).alias("pos")))
 
 
+def live_lists(rows: DataFrame) -> DataFrame:
+    """(k1, k2, node, n, pos): lists of two sets or more; lists of the same sets, as neighbouring shingles have, are one.
+
+    A set keeps its least position among them, so the bounds that follow still hold.
+    """
+    whole = Window.partitionBy("key")
+    marks = {
+        "k1": F.bit_xor(F.xxhash64("node")).over(whole), "k2": F.bit_xor(F.xxhash64(F.lit("2"), "node")).over(whole), "size": F.count(F.lit(1)).over(whole)
+    }
+    live = rows.withColumns(marks).where("size > 1")
+    return materialise(live.groupBy("k1", "k2", "node").agg(F.min("n").alias("n"), F.min("pos").alias("pos")), "lists")
+
+
 def _can_link(na: Column, pa_: Column, nb: Column, pb: Column) -> Column:
     """Sizes allow it, and so do the shingles from here on if this is the first one in common."""
     sizes = (F.least(na, nb) * WHOLE >= F.greatest(na, nb) * PART)
@@ -175,10 +190,11 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, id_col: str, te
     wanted = wanted.select("node", F.col("doc_id").alias("w_id"), F.col("text_hash").alias("w_hash"))
     rows = docs.select(F.col(id_col).alias("d_id"), F.xxhash64(text).alias("d_hash"), F.col(text).alias("text"))
     on = (F.col("d_hash") == F.col("w_hash")) & F.col("d_id").eqNullSafe(F.col("w_id"))
-    texts = materialise(rows.join(F.broadcast(wanted) if small else wanted, on).select("node", "text").dropDuplicates(["node"]), "texts")
+    # both joins below read one shuffle of the texts by node
+    texts = rows.join(F.broadcast(wanted) if small else wanted, on).select("node", "text").dropDuplicates(["node"])
 
     def run(batches):
-        for b in batches:
+        for b in (whole.slice(at, VERIFY_ROWS) for whole in batches for at in range(0, len(whole), VERIFY_ROWS)):
             ids = [b.column(c).to_numpy() for c in ("a", "b")]
             every = np.concatenate(ids)
             distinct, at, back = np.unique(every, return_index=True, return_inverse=True)
@@ -198,7 +214,7 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, id_col: str, te
 
 
 def classes_and_links(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents with n, s1, s2), (classes with node and least id), (links between nodes that connect all components)."""
+    """(documents with n, s1, s2), (classes with node and least id), (edges that connect all components)."""
     sets = materialise(signed_sets(docs, count_table(docs, text), id_col, text), "sets")
     x = boundary(sets)
     full = sets.where("n > 0")
@@ -206,26 +222,23 @@ def classes_and_links(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     reps = full.dropDuplicates(["s1", "s2"]).select(F.col("s1").alias("node"), "s2", "n", "prefix")
     classes = materialise(least.select(F.col("s1").alias("node"), "s2", "min_id", F.col("rep.doc_id").alias("doc_id"), F.col("rep.text_hash").alias("text_hash")), "classes")
 
-    order = Window.partitionBy("key").orderBy("n", "node")
+    lists = live_lists(postings(reps, x))
+    order = Window.partitionBy("k1", "k2").orderBy("n", "node")
     here = F.struct("node", "n", "pos")
-    lists = postings(reps, x).select(
-        "key", "node", "n", "pos", F.lag(here).over(order).alias("prev"), F.lead("node").over(order).alias("next"), F.first(here).over(order).alias("head")
-    )
-    lists = materialise(lists.where("prev is not null or next is not null").drop("next"), "lists")
-    near = lists.where("prev is not null").select("node", "n", "pos", F.explode(F.array("prev", "head")).alias("o"))
+    near = lists.withColumns({"prev": F.lag(here).over(order), "low": F.min(here).over(Window.partitionBy("k1", "k2"))})
+    near = near.select("node", "n", "pos", F.explode(F.array("prev", "low")).alias("o")).where("o is not null")
     star = near.where(_can_link(F.col("n"), F.col("pos"), F.col("o.n"), F.col("o.pos"))).select(*_pair(F.col("node"), F.col("o.node"))).where("a <> b").distinct()
-    links = verified(star, classes, docs, id_col, text)
-    labels = components(links)
+    labels = materialise(components(verified(star, classes, docs, id_col, text)), "labels")
 
-    held = lists.select("key", "node", "n", "pos").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    whole = Window.partitionBy("key")
+    held = lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    whole = Window.partitionBy("k1", "k2")
     held = held.withColumns({"lo": F.min("label").over(whole), "hi": F.max("label").over(whole)}).where("lo <> hi").drop("lo", "hi")
     held = materialise(held, "held")
-    other = held.select("key", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "pos", "label")])
-    rest = held.join(other, "key").where((F.col("label") < F.col("o_label")) & _can_link(F.col("n"), F.col("pos"), F.col("o_n"), F.col("o_pos")))
-    rest = rest.select(*_pair(F.col("node"), F.col("o_node"))).distinct()
-    more = verified(rest, classes, docs, id_col, text)
-    return sets.select("doc_id", "text_hash", "n", "s1", "s2"), classes, links.unionAll(more)
+    other = held.select("k1", "k2", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "pos", "label")])
+    rest = held.join(other, ["k1", "k2"]).where((F.col("label") < F.col("o_label")) & _can_link(F.col("n"), F.col("pos"), F.col("o_n"), F.col("o_pos")))
+    more = verified(rest.select(*_pair(F.col("node"), F.col("o_node"))).distinct(), classes, docs, id_col, text)
+    known = labels.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
+    return sets.select("doc_id", "text_hash", "n", "s1", "s2"), classes, known.unionAll(more.select("a", "b"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
