@@ -133,6 +133,11 @@ def detail_redirect(spark, d):
     return asked.join(t(spark, d, "part"), F.col("canonical_id") == F.col("p_partkey")).drop("canonical_id")
 
 
+@query("detail_redirect_all", f"select r.old_id, p.* from ({_REDIRECTS}) r join part p on p.p_partkey = r.canonical_id")
+def detail_redirect_all(spark, d):
+    return _part_redirects(spark, d).join(t(spark, d, "part"), F.col("canonical_id") == F.col("p_partkey")).drop("canonical_id")
+
+
 def _part_redirects(spark, d):
     p = t(spark, d, "part")
     least = p.groupBy("p_name").agg(F.min("p_partkey").alias("canonical_id"))
@@ -145,12 +150,23 @@ def rel_forward(spark, d):
     return e.join(t(spark, d, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey")).drop("l_partkey")
 
 
+@query("rel_forward_all", "select l_orderkey, p_partkey, p_name, l_quantity from lineitem join part on l_partkey = p_partkey")
+def rel_forward_all(spark, d):
+    e = t(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    return e.join(t(spark, d, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey")).drop("l_partkey")
+
+
 @query("rel_reverse_limited", "select l_partkey, l_orderkey from (select distinct l_partkey, l_orderkey from lineitem where l_partkey <= 40) qualify row_number() over (partition by l_partkey order by l_orderkey) <= 20")
 def rel_reverse_limited(spark, d):
     e = t(spark, d, "lineitem").where("l_partkey <= 40").select("l_partkey", "l_orderkey").distinct()
     return search.first_of_each(e, ["l_partkey"], ["l_orderkey"], 20)
 
 
+@query("rel_reverse_limited_all", "select l_partkey, l_orderkey from (select distinct l_partkey, l_orderkey from lineitem) qualify row_number() over (partition by l_partkey order by l_orderkey) <= 20")
+def rel_reverse_limited_all(spark, d):
+    return search.first_of_each(t(spark, d, "lineitem").select("l_partkey", "l_orderkey").distinct(), ["l_partkey"], ["l_orderkey"], 20)
+
+
 @query("rel_three_way", "select distinct o_orderkey, o_custkey, p_name from orders join lineitem on l_orderkey = o_orderkey join part on p_partkey = l_partkey order by o_orderkey, p_name limit 10")
 def rel_three_way(spark, d):
     o = t(spark, d, "orders").select("o_orderkey", "o_custkey")
@@ -361,6 +377,13 @@ def source_key_check(spark, d):
     return audit.source_keys(cases)
 
 
+@query("source_key_check_whole", "with c as (select case when doc_id % 5 = 0 then '' else source end as raw_path, lang as patient_id, text as chief_complaint from documents) select 'blank_raw_path' as metric, count(*) filter (raw_path = '') as n from c union all select 'dup_raw_path', count(*) from (select 1 from c group by raw_path having count(*) > 1) union all select 'dup_patient_id', count(*) from (select 1 from c group by patient_id having count(*) > 1) union all select 'dup_combined', count(*) from (select raw_path, patient_id, chief_complaint from c group by all having count(*) > 1) union all select 'multi_case_files', count(*) from (select 1 from c where raw_path <> '' group by raw_path having count(distinct chief_complaint) > 1)")
+def source_key_check_whole(spark, d):
+    docs = t(spark, d, "documents")
+    cases = docs.select(F.when(F.col("doc_id") % 5 == 0, "").otherwise(F.col("source")).alias("raw_path"), F.col("lang").alias("patient_id"), F.col("text").alias("chief_complaint"))
+    return audit.source_keys(cases)
+
+
 # ---- duplicates, evidence, redirects ----------------------------------------------------------
 
 
@@ -434,10 +457,10 @@ def evidence_collision(spark, d):
     return rows.groupBy("canonical_id", "p_brand").agg(F.count_distinct("p_type").alias("n")).where("n > 1")
 
 
-def _redirect_evidence(spark, d):
+def _redirect_evidence(spark, d, least: int = 1):
     e = t(spark, d, "events").select(
         F.col("event_id").alias("id"), F.lit("merged_from").alias("relation_type"), F.lit("formula").alias("subject_type"), (F.col("user_id") % 50 + 1).alias("subject_id"),
-        F.when(F.col("event_id") % 11 == 0, "x").otherwise((F.col("event_id") % 97 + 1).cast("string")).alias("source_record_id"),
+        F.when(F.col("event_id") % 11 == 0, "x").otherwise((F.col("event_id") % 97 + least).cast("string")).alias("source_record_id"),
     )
     return e
 
@@ -460,6 +483,15 @@ def redirect_cycles(spark, d):
     return resolve.resolvable(resolve.redirect_map(_redirect_evidence(spark, d)).where("old_id > 30")).select("old_id", "canonical_id")
 
 
+#: Old ids shifted, so that some targets are not redirected themselves.
+_REDIR_SHIFTED = _REDIR.replace("event_id % 97 + 1", "event_id % 97 + 31")
+
+
+@query("redirect_cycles_all", f"with r as ({_REDIR_SHIFTED}) select old_id, canonical_id from r where canonical_id not in (select old_id from r)")
+def redirect_cycles_all(spark, d):
+    return resolve.resolvable(resolve.redirect_map(_redirect_evidence(spark, d, 31))).select("old_id", "canonical_id")
+
+
 @query("risk_label", "select p_name, case when count(distinct p_type) > 20 or max(p_size) > 49 then 'red' when count(*) filter (p_size > 25) > 5 or count(distinct p_brand) > 2 or count(*) > 20 then 'yellow' else 'green' end as risk from part group by 1")
 def risk_label(spark, d):
     g = t(spark, d, "part").groupBy("p_name").agg(F.count_distinct("p_type").alias("types"), F.max("p_size").alias("top"), F.count(F.when(F.col("p_size") > 25, 1)).alias("links"), F.count_distinct("p_brand").alias("brands"), F.count(F.lit(1)).alias("n"))
