@@ -2,8 +2,9 @@
 
 Method. A list of canonical URL expressions (``host/path-prefix``) is hashed into
 a blocked Bloom filter: every entry sets four bits inside one 64-bit block. Each
-URL without a fitting rule is expanded into its host suffixes x path prefixes;
-expressions whose bits are all set are possible hits and go to an exact hash join
+URL without a fitting rule is expanded into its host suffixes x path prefixes, up
+to the most labels and folders that an entry has; user part, port and trailing dots
+of the host do not count there. Expressions whose bits are all set are possible hits and go to an exact hash join
 with the list, which removes the filter's false positives. The filter has a fixed
 number of blocks at most, so what is broadcast is bounded whatever the list holds.
 
@@ -37,7 +38,6 @@ LISTED = tuple(
 
 #: At most this many 64-bit blocks, 16 MB as joined rows, are ever broadcast.
 MAX_BLOCKS = 1 << 20
-HOST_LABELS, PATH_PARTS = 6, 4
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -65,18 +65,31 @@ def fitting_rule(host: Column, path: Column, rules=RULES) -> Column:
     return out
 
 
-def lookup_keys(host: Column, path: Column) -> Column:
+def site_of(host: Column) -> Column:
+    """The host without user part, port and trailing dots."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(host, "(?s)^.*@", ""), ":[0-9]*$", ""), r"\.+$", "")
+
+
+def _labels(site: Column) -> Column:
+    return F.size(F.split(site, r"\."))
+
+
+def _folders(path: Column) -> Column:
+    return F.size(F.split(path, "/")) - 1
+
+
+def lookup_keys(site: Column, path: Column, most_labels: int, most_folders: int) -> Column:
     """Expressions under which a URL may be listed: host suffixes x path prefixes."""
-    labels = F.split(F.regexp_replace(host, r"\.+$", ""), r"\.")
+    labels = F.split(site, r"\.")
     n = F.size(labels)
     hosts = F.transform(
-        F.sequence(F.lit(1), F.least(n, F.lit(HOST_LABELS))),
+        F.sequence(F.lit(1), F.least(n, F.lit(most_labels))),
         lambda i: F.array_join(F.slice(labels, n - i + 1, i), "."),
     )
     full = F.when(path == "", "/").otherwise(path)
     parts = F.split(full, "/")
     prefixes = F.transform(
-        F.sequence(F.lit(1), F.least(F.size(parts) - 1, F.lit(PATH_PARTS))),
+        F.sequence(F.lit(1), F.least(_folders(full), F.lit(most_folders))),
         lambda i: F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.lit("/")),
     )
     paths = F.array_distinct(F.concat(F.array(full), prefixes))
@@ -108,14 +121,20 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules=RULES, url: str = "ur
     ``listed`` has one string column ``key`` of canonical expressions.
     """
     listed = listed.select(F.col("key")).where(F.col("key").isNotNull()).distinct()
-    n = listed.count()
+    # of the list's longest entries; 1 for an empty list
+    most = listed.agg(
+        F.count("key").alias("n"),
+        F.max(_labels(F.substring_index("key", "/", 1))).alias("labels"),
+        F.max(_folders(F.col("key"))).alias("folders"),
+    ).first()
+    n, most_labels, most_folders = most["n"], max(1, most["labels"] or 1), max(1, most["folders"] or 1)
     blocks = min(MAX_BLOCKS, 1 << max(4, math.ceil(math.log2(max(1, n) * 16 / 64 + 1))))
     rows = pages.select(*keep, F.col(url).alias("__url"))
     rows = rows.withColumns({"host": host_of(F.col("__url")), "path": path_of(F.col("__url"))})
     rows = rows.withColumn("__fit", fitting_rule(F.col("host"), F.col("path"), rules))
     keys = (
-        rows.where(F.col("__fit").isNull() & (F.col("host") != ""))
-        .select("host", "path", F.explode(lookup_keys(F.col("host"), F.col("path"))).alias("key"))
+        rows.where(F.col("__fit").isNull() & (site_of(F.col("host")) != ""))
+        .select("host", "path", F.explode(lookup_keys(site_of(F.col("host")), F.col("path"), most_labels, most_folders)).alias("key"))
         .withColumns({"block": _block(F.col("key"), blocks), "__mask": _mask(F.col("key"))})
     )
     bits = F.broadcast(bloom_blocks(listed, blocks))
