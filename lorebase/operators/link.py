@@ -1,9 +1,13 @@
 """Greedy one-to-one linkage of parsed cases with existing rows.
 
-Candidate pairs come from equi-joins. The greedy choice in the order of (new, old)
+Candidate pairs come from equi-joins. The greedy choice in a given order of pairs
 is made in rounds: every pair that comes first for both of its sides is taken and
 its sides leave; what is left goes on. Rounds give the pairs that a walk through all
 candidates in that order gives, without gathering them anywhere.
+
+``link`` takes better ranks first. ``link_clinical`` and ``link_hantang`` give what the
+two walks case by case, in the order of id, give. An empty name or complaint is inside
+no other.
 """
 
 from __future__ import annotations
@@ -13,16 +17,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lorebase.functions.text import patient_name, person_name
 from lorebase.sources.tables import materialise
 
+#: Characters by which strings meet before one is looked for in the other.
+GRAM = 4
+
 
-def greedy(pairs: DataFrame, rank: str = "rank") -> DataFrame:
-    """Pairs (new_id, old_id, rank) -> a matching; lower (rank, new_id, old_id) goes first."""
-    left = materialise(pairs.select("new_id", "old_id", rank).distinct(), "pairs")
+def greedy(pairs: DataFrame, rank: str = "rank", order: tuple | None = None) -> DataFrame:
+    """Pairs (new_id, old_id, rank) -> a matching; lower (rank, new_id, old_id), or lower ``order``, goes first."""
+    by = order or (rank, "new_id", "old_id")
+    left = materialise(pairs.select(*dict.fromkeys(("new_id", "old_id", rank, *by))).distinct(), "pairs")
     taken = None
     while not left.isEmpty():
-        order = F.struct(rank, "new_id", "old_id")
-        first_new = left.groupBy("new_id").agg(F.min(order).alias("n"))
-        first_old = left.groupBy("old_id").agg(F.min(order).alias("o"))
-        here = left.join(first_new, "new_id").join(first_old, "old_id").where((F.col("n") == order) & (F.col("o") == order)).select("new_id", "old_id", rank)
+        first = F.struct(*by)
+        first_new = left.groupBy("new_id").agg(F.min(first).alias("n"))
+        first_old = left.groupBy("old_id").agg(F.min(first).alias("o"))
+        here = left.join(first_new, "new_id").join(first_old, "old_id").where((F.col("n") == first) & (F.col("o") == first)).select("new_id", "old_id", rank)
         here = materialise(here, "taken")
         taken = here if taken is None else taken.unionAll(here)
         left = materialise(left.join(here.select("new_id"), "new_id", "left_anti").join(here.select("old_id"), "old_id", "left_anti"), "pairs")
@@ -36,24 +44,89 @@ def exact_pairs(new: DataFrame, old: DataFrame) -> DataFrame:
     return a.join(b, "k").select("new_id", "old_id", F.when(F.col("nd") == F.col("od"), 0).otherwise(1).alias("rank"))
 
 
-def contained_pairs(new: DataFrame, old: DataFrame, prefix: int = 50) -> DataFrame:
-    """One name holds the other, or the complaint's beginning is the old complaint's: rank 2.
+def holding(inner: DataFrame, i: str, outer: DataFrame, o: str) -> DataFrame:
+    """Rows of both sides where ``o`` holds ``i``.
 
-    Names meet by their words, complaints by their beginning.
+    The first GRAM characters of ``i``, all of a shorter one, meet all runs of at
+    most as many characters of ``o``.
     """
-    words = lambda c: F.explode(F.array_distinct(F.split(c, " ")))
-    a = new.select(F.col("id").alias("new_id"), person_name(F.col("name")).alias("nk")).withColumn("w", words(F.col("nk"))).where("w <> ''")
-    b = old.select(F.col("id").alias("old_id"), person_name(patient_name(F.col("patient_id"))).alias("ok")).withColumn("w", words(F.col("ok"))).where("w <> ''")
-    names = a.join(b, "w").where(F.expr("contains(nk, ok) or contains(ok, nk)")).select("new_id", "old_id")
-    start = lambda c: F.nullif(F.substring(c, 1, prefix), F.lit(""))
-    c = new.select(F.col("id").alias("new_id"), start(F.col("chief_complaint")).alias("p"))
-    d = old.select(F.col("id").alias("old_id"), start(F.col("chief_complaint")).alias("p"))
-    return names.unionAll(c.join(d, "p").select("new_id", "old_id")).distinct().withColumn("rank", F.lit(2))
+    runs = F.flatten(
+        F.transform(
+            F.sequence(F.lit(1), F.lit(GRAM)),
+            lambda k: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(o) - k + 1)), lambda at: F.substring(F.col(o), at, k)),
+        )
+    )
+    a = inner.where(F.col(i) != "").withColumn("__run", F.substring(i, 1, GRAM))
+    b = outer.where(F.col(o) != "").withColumn("__run", F.explode(F.array_distinct(runs)))
+    return a.join(b, "__run").where(F.contains(F.col(o), F.col(i))).drop("__run")
+
+
+def _either(new: DataFrame, name: Column, old: DataFrame) -> DataFrame:
+    """(new_id, old_id) where one name holds the other."""
+    a = new.select(F.col("id").alias("new_id"), person_name(name).alias("nk"))
+    b = old.select(F.col("id").alias("old_id"), person_name(patient_name(F.col("patient_id"))).alias("ok"))
+    ids = ["new_id", "old_id"]
+    return holding(a, "nk", b, "ok").select(*ids).unionAll(holding(b, "ok", a, "nk").select(*ids)).distinct()
+
+
+def _complaints(new: DataFrame, old: DataFrame, prefix: int) -> DataFrame:
+    """(new_id, old_id) where the old complaint holds the beginning of the new one."""
+    c = new.select(F.col("id").alias("new_id"), F.substring("chief_complaint", 1, prefix).alias("p"))
+    d = old.select(F.col("id").alias("old_id"), F.col("chief_complaint").alias("q"))
+    return holding(c, "p", d, "q").select("new_id", "old_id")
+
+
+def dated_pairs(new: DataFrame, old: DataFrame) -> DataFrame:
+    """Same date, whatever the name: rank 3."""
+    a = new.select(F.col("id").alias("new_id"), F.nullif("case_date", F.lit("")).alias("day"))
+    b = old.select(F.col("id").alias("old_id"), F.col("case_date").alias("day"))
+    return a.join(b, "day").select("new_id", "old_id", F.lit(3).alias("rank"))
+
+
+def contained_pairs(new: DataFrame, old: DataFrame, prefix: int = 50) -> DataFrame:
+    """One name holds the other: rank 2. The old complaint holds the beginning of the new one: rank 4."""
+    names = _either(new, F.col("name"), old).withColumn("rank", F.lit(2))
+    return names.unionAll(_complaints(new, old, prefix).withColumn("rank", F.lit(4)))
 
 
 def link(new: DataFrame, old: DataFrame) -> DataFrame:
-    """(new_id, old_id, rank): exact names before contained ones, each old row once."""
-    return greedy(exact_pairs(new, old).unionAll(contained_pairs(new, old)))
+    """(new_id, old_id, rank): exact names, then contained ones, same dates, contained complaints; each old row once."""
+    return greedy(exact_pairs(new, old).unionAll(contained_pairs(new, old)).unionAll(dated_pairs(new, old)))
+
+
+def _walk(pairs: DataFrame, old: DataFrame, key: Column) -> DataFrame:
+    """Each new row in the order of id takes its best old row left: by rank, place of the key's first row, id."""
+    keyed = old.select(F.col("id").alias("old_id"), key.alias("k"))
+    first = keyed.groupBy(F.col("k").alias("f")).agg(F.min("old_id").alias("place"))
+    places = keyed.join(first, F.col("k").eqNullSafe(F.col("f"))).select("old_id", "place")
+    return greedy(pairs.join(places, "old_id"), order=("new_id", "rank", "place", "old_id"))
+
+
+def link_clinical(new: DataFrame, old: DataFrame) -> DataFrame:
+    """(new_id, old_id, rank) of the walk over clinical cases; ``new`` has the file's ``stem`` besides.
+
+    Rank 0: name is the stem, and same date. Rank 1: name is the stem. Rank 2: name and
+    stem hold one another. Rank 3: so do name and the case's name. Rank 0 takes the first
+    such row even if used, so an old row may come twice.
+    """
+    by_stem = new.withColumn("name", F.col("stem"))
+    exact = exact_pairs(by_stem.withColumn("case_date", F.nullif("case_date", F.lit(""))), old)
+    dated = exact.where("rank = 0").groupBy("new_id").agg(F.min("old_id").alias("old_id")).withColumn("rank", F.lit(0))
+    dated = materialise(dated.select("new_id", "old_id", "rank"), "dated")
+    rest = exact.where("rank = 1").unionAll(_either(new, F.col("stem"), old).withColumn("rank", F.lit(2)))
+    rest = rest.unionAll(_either(new, F.col("name"), old).withColumn("rank", F.lit(3)))
+    # a row that rank 0 takes is used from there on
+    used = dated.groupBy("old_id").agg(F.min("new_id").alias("since"))
+    rest = rest.join(dated.select("new_id"), "new_id", "left_anti").join(used, "old_id", "left").where("since is null or new_id < since")
+    return dated.unionAll(_walk(rest.drop("since"), old, person_name(patient_name(F.col("patient_id")))))
+
+
+def link_hantang(new: DataFrame, old: DataFrame, prefix: int = 50) -> DataFrame:
+    """(new_id, old_id, rank) of the walk over Hantang cases: rank 0 the stem is the patient id, 3 same date, 4 complaint."""
+    a = new.select(F.col("id").alias("new_id"), F.col("stem").alias("k"))
+    same = a.join(old.select(F.col("id").alias("old_id"), F.col("patient_id").alias("k")), "k").select("new_id", "old_id", F.lit(0).alias("rank"))
+    pairs = same.unionAll(dated_pairs(new, old)).unionAll(_complaints(new, old, prefix).withColumn("rank", F.lit(4)))
+    return _walk(pairs, old, F.col("patient_id"))
 
 
 def not_known(new: DataFrame, old: DataFrame, stem: Column) -> DataFrame:
