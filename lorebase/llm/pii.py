@@ -5,9 +5,13 @@ security numbers, phone numbers, IPv4 addresses and calendar dates. Each value i
 split into its variable signs and its format; the signs are read as one mixed-radix
 number below M, which a keyed Feistel network over the next even number of bits
 permutes, walking until the result is below M. Check digits are computed anew, dates
-are permuted among the valid days of DAYS. So formats stay, equal values get equal
+are permuted among the valid days of DAYS that can be written in their form. So formats stay, equal values get equal
 pseudonyms in all documents, and the key holder can invert them.
 
+Dates are year-month-day with - or /, and day-month-year with / or ., parts of one or
+two digits, with or without a time after a T. What is no day/month but a month/day is read
+as that. A date stays among those of its order and widths, so it is read back alike.
+
 Defined results. Null text stays null; text without such values stays as it is. Of
 overlapping values the leftmost counts, of equal starts the first kind of KINDS.
 Repeated rows get equal results; whole texts are read; empty tables give empty
@@ -17,7 +21,8 @@ results. All columns stay, also such as are named like the added ones, which com
 from __future__ import annotations
 
 import re
-from datetime import date, timedelta
+from bisect import bisect_left
+from datetime import date
 from functools import lru_cache
 from hashlib import blake2b
 
@@ -38,7 +43,8 @@ _PATTERNS = {
     "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "ipv4": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9])(?!\.[0-9])",
-    "date": r"(?<![0-9A-Za-z/-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}[/.][0-9]{2}[/.][0-9]{4})(?![0-9A-Za-z/-])",
+    "date": r"(?<![0-9A-Za-z/-])(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}|[0-9]{1,2}[/.][0-9]{1,2}[/.][0-9]{4})"
+    r"(?:(?=[Tt][0-9]{2}|Z(?![0-9A-Za-z]))|(?![0-9A-Za-z/-]))",
 }
 ANY = re.compile("|".join(f"(?P<{k}>{_PATTERNS[k]})" for k in KINDS))
 
@@ -94,14 +100,31 @@ def _mod97(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
 
 
-def _date(value: str) -> tuple[date, str] | None:
-    form = f"%Y{value[4]}%m{value[4]}%d" if value[4] in "-/" else f"%d{value[2]}%m{value[2]}%Y"
-    n = [int(x) for x in re.findall("[0-9]+", value)]
-    try:
-        d = date(*(n if form[1] == "Y" else n[::-1]))
-    except ValueError:
-        return None
-    return (d, form) if DAYS[0] <= d <= DAYS[1] else None
+@lru_cache(maxsize=16)
+def _days(month: int, day: int, late: bool):
+    """Ordinals of the days of DAYS whose month and day fit so many digits; ``late``: those after the 12th."""
+    every = range(DAYS[0].toordinal(), DAYS[1].toordinal() + 1)
+    if month == day == 2 and not late:
+        return every
+    return [n for n in every if (d := date.fromordinal(n)).month < 10**month and d.day < 10**day and (d.day > 12 or not late)]
+
+
+def _date(value: str, key: str, back: bool) -> str | None:
+    parts = re.split("([/.-])", value)
+    for order in ("Ymd",) if len(parts[0]) == 4 else ("dmY", "mdY"):
+        text = {c: parts[2 * k] for k, c in enumerate(order)}
+        try:
+            found = date(*(int(text[c]) for c in "Ymd"))
+        except ValueError:
+            continue
+        if not DAYS[0] <= found <= DAYS[1]:
+            return None
+        days = _days(len(text["m"]), len(text["d"]), order == "mdY")
+        new = date.fromordinal(days[permute(bisect_left(days, found.toordinal()), len(days), key, back)])
+        for k, c in enumerate(order):
+            parts[2 * k] = str({"Y": new.year, "m": new.month, "d": new.day}[c]).zfill(len(text[c]))
+        return "".join(parts)
+    return None
 
 
 def pseudonym(kind: str, value: str, key: str = KEY, back: bool = False) -> str | None:
@@ -135,11 +158,7 @@ def pseudonym(kind: str, value: str, key: str = KEY, back: bool = False) -> str
             return None
         x = permute(int.from_bytes(bytes(map(int, parts)), "big"), 1 << 32, key, back)
         return ".".join(map(str, x.to_bytes(4, "big")))
-    found = _date(value)
-    if found is None:
-        return None
-    n = (DAYS[1] - DAYS[0]).days + 1
-    return (DAYS[0] + timedelta(permute((found[0] - DAYS[0]).days, n, key, back))).strftime(found[1])
+    return _date(value, key, back)
 
 
 def _quick(text: str) -> bool:
