@@ -213,12 +213,17 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, id_col: str, te
     return materialise(pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "links")
 
 
+def _row() -> Column:
+    """Orders rows by doc_id, null last, then text."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+
+
 def classes_and_links(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents with n, s1, s2), (classes with node and least id), (edges that connect all components)."""
     sets = materialise(signed_sets(docs, count_table(docs, text), id_col, text), "sets")
     x = boundary(sets)
     full = sets.where("n > 0")
-    least = full.groupBy("s1", "s2").agg(F.min("doc_id").alias("min_id"), F.min(F.struct("doc_id", "text_hash")).alias("rep"))
+    least = full.groupBy("s1", "s2").agg(F.min("doc_id").alias("min_id"), F.min(_row()).alias("rep"))
     reps = full.dropDuplicates(["s1", "s2"]).select(F.col("s1").alias("node"), "s2", "n", "prefix")
     classes = materialise(least.select(F.col("s1").alias("node"), "s2", "min_id", F.col("rep.doc_id").alias("doc_id"), F.col("rep.text_hash").alias("text_hash")), "classes")
 
@@ -241,28 +246,39 @@ def classes_and_links(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     return sets.select("doc_id", "text_hash", "n", "s1", "s2"), classes, known.unionAll(more.select("a", "b"))
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text_hash, n_shingles, component_id, class_node for every row."""
+def _components(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(rows of non-empty sets with component_id and the component's first row, rows of empty sets)."""
     rows, classes, links = classes_and_links(docs, id_col, text)
     labels = components(links)
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = named.groupBy("label").agg(F.min("min_id").alias("component_id"))
-    of_class = named.join(least, "label").select(F.col("node").alias("s1"), "s2", "component_id")
+    least = named.groupBy("label").agg(F.min("min_id").alias("component_id"), F.min(_row()).alias("first"))
+    of_class = named.join(least, "label").select(F.col("node").alias("s1"), "s2", "component_id", "first")
     linked = rows.where("n > 0").join(of_class, ["s1", "s2"])
-    cols = ["doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id"]
-    alone = rows.where("n = 0").select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return linked.select(*cols).unionAll(alone)
+    return linked, rows.where("n = 0")
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id for every row."""
+    linked, empty = _components(docs, id_col, text)
+    cols = ["doc_id", "text_hash", F.col("n").alias("n_shingles")]
+    return linked.select(*cols, "component_id").unionAll(empty.select(*cols, F.col("doc_id").alias("component_id")))
 
 
 def keep_one(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One document of each component, the one of least doc_id, and all documents of empty sets.
+    """One row of each component, the one of least doc_id (null last) and text hash, and all rows of empty sets.
 
-    Components without any doc_id stay whole. Rows that repeat a kept doc_id with the
-    same text stay with it.
+    Of rows that repeat both, the one whose columns sort first stays.
     """
-    found = jaccard_components(docs, "doc_id", text)
-    gone = found.where((F.col("n_shingles") > 0) & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    gone = materialise(gone.select(F.col("doc_id").alias("g_id"), F.col("text_hash").alias("g_hash")).distinct(), "gone")
-    small = gone.count() <= MAX_BROADCAST_ROWS
+    linked, _ = _components(docs, "doc_id", text)
+    kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    marked = linked.groupBy(F.col("doc_id").alias("g_id"), F.col("text_hash").alias("g_hash"), kept.alias("kept")).agg(F.count(F.lit(1)).alias("copies"))
+    marked = materialise(marked.where("not kept or copies > 1"), "gone")
+    gone, repeated = marked.select("g_id", "g_hash"), marked.where("kept").select("g_id", "g_hash")
     on = F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.xxhash64(text) == F.col("g_hash"))
-    return docs.join(F.broadcast(gone) if small else gone, on, "left_anti")
+    near = lambda keys: F.broadcast(keys) if keys.count() <= MAX_BROADCAST_ROWS else keys
+    rest = docs.join(near(gone), on, "left_anti")
+    if repeated.isEmpty():
+        return rest
+    again = docs.join(near(repeated), on, "left_semi")
+    once = again.groupBy("doc_id", F.xxhash64(text).alias("__text_hash")).agg(F.min(F.struct(*docs.columns)).alias("__row"))
+    return rest.unionAll(once.select("__row.*"))
