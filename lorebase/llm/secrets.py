@@ -3,8 +3,8 @@
 Base kinds: assign, access and hex. The method adds kind ``blob``: runs of
 ``[A-Za-z0-9+/_-]`` of 20+ characters holding an upper-case letter, a lower-case
 letter and a digit, outside all base spans. Every candidate's value is hashed and
-the hashes are aggregated over the corpus by distinct owners (``source``) and by
-documents. A value of more than ``max_owners`` owners is a widely copied example;
+the hashes are aggregated over the corpus by distinct owners; ``source`` serves as
+repository and owner, and documents are not counted. A value of more than ``max_owners`` owners is a widely copied example;
 one of fewer is owner-specific and looks live. Blobs are reported only if they
 look live; base spans are always reported.
 
@@ -92,13 +92,9 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", owne
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """value -> n_owners, n_docs over the whole corpus."""
-    each = found.select("owner", F.explode(F.concat("base", "blob")).alias("s")).groupBy(F.col("s.value").alias("value"), "owner")
-    return (
-        each.agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("value")
-        .agg(F.count(F.lit(1)).alias("n_owners"), F.sum("n").alias("n_docs"))
-    )
+    """value -> n_owners over the whole corpus."""
+    each = found.select(F.explode(F.concat("base", "blob")).alias("s"), "owner").select("s.value", "owner").distinct()
+    return each.groupBy("value").agg(F.count(F.lit(1)).alias("n_owners"))
 
 
 def scan(docs: DataFrame, max_owners: int = MAX_OWNERS, id_col: str = "doc_id", text: str = "text", owner: str = "source") -> DataFrame:
