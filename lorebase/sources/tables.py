@@ -37,4 +37,14 @@ def materialise(df: DataFrame, tag: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove what ``materialise`` wrote for these frames; nothing may read them afterwards."""
+    for df in frames:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
