@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import types as T
 
 #: Bytes of text handled at once; a longer document is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -30,12 +30,16 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def _power(base: np.uint64, n: int) -> np.ndarray:
+    """base ** 0..n-1; kept for slices of usual size, made anew for a longer document."""
     key = str(base)
-    if key not in _powers or len(_powers[key]) < n:
-        out = np.full(max(n, 1 << 16), base, np.uint64)
-        out[0] = 1
-        _powers[key] = np.multiply.accumulate(out)
-    return _powers[key][:n]
+    if key in _powers and len(_powers[key]) >= n:
+        return _powers[key][:n]
+    out = np.full(max(n, SLICE_BYTES + 1), base, np.uint64)
+    out[0] = 1
+    np.multiply.accumulate(out, out=out)
+    if n <= SLICE_BYTES:
+        _powers[key] = out
+    return out[:n]
 
 
 def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

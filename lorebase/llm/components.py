@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lorebase.sources.tables import materialise
+from lorebase.sources.tables import discard, materialise
 
 
 def _fact(edges: DataFrame) -> tuple:
@@ -48,7 +48,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while before[0]:
         n = before[0]
         wide = _few(_ordered(_large_star(_few(edges, n))), n)
-        edges = materialise(_few(_ordered(_small_star(wide)), n), "edges")
+        last, edges = edges, materialise(_few(_ordered(_small_star(wide)), n), "edges")
+        discard(last)
         now = _fact(edges)
         if now == before:
             break

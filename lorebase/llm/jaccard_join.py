@@ -13,12 +13,17 @@ equal sets form a class (128-bit set hash); one set of each class takes part.
    that key is scanned; so are those light sets that a heavy one can reach. The
    boundary is the one of least cost: number of subsets against lengths of lists, from
    sums over all documents by size.
-3. Links. Lists of the same sets are merged. First each set is compared with its
-   neighbour by size in a list and with the least of the list. Sets joined by verified links are contracted; then all pairs of
-   different components within a list that pass the size and position bounds are
-   compared. What is left out are pairs that are connected already, so components are
-   exact while no list is expanded within one component.
-4. Verification compares whole sets, made again from the texts.
+   Shingles that stand in more than HOT places of the count table make lists of their
+   own; all other lists of the same sets are merged.
+3. Links. Each set is compared with the hub of a list, the set with the fewest prefix
+   shingles that nobody else lists, and with a neighbour by size. Sets joined by verified
+   links are contracted. In lists that still hold different components, those pairs are
+   left that sizes, positions and bitmaps allow. A set's bitmap holds the parity of the
+   number of its shingles by place, so two bitmaps differ in no more places than the sets
+   in shingles: no pair that links is lost. What is left out are pairs that are connected
+   already, so components are exact while no list is expanded within one component.
+4. Verification compares whole sets, made again from the texts. A pair carries one text
+   to the other's.
 
 Defined results. Null, empty or white-space text: empty set, size 0, linked with
 nothing, its own component. Fewer than five words: the sequence is one shingle. Equal
@@ -32,11 +37,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lorebase.llm.batches import _mix, _ODD, ASCII_FOLD, SPACES, large_list, runs, slices, words
 from lorebase.llm.components import components
-from lorebase.sources.tables import materialise
+from lorebase.sources.tables import discard, materialise
 
 GRAM = 5
 #: Jaccard >= PART / WHOLE, in whole numbers.
@@ -46,8 +52,12 @@ BITS = 18
 MAX_LIGHT = 64
 #: Rows of two numbers that may be broadcast, 64 MB at most; beyond, a shuffled join.
 MAX_BROADCAST_ROWS = 2_000_000
-#: Pairs of texts whose sets are held at once.
-VERIFY_ROWS = 500
+#: Count from which a shingle's list is not merged with others: its sets need not meet in one task.
+HOT = 1 << 20
+#: Sets of a list among which neighbours by size are sought.
+NEIGHBOURS = 1000
+#: Bytes of texts whose sets are held at once.
+VERIFY_BYTES = 4 << 20
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -89,8 +99,26 @@ def count_table(docs: DataFrame, text: str = "text") -> np.ndarray:
     return out
 
 
+def parity_bits(u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity of the shingles by place, of at least two places a shingle, and the same folded in half."""
+    places = 64
+    while places < 2 * len(u):
+        places *= 2
+    odd = np.bincount((u & np.uint64(places - 1)).astype(np.int64), minlength=places).astype(np.uint8) & 1
+    half = odd[: places // 2] ^ odd[places // 2 :]
+    return np.packbits(odd).view(np.int64), np.packbits(half).view(np.int64) if places > 64 else np.zeros(0, np.int64)
+
+
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    return large_list(np.concatenate(parts) if parts else np.zeros(0, np.int64), np.array([len(p) for p in parts], np.int64), pa.int64())
+
+
 def signed_sets(docs: DataFrame, counts: np.ndarray, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text_hash, n, s1, s2 (set hash), prefix (k = 2, rare first), load (list lengths expected)."""
+    """One row per row of ``docs``.
+
+    doc_id, text_hash, n, s1, s2 (set hash), prefix (k = 2, rare first), calm (how many of it are not hot),
+    load (list lengths expected), bits and half (parity_bits).
+    """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(counts.astype(np.int64))
 
@@ -98,7 +126,8 @@ def signed_sets(docs: DataFrame, counts: np.ndarray, id_col: str = "doc_id", tex
         table = shared.value
         even = table.sum() / len(table)
         for b in batches:
-            sizes, s1, s2, prefix, lens, load = [], [], [], [], [], []
+            sizes, s1, s2, calm, load = [], [], [], [], []
+            prefix, bits, half = [], [], []
             for _, _, data, offsets in slices(b.column("t")):
                 for u in shingle_sets(data, offsets):
                     n = len(u)
@@ -107,10 +136,13 @@ def signed_sets(docs: DataFrame, counts: np.ndarray, id_col: str = "doc_id", tex
                     s2.append(int(_mix(u ^ np.uint64(0xD6E8FEB86659FD93)).sum(dtype=np.uint64)))
                     c = table[_place(u)]
                     p = u[np.lexsort((u, c))[: prefix_size(n, 2)]]
-                    prefix.append(p)
-                    lens.append(len(p))
-                    k = table[_place(p[: prefix_size(n, 1)])]
-                    load.append(float((1 + np.maximum(0, k - even)).sum()))
+                    prefix.append(p.view(np.int64))
+                    k = table[_place(p)]
+                    calm.append(int((k <= HOT).sum()))
+                    load.append(float((1 + np.maximum(0, k[: prefix_size(n, 1)] - even)).sum()))
+                    whole, folded = parity_bits(u)
+                    bits.append(whole)
+                    half.append(folded)
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column("doc_id"),
@@ -118,15 +150,19 @@ def signed_sets(docs: DataFrame, counts: np.ndarray, id_col: str = "doc_id", tex
                     pa.array(sizes, pa.int64()),
                     pa.array(np.array(s1, np.uint64).view(np.int64)),
                     pa.array(np.array(s2, np.uint64).view(np.int64)),
-                    large_list(np.concatenate(prefix).view(np.int64) if prefix else np.zeros(0, np.int64), np.array(lens, np.int64), pa.int64()),
+                    _lists(prefix),
+                    pa.array(calm, pa.int32()),
                     pa.array(load, pa.float64()),
+                    _lists(bits),
+                    _lists(half),
                 ],
-                ["doc_id", "text_hash", "n", "s1", "s2", "prefix", "load"],
+                ["doc_id", "text_hash", "n", "s1", "s2", "prefix", "calm", "load", "bits", "half"],
             )
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("t"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, n long, s1 long, s2 long, prefix array<long>, load double")
+    schema = f"doc_id {kind}, text_hash long, n long, s1 long, s2 long, prefix array<long>, calm int, load double, bits array<long>, half array<long>"
+    return rows.mapInArrow(run, schema)
 
 
 def boundary(sets: DataFrame) -> int:
@@ -142,33 +178,49 @@ def boundary(sets: DataFrame) -> int:
 
 
 def postings(reps: DataFrame, x: int) -> DataFrame:
-    """(key, node, n, pos): subsets of light sets, listed shingles of heavy ones and of those they can reach."""
+    """(key, node, n, pos, hot): subsets of light sets (pos -1), listed shingles of heavy ones and of those they can reach."""
     n, prefix = F.col("n"), F.col("prefix")
-    one = (n - F.ceil(n * PART / WHOLE) + 1).cast("int")
-    listed = reps.where(n * WHOLE >= PART * (x + 1)).select("node", "n", F.posexplode(F.slice(prefix, 1, one)).alias("pos", "key"))
+    listed = reps.where(_listed(x)).select("node", "n", "calm", F.posexplode(F.slice(prefix, 1, _one())).alias("pos", "key"))
+    listed = listed.select("key", "node", "n", "pos", (F.col("pos") >= F.col("calm")).alias("hot"))
     if not x:
-        return listed.select("key", "node", "n", "pos")
+        return listed
     pairs = F.flatten(
         F.transform(
             F.sequence(F.lit(1), F.size(prefix) - 1),
-            lambda i: F.transform(F.slice(prefix, i + 1, F.size(prefix)), lambda b: F.xxhash64(F.lit("pair"), F.element_at(prefix, i), b)),
+            lambda i: F.transform(
+                F.slice(prefix, i + 1, F.size(prefix)),
+                lambda b: F.struct(F.xxhash64(F.lit("pair"), F.element_at(prefix, i), b).alias("key"), (i > F.col("calm")).alias("hot")),
+            ),
         )
     )
-    light = reps.where((n <= x) & (F.size(prefix) >= 2)).select("node", "n", F.explode(pairs).alias("key"))
-    return listed.select("key", "node", "n", "pos").unionAll(light.select("key", "node", "n", F.lit(0).alias("pos")))
+    # a subset is as rare as its rarer shingle at least
+    light = reps.where((n <= x) & (F.size(prefix) >= 2)).select("node", "n", F.explode(pairs).alias("p"))
+    return listed.unionAll(light.select("p.key", "node", "n", F.lit(-1).alias("pos"), "p.hot"))
+
+
+def _one() -> Column:
+    """Size of the prefix for one shingle in common."""
+    return (F.col("n") - F.ceil(F.col("n") * PART / WHOLE) + 1).cast("int")
+
+
+def _listed(x: int) -> Column:
+    return F.col("n") * WHOLE >= PART * (x + 1)
 
 
 def live_lists(rows: DataFrame) -> DataFrame:
-    """(k1, k2, node, n, pos): lists of two sets or more; lists of the same sets, as neighbouring shingles have, are one.
+    """(k1, k2, node, n, pos, keys): lists of two sets or more; lists of the same sets, as neighbouring shingles have, are one.
 
-    A set keeps its least position among them, so the bounds that follow still hold.
+    A set keeps its least position among them, so the bounds that follow still hold. ``keys`` counts the listed shingles.
     """
     whole = Window.partitionBy("key")
     marks = {
         "k1": F.bit_xor(F.xxhash64("node")).over(whole), "k2": F.bit_xor(F.xxhash64(F.lit("2"), "node")).over(whole), "size": F.count(F.lit(1)).over(whole)
     }
-    live = rows.withColumns(marks).where("size > 1")
-    return materialise(live.groupBy("k1", "k2", "node").agg(F.min("n").alias("n"), F.min("pos").alias("pos")), "lists")
+    live = rows.where("not hot").withColumns(marks).where("size > 1").select("k1", "k2", "node", "n", "pos")
+    hot = rows.where("hot").select(F.col("key").alias("k1"), F.lit(0).cast("long").alias("k2"), "node", "n", "pos")
+    keys = F.sum((F.col("pos") >= 0).cast("int"))
+    merged = live.unionAll(hot).groupBy("k1", "k2", "node")
+    return merged.agg(F.min("n").alias("n"), F.greatest(F.min("pos"), F.lit(0)).alias("pos"), keys.alias("keys"))
 
 
 def _can_link(na: Column, pa_: Column, nb: Column, pb: Column) -> Column:
@@ -177,24 +229,59 @@ def _can_link(na: Column, pa_: Column, nb: Column, pb: Column) -> Column:
     return sizes & (F.least(na - pa_, nb - pb) * (PART + WHOLE) >= PART * (na + nb))
 
 
-def _pair(a: Column, b: Column) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+def _unlike(a: Column, b: Column) -> Column:
+    """Places in which two bitmaps of one length differ."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, c: s + c)
 
 
-def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, id_col: str, text: str) -> DataFrame:
+def _bits_allow(a: str, b: str) -> Column:
+    """Sets that link differ in 1 / 7 of their sizes' sum at most, and bitmaps in no more; a larger bitmap is taken folded."""
+    wide, other = F.size(f"{a}bits"), F.size(f"{b}bits")
+    unlike = (
+        F.when(wide == other, _unlike(F.col(f"{a}bits"), F.col(f"{b}bits")))
+        .when(wide > other, _unlike(F.col(f"{a}half"), F.col(f"{b}bits")))
+        .otherwise(_unlike(F.col(f"{a}bits"), F.col(f"{b}half")))
+    )
+    return unlike * (PART + WHOLE) <= (F.col(f"{a}n") + F.col(f"{b}n")) * (WHOLE - PART)
+
+
+def first_pairs(lists: DataFrame, reps: DataFrame, x: int) -> DataFrame:
+    """(a, b): each set with the hubs of its lists, and with its neighbours by size in them."""
+    alive = lists.groupBy("node").agg(F.sum("keys").alias("keys"))
+    alone = alive.join(reps.select("node", "n"), "node")
+    alone = alone.select("node", F.when(_listed(x), _one() - F.col("keys")).otherwise(0).alias("alone"))
+    lists = lists.join(alone, "node")
+    hubs = lists.groupBy("k1", "k2").agg(F.min(F.struct("alone", "node", "n", "pos")).alias("hub"), F.count(F.lit(1)).alias("size"))
+    lists = lists.join(hubs, ["k1", "k2"])
+    # neighbours are sought in parts of a list, so that a long one is no single task's
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / NEIGHBOURS))
+    by_size = Window.partitionBy("k1", "k2", "part").orderBy("n", "node")
+    o = F.struct(*[F.col(f"hub.{c}") for c in ("node", "n", "pos")])
+    near = lists.withColumn("part", part).withColumn("prev", F.lag(F.struct("node", "n", "pos")).over(by_size))
+    near = near.select("node", "n", "pos", F.explode(F.array(o, "prev")).alias("o")).where("o is not null and node <> o.node")
+    near = near.where(_can_link(F.col("n"), F.col("pos"), F.col("o.n"), F.col("o.pos")))
+    return near.select(F.col("o.node").alias("a"), F.col("node").alias("b")).distinct()
+
+
+def bounded(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs whose bitmaps allow a link."""
+    side = lambda s: reps.select(F.col("node").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("n", "bits", "half")])
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(_bits_allow("a_", "b_")).select("a", "b")
+
+
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """Those pairs of nodes whose whole sets link."""
     pairs = materialise(pairs, "pairs")
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = materialise(reps.join(nodes, "node", "left_semi").select("node", "doc_id", "text_hash"), "wanted")
+    wanted = materialise(classes.join(nodes, "node", "left_semi").select("node", F.col("doc_id").alias("w_id"), F.col("text_hash").alias("w_hash")), "wanted")
     small = wanted.count() <= MAX_BROADCAST_ROWS
-    wanted = wanted.select("node", F.col("doc_id").alias("w_id"), F.col("text_hash").alias("w_hash"))
     rows = docs.select(F.col(id_col).alias("d_id"), F.xxhash64(text).alias("d_hash"), F.col(text).alias("text"))
     on = (F.col("d_hash") == F.col("w_hash")) & F.col("d_id").eqNullSafe(F.col("w_id"))
     # both joins below read one shuffle of the texts by node
     texts = rows.join(F.broadcast(wanted) if small else wanted, on).select("node", "text").dropDuplicates(["node"])
 
     def run(batches):
-        for b in (whole.slice(at, VERIFY_ROWS) for whole in batches for at in range(0, len(whole), VERIFY_ROWS)):
+        for b in (part for whole in batches for part in _by_bytes(whole)):
             ids = [b.column(c).to_numpy() for c in ("a", "b")]
             every = np.concatenate(ids)
             distinct, at, back = np.unique(every, return_index=True, return_inverse=True)
@@ -210,7 +297,20 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, id_col: str, te
 
     a = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
     b = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
-    return materialise(pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "links")
+    # a hub, as a, has its text on one row; what is dealt out with the pairs are the other sides' texts
+    found = materialise(pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "links")
+    discard(pairs, wanted)
+    return found
+
+
+def _by_bytes(batch: pa.RecordBatch):
+    """Consecutive rows with about VERIFY_BYTES of text."""
+    size = np.cumsum(sum(pc.binary_length(batch.column(c)).to_numpy(zero_copy_only=False) for c in ("ta", "tb")))
+    at = 0
+    while at < len(batch):
+        end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + VERIFY_BYTES, "right")))
+        yield batch.slice(at, end - at)
+        at = end
 
 
 def _row() -> Column:
@@ -220,39 +320,48 @@ def _row() -> Column:
 
 def classes_and_links(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents with n, s1, s2), (classes with node and least id), (edges that connect all components)."""
-    sets = materialise(signed_sets(docs, count_table(docs, text), id_col, text), "sets")
+    sets = materialise(signed_sets(docs, count_table(docs, text), id_col, text).withColumn("node", F.monotonically_increasing_id()), "sets")
     x = boundary(sets)
     full = sets.where("n > 0")
-    least = full.groupBy("s1", "s2").agg(F.min("doc_id").alias("min_id"), F.min(_row()).alias("rep"))
-    reps = full.dropDuplicates(["s1", "s2"]).select(F.col("s1").alias("node"), "s2", "n", "prefix")
-    classes = materialise(least.select(F.col("s1").alias("node"), "s2", "min_id", F.col("rep.doc_id").alias("doc_id"), F.col("rep.text_hash").alias("text_hash")), "classes")
-
-    lists = live_lists(postings(reps, x))
-    order = Window.partitionBy("k1", "k2").orderBy("n", "node")
-    here = F.struct("node", "n", "pos")
-    near = lists.withColumns({"prev": F.lag(here).over(order), "low": F.min(here).over(Window.partitionBy("k1", "k2"))})
-    near = near.select("node", "n", "pos", F.explode(F.array("prev", "low")).alias("o")).where("o is not null")
-    star = near.where(_can_link(F.col("n"), F.col("pos"), F.col("o.n"), F.col("o.pos"))).select(*_pair(F.col("node"), F.col("o.node"))).where("a <> b").distinct()
-    labels = materialise(components(verified(star, classes, docs, id_col, text)), "labels")
+    by_set = full.groupBy("s1", "s2").agg(F.min("node").alias("node"), F.min("doc_id").alias("min_id"), F.min(_row()).alias("rep"), F.count(F.lit(1)).alias("copies"))
+    classes = materialise(by_set.select("node", "s1", "s2", "min_id", F.col("rep.doc_id").alias("doc_id"), F.col("rep.text_hash").alias("text_hash"), "copies"), "classes")
+    once, repeated = _one_of_each(full, classes)
+    reps = full.join(repeated, "node", "left_anti") if once else full
+
+    lists = materialise(live_lists(postings(reps, x)), "lists")
+    star = bounded(first_pairs(lists, reps, x), reps)
+    first = verified(star, classes, docs, id_col, text)
+    labels = materialise(components(first), "labels")
 
     held = lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    whole = Window.partitionBy("k1", "k2")
-    held = held.withColumns({"lo": F.min("label").over(whole), "hi": F.max("label").over(whole)}).where("lo <> hi").drop("lo", "hi")
-    held = materialise(held, "held")
-    other = held.select("k1", "k2", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "pos", "label")])
-    rest = held.join(other, ["k1", "k2"]).where((F.col("label") < F.col("o_label")) & _can_link(F.col("n"), F.col("pos"), F.col("o_n"), F.col("o_pos")))
-    more = verified(rest.select(*_pair(F.col("node"), F.col("o_node"))).distinct(), classes, docs, id_col, text)
+    mixed = held.groupBy("k1", "k2").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("k1", "k2")
+    held = materialise(held.join(mixed, ["k1", "k2"], "left_semi").join(reps.select("node", "bits", "half"), "node"), "held")
+    other = held.select("k1", "k2", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "pos", "label", "bits", "half")])
+    apart = (F.col("label") < F.col("o_label")) & _can_link(F.col("n"), F.col("pos"), F.col("o_n"), F.col("o_pos")) & _bits_allow("", "o_")
+    rest = held.join(other, (held["k1"] == other["k1"]) & (held["k2"] == other["k2"]) & apart)
+    more = verified(rest.select(F.col("o_node").alias("a"), F.col("node").alias("b")).distinct(), classes, docs, id_col, text)
+    discard(lists, held, first)
     known = labels.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
     return sets.select("doc_id", "text_hash", "n", "s1", "s2"), classes, known.unionAll(more.select("a", "b"))
 
 
+def _one_of_each(full: DataFrame, classes: DataFrame) -> tuple[bool, DataFrame]:
+    """(whether any set has copies, the nodes that are not their class's)."""
+    many = classes.where("copies > 1")
+    n = many.agg(F.sum("copies")).first()[0] or 0
+    many = many.select(F.col("s1").alias("m1"), F.col("s2").alias("m2"), F.col("node").alias("kept"))
+    near = F.broadcast if n <= MAX_BROADCAST_ROWS else lambda df: df
+    gone = full.join(near(many), (F.col("s1") == F.col("m1")) & (F.col("s2") == F.col("m2"))).where("node <> kept").select("node")
+    return n > 0, near(gone)
+
+
 def _components(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(rows of non-empty sets with component_id and the component's first row, rows of empty sets)."""
     rows, classes, links = classes_and_links(docs, id_col, text)
     labels = components(links)
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("min_id").alias("component_id"), F.min(_row()).alias("first"))
-    of_class = named.join(least, "label").select(F.col("node").alias("s1"), "s2", "component_id", "first")
+    of_class = named.join(least, "label").select("s1", "s2", "component_id", "first")
     linked = rows.where("n > 0").join(of_class, ["s1", "s2"])
     return linked, rows.where("n = 0")
 
@@ -264,21 +373,24 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     return linked.select(*cols, "component_id").unionAll(empty.select(*cols, F.col("doc_id").alias("component_id")))
 
 
-def keep_one(docs: DataFrame, text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component, the one of least doc_id (null last) and text hash, and all rows of empty sets.
 
-    Of rows that repeat both, the one whose columns sort first stays.
+    Of rows that repeat both, the one whose columns sort first stays. All columns stay, whatever their names.
     """
-    linked, _ = _components(docs, "doc_id", text)
+    names = docs.columns
+    rows = docs.toDF(*[f"c{k}" for k in range(len(names))])
+    i, t = F.col(f"c{names.index(id_col)}"), F.col(f"c{names.index(text)}")
+    linked, _ = _components(docs, id_col, text)
     kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
     marked = linked.groupBy(F.col("doc_id").alias("g_id"), F.col("text_hash").alias("g_hash"), kept.alias("kept")).agg(F.count(F.lit(1)).alias("copies"))
     marked = materialise(marked.where("not kept or copies > 1"), "gone")
-    gone, repeated = marked.select("g_id", "g_hash"), marked.where("kept").select("g_id", "g_hash")
-    on = F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.xxhash64(text) == F.col("g_hash"))
+    repeated = marked.where("kept").select("g_id", "g_hash")
+    on = i.eqNullSafe(F.col("g_id")) & (F.xxhash64(t) == F.col("g_hash"))
     near = lambda keys: F.broadcast(keys) if keys.count() <= MAX_BROADCAST_ROWS else keys
-    rest = docs.join(near(gone), on, "left_anti")
-    if repeated.isEmpty():
-        return rest
-    again = docs.join(near(repeated), on, "left_semi")
-    once = again.groupBy("doc_id", F.xxhash64(text).alias("__text_hash")).agg(F.min(F.struct(*docs.columns)).alias("__row"))
-    return rest.unionAll(once.select("__row.*"))
+    rest = rows.join(near(marked.select("g_id", "g_hash")), on, "left_anti")
+    if not repeated.isEmpty():
+        again = rows.join(near(repeated), on, "left_semi")
+        once = again.groupBy(i.alias("g_id"), F.xxhash64(t).alias("g_hash")).agg(F.min(F.struct(*rows.columns)).alias("row"))
+        rest = rest.unionAll(once.select("row.*"))
+    return rest.toDF(*names)
