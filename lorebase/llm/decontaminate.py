@@ -7,9 +7,11 @@ joined with the benchmark's, and each match is extended: the 10-word windows
 around it are compared word by word. Items of fewer than 10 words are one window,
 found by the hash of as many words and compared the same way.
 
-The benchmark side is broadcast in blocks of at most BLOCK_WORDS words; a larger
-benchmark takes several passes over the documents, never a larger broadcast. The
-documents are never shuffled, only the hits are.
+The benchmark side is broadcast in blocks of at most BLOCK_WORDS words, each
+fingerprint with the 15 words around it; a larger benchmark takes several passes
+over the documents, never a larger broadcast. A document is split once a pass: its
+fingerprints and the runs of its words as long as short items are looked up together.
+The documents are never shuffled, only the hits are.
 
 Defined results. Null or wordless text has no words and no hits; a null, empty or
 wordless item has no window; a null item_id still marks words but is not listed.
@@ -27,12 +29,11 @@ from lorebase.sources.tables import materialise
 
 WINDOW, K = 10, 5
 SPAN = WINDOW - K + 1
-#: Words of benchmark text in one broadcast: some 64 MB with hashes and array overhead.
-BLOCK_WORDS = 1_000_000
+#: Words of benchmark text in one broadcast: with 15 words to each of some 75,000 fingerprints about 64 MB.
+BLOCK_WORDS = 250_000
 #: Rows of two numbers that may be broadcast, 64 MB at most; beyond, a shuffled join.
 MAX_BROADCAST_ROWS = 2_000_000
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -46,71 +47,92 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(_WORD), F.lit(0))
 
 
-def n_words_of(text: Column) -> Column:
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(_ANY_WORD)).cast("long")
-
-
 def _up_to(n: Column) -> Column:
     """1..n, empty below 1."""
     return F.when(n >= 1, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
 
 
-def fingerprinted(df: DataFrame) -> DataFrame:
-    """Adds grams (hashes of K words) and picks (their chosen positions from 1; none below WINDOW words)."""
-    df = df.withColumn("__h", F.transform("words", lambda w: F.xxhash64(w)))
-    df = df.withColumn(
-        "grams",
-        F.transform(_up_to(F.size("__h") - (K - 1)), lambda i: F.xxhash64(F.slice(F.col("__h"), i, K))),
-    )
-    least = lambda s: F.slice(F.col("grams"), s, SPAN)
-    picks = F.transform(
-        _up_to(F.size("grams") - (SPAN - 1)),
-        lambda s: (s + F.array_position(least(s), F.array_min(least(s))) - 1).cast("int"),
-    )
-    return df.withColumn("picks", F.array_distinct(picks)).drop("__h")
+def _pairwise(a: Column, b: Column, ahead: int, f) -> Column:
+    """f(a[i], b[i + ahead]) wherever both are."""
+    n = F.greatest(F.lit(0), F.least(F.size(a), F.size(b) - ahead))
+    return F.zip_with(F.slice(a, 1, n), F.slice(b, ahead + 1, n), f)
 
 
-def _same(a: Column, b: Column, x: Column, y: Column, n) -> Column:
-    return F.slice(a, x, n) == F.slice(b, y, n)
+def _hash(a: Column, b: Column) -> Column:
+    return F.xxhash64(a, b)
 
 
-def _long_hits(docs: DataFrame, items: DataFrame) -> DataFrame:
-    prints = fingerprinted(items).select(
-        "item", "item_id", F.col("words").alias("i_words"), F.explode_outer("picks").alias("q"), "grams"
-    )
-    prints = prints.select("item", "item_id", "i_words", "q", F.get("grams", F.col("q") - 1).alias("gram"))
-    # the outer form: for the plain one the optimizer repeats the whole array expression in a filter
-    picked = fingerprinted(docs).select("doc_id", "text_hash", "words", "grams", F.explode_outer("picks").alias("p"))
-    picked = picked.select("doc_id", "text_hash", "words", "p", F.get("grams", F.col("p") - 1).alias("gram"))
-    met = picked.join(F.broadcast(prints), "gram")
-    p, q = F.col("p"), F.col("q")
-    first = F.greatest(F.lit(0), p + WINDOW - 1 - F.size("words"), q + WINDOW - 1 - F.size("i_words"))
-    last = F.least(F.lit(SPAN - 1), p - 1, q - 1)
-    back = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
-    fits = F.filter(back, lambda d: _same(F.col("words"), F.col("i_words"), p - d, q - d, WINDOW))
-    return met.select("doc_id", "text_hash", "item", "item_id", F.explode_outer(fits).alias("d"), "p").where("d is not null").select(
-        "doc_id", "text_hash", "item", "item_id", (F.col("p") - F.col("d")).alias("at"), F.lit(WINDOW).alias("len")
-    )
+def _less(a: Column, b: Column) -> Column:
+    return F.least(a, b)
 
 
-def _short_hits(docs: DataFrame, items: DataFrame, n: int) -> DataFrame:
-    """Hits of items of exactly n words, n below WINDOW."""
-    prints = items.where(F.size("words") == n).select(
-        "item", "item_id", F.col("words").alias("i_words"), F.xxhash64("words").alias("gram")
-    )
-    grams = F.transform(_up_to(F.size("words") - (n - 1)), lambda i: F.xxhash64(F.slice(F.col("words"), i, n)))
-    met = (
-        docs.select("doc_id", "text_hash", "words", F.posexplode_outer(grams).alias("at", "gram"))
-        .withColumn("at", F.col("at") + 1)
-        .join(F.broadcast(prints), "gram")
-    )
-    return met.where(_same(F.col("words"), F.col("i_words"), F.col("at"), F.lit(1), n)).select(
-        "doc_id", "text_hash", "item", "item_id", "at", F.lit(n).alias("len")
+def with_grams(df: DataFrame) -> DataFrame:
+    """Adds hashes (of the words) and grams (of each K of them)."""
+    df = df.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    df = df.withColumn("two", _pairwise(F.col("hashes"), F.col("hashes"), 1, _hash))
+    df = df.withColumn("four", _pairwise(F.col("two"), F.col("two"), 2, _hash))
+    return df.withColumn("grams", _pairwise(F.col("four"), F.col("hashes"), 4, _hash)).drop("two", "four")
+
+
+def with_least(df: DataFrame) -> DataFrame:
+    """Adds least: the smallest of each SPAN consecutive grams."""
+    df = df.withColumn("of2", _pairwise(F.col("grams"), F.col("grams"), 1, _less))
+    df = df.withColumn("of4", _pairwise(F.col("of2"), F.col("of2"), 2, _less))
+    return df.withColumn("least", _pairwise(F.col("of4"), F.col("of2"), 4, _less)).drop("of2", "of4")
+
+
+def _with_runs(df: DataFrame, lengths: list[int]) -> tuple[DataFrame, list[str]]:
+    """Adds run<n>, the hashes of each n consecutive words, for the lengths wanted."""
+    last = "hashes"
+    for n in range(2, max(lengths, default=1) + 1):
+        df = df.withColumn(f"run{n}", _pairwise(F.col(last), F.col("hashes"), n - 1, _hash))
+        last = f"run{n}"
+    return df, ["hashes" if n == 1 else f"run{n}" for n in lengths]
+
+
+def prints_of(items: DataFrame, short: list[int]) -> DataFrame:
+    """(gram, item, item_id, i_words, q): what is looked up, with the words around it.
+
+    For an item of WINDOW words or more these are its fingerprints, each with the words of all windows that hold it
+    and the fingerprint's place q among them; for a shorter item its one run, q = 0.
+    """
+    long = with_least(with_grams(items.where(F.size("words") >= WINDOW)))
+    picks = F.transform(
+        _up_to(F.size("least")), lambda s: (s + F.array_position(F.slice("grams", s, SPAN), F.get("least", s - 1)) - 1).cast("int")
     )
+    long = long.select("item", "item_id", "words", "grams", F.explode_outer(F.array_distinct(picks)).alias("at"))
+    first = F.greatest(F.lit(1), F.col("at") - (SPAN - 1))
+    around = F.slice("words", first, F.least(F.size("words"), F.col("at") + (WINDOW - 1)) - first + 1)
+    parts = [long.select(F.get("grams", F.col("at") - 1).alias("gram"), "item", "item_id", around.alias("i_words"), (F.col("at") - first + 1).alias("q"))]
+    if short:
+        rows, names = _with_runs(items.where(F.size("words") < WINDOW).withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w))), short)
+        run = F.coalesce(*[F.when(F.size("words") == n, F.get(F.col(c), F.lit(0))) for n, c in zip(short, names)])
+        parts.append(rows.select(run.alias("gram"), "item", "item_id", F.col("words").alias("i_words"), F.lit(0).alias("q")))
+    return reduce(DataFrame.unionAll, parts)
+
 
+def _starts(words: Column, grams: Column, gram: Column, i_words: Column, q: Column) -> Column:
+    """Where the document's words are a window of the item that holds the looked-up hash."""
+    n = F.size(i_words)
+    whole = F.filter(_up_to(F.size(words) - n + 1), lambda i: F.slice(words, i, n) == i_words)
+    none = F.array().cast("array<int>")
 
-def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (doc_id, text_hash, item, item_id, at, len): document words at..at+len-1 are an item's window."""
+    def around(p: Column) -> Column:
+        first = F.greatest(F.lit(0), p + WINDOW - 1 - F.size(words), q + WINDOW - 1 - n)
+        last = F.least(F.lit(SPAN - 1), p - 1, q - 1)
+        back = F.when(first <= last, F.sequence(first, last)).otherwise(none)
+        same = F.filter(back, lambda d: F.slice(words, p - d, WINDOW) == F.slice(i_words, q - d, WINDOW))
+        return F.transform(same, lambda d: p - d)
+
+    places = F.filter(_up_to(F.size(grams)), lambda i: F.get(grams, i - 1) == gram)
+    return F.when(q == 0, whole).otherwise(F.flatten(F.transform(places, around)))
+
+
+def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", every: bool = False) -> DataFrame:
+    """Rows (doc_id, text_hash, n_words, item, item_id, at, len): document words at..at+len-1 are an item's window.
+
+    With ``every`` there is also one row without item for each document.
+    """
     items = benchmark.select(
         F.col("item_id"), F.monotonically_increasing_id().alias("item"), words_of(F.col("text")).alias("words")
     ).where(F.size("words") > 0)
@@ -118,11 +140,27 @@ def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: st
     facts = items.agg(F.sum(F.size("words")).alias("n"), F.collect_set(F.when(F.size("words") < WINDOW, F.size("words"))).alias("short")).first()
     total, short = facts["n"] or 0, sorted(facts["short"])
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), words_of(F.col(text)).alias("words"))
+    rows, runs = _with_runs(with_least(with_grams(rows)), short)
     n_blocks = -(-total // BLOCK_WORDS) or 1
+    none = F.lit(None).cast("long")
     parts = []
     for b in range(n_blocks):
         block = items if n_blocks == 1 else items.where(F.pmod(F.xxhash64("item"), F.lit(n_blocks)) == b)
-        parts += [_long_hits(rows, block), *(_short_hits(rows, block, n) for n in short)]
+        # written, as a filter on it would be pushed down with the whole chain of expressions
+        prints = materialise(prints_of(block, short), "prints").where("gram is not null")
+        # the null stands for the document itself; the outer form, as for the plain one the optimizer repeats the whole expression in a filter
+        asked = F.array_distinct(F.concat(F.array(none), "least", *runs))
+        probes = rows.select("doc_id", "text_hash", "words", "grams", F.explode_outer(asked).alias("gram"))
+        keep_all = every and b == 0
+        met = probes.join(F.broadcast(prints), "gram", "left" if keep_all else "inner")
+        if keep_all:
+            met = met.where("gram is null or item is not null")
+        at = F.when(F.col("item").isNotNull(), _starts(F.col("words"), F.col("grams"), F.col("gram"), F.col("i_words"), F.col("q")))
+        found = met.select(
+            "doc_id", "text_hash", F.size("words").cast("long").alias("n_words"), "item", "item_id", F.explode_outer(at).alias("at"),
+            F.least(F.lit(WINDOW), F.size("i_words")).alias("len"),
+        )
+        parts.append(found.where("item is null or at is not null"))
     return reduce(DataFrame.unionAll, parts)
 
 
@@ -138,17 +176,15 @@ def covered(spans: Column) -> Column:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row of ``docs``."""
-    found = hits(docs, benchmark, id_col, text)
-    same = ["doc_id", "text_hash"]
-    found = found.distinct()
+    found = materialise(hits(docs, benchmark, id_col, text, every=True), "hits")
     items = F.collect_set(F.struct("item", F.col("item_id").cast("string").alias("id")))
-    marks = found.groupBy(*same).agg(
+    marks = found.where("item is not null").groupBy(F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash")).agg(
         covered(F.array_sort(F.collect_set(F.struct("at", "len")))).alias("n_hit"), items.alias("items")
     )
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), n_words_of(F.col(text)).alias("n_words"))
-    marks = marks.withColumnsRenamed({c: f"__{c}" for c in same})
+    rows = found.where("item is null").select("doc_id", "text_hash", "n_words")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return rows.join(marks, _both(same), "left").select(
+    on = F.col("doc_id").eqNullSafe(F.col("m_id")) & F.col("text_hash").eqNullSafe(F.col("m_hash"))
+    return rows.join(marks, on, "left").select(
         "doc_id",
         "n_words",
         n_hit.alias("n_hit"),
@@ -158,14 +194,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     )
 
 
-def _both(names: list[str]) -> Column:
-    return reduce(Column.__and__, [F.col(n).eqNullSafe(F.col(f"__{n}")) for n in names])
-
-
-def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` without a hit, with all their columns."""
-    found = hits(docs, benchmark, "doc_id", text).select(F.col("doc_id").alias("__doc_id"), F.col("text_hash").alias("__text_hash"))
+def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without a hit, with all their columns, whatever their names."""
+    names = docs.columns
+    rows = docs.toDF(*[f"c{k}" for k in range(len(names))])
+    found = hits(docs, benchmark, id_col, text).select(F.col("doc_id").alias("h_id"), F.col("text_hash").alias("h_hash"))
     found = materialise(found.distinct(), "contaminated")
     small = found.count() <= MAX_BROADCAST_ROWS
-    on = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.xxhash64(text) == F.col("__text_hash"))
-    return docs.join(F.broadcast(found) if small else found, on, "left_anti")
+    on = F.col(f"c{names.index(id_col)}").eqNullSafe(F.col("h_id")) & (F.xxhash64(f"c{names.index(text)}") == F.col("h_hash"))
+    return rows.join(F.broadcast(found) if small else found, on, "left_anti").toDF(*names)

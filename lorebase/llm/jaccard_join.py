@@ -56,6 +56,8 @@ MAX_BROADCAST_ROWS = 2_000_000
 HOT = 1 << 20
 #: Sets of a list among which neighbours by size are sought.
 NEIGHBOURS = 1000
+#: Pairs of one hub that are verified in one task; a hub with more has its text in several.
+HUB_PAIRS = 200
 #: Bytes of texts whose sets are held at once.
 VERIFY_BYTES = 4 << 20
 
@@ -272,6 +274,8 @@ def bounded(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """Those pairs of nodes whose whole sets link."""
     pairs = materialise(pairs, "pairs")
+    hubs = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB_PAIRS).cast("int").alias("parts")).where("parts > 1")
+    hubs = F.broadcast(hubs) if pairs.count() <= MAX_BROADCAST_ROWS * HUB_PAIRS else hubs
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = materialise(classes.join(nodes, "node", "left_semi").select("node", F.col("doc_id").alias("w_id"), F.col("text_hash").alias("w_hash")), "wanted")
     small = wanted.count() <= MAX_BROADCAST_ROWS
@@ -297,8 +301,11 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
 
     a = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
     b = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
-    # a hub, as a, has its text on one row; what is dealt out with the pairs are the other sides' texts
-    found = materialise(pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "links")
+    # a hub, as a, has its text on a row for each part; what is dealt out with the pairs are the other sides' texts
+    parts = F.coalesce("parts", F.lit(1))
+    a = a.join(hubs, "a", "left").select("a", "ta", F.explode(F.sequence(F.lit(1), parts)).alias("part"))
+    pairs_ = pairs.join(hubs, "a", "left").select("a", "b", (F.pmod(F.xxhash64("b"), parts) + 1).cast("int").alias("part"))
+    found = materialise(pairs_.join(b, "b").join(a, ["a", "part"]).select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "links")
     discard(pairs, wanted)
     return found
 
