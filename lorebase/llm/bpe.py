@@ -1,18 +1,19 @@
 """BPE encoding by a distinct-word table, and decoding by an id-to-piece join.
 
 Texts are split at the tokenizer's added tokens and then by the byte-level pattern.
-The words of all documents are aggregated to a table of distinct words, each of which
-is encoded once; the table is written to the shared folder. Its most frequent words,
-MAX_WORDS and MAX_WORD_BYTES at most, are broadcast. In a second pass every text is
-split the same way and the words' ids are put back by position; a word outside the
-broadcast is encoded by the task that meets it, once a batch. Ids are decoded by
-joining them with the pieces of the vocabulary, whose size is fixed.
+The words of all documents are aggregated to a table of distinct words with counts.
+Its frequent words, those from a count on that leaves MAX_WORDS at most, are encoded
+once and broadcast; the count comes from a histogram, no sort is needed. In a second
+pass every text is split the same way and the words' ids are put back by position; a
+word outside the head is encoded once a part of about PART_BYTES of text, by the task
+that meets it. Ids are decoded by looking them up in the table of pieces, whose size
+is the vocabulary's.
 
 The documents are never shuffled; what is shuffled are the distinct words of each
 task with their counts.
 
 Defined results. Null text is empty text: no tokens, decoded to ''. Repeated rows
-have equal results; words of equal count are taken in the order of the words. Texts
+have equal results. Texts
 of any length are read whole. An empty table gives an empty result. All columns stay,
 also such as are named like the added ones, which come last. Tokenizers whose added
 tokens strip their surroundings or match single words only are refused.
@@ -33,7 +34,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from tokenizers import Tokenizer
 
 from lorebase.llm.batches import with_columns
-from lorebase.sources.tables import materialise
+from lorebase.sources.tables import discard, materialise
 
 MAX_WORDS, MAX_WORD_BYTES = 200_000, 24
 #: Distinct words a task counts before it passes them on.
@@ -110,7 +111,7 @@ def words_of(path: str) -> Words:
 
 
 def word_table(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """(word, n, ids): every distinct word of the corpus, encoded once."""
+    """(word, n): every distinct word of the corpus with its count."""
 
     def count(batches):
         find, seen = words_of(path).find, Counter()
@@ -123,23 +124,41 @@ def word_table(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                     seen = Counter()
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
 
+    return docs.select(F.col(text).alias("t")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+#: Steps of the histogram in a doubling of the count.
+STEPS = 16
+
+
+def head_of(table: DataFrame, path: str, max_words: int = MAX_WORDS) -> DataFrame:
+    """(word, ids) of the most frequent short words, max_words at most, each encoded once."""
+
     def encode(batches):
         w = words_of(path)
         for b in batches:
             ids = w.encode(b.column("word").to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.list_(pa.int32()))], ["word", "n", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column("word"), pa.array(ids, pa.list_(pa.int32()))], ["word", "ids"])
 
-    counted = docs.select(F.col(text).alias("t")).mapInArrow(count, "word string, n long")
-    return counted.groupBy("word").agg(F.sum("n").alias("n")).mapInArrow(encode, "word string, n long, ids array<int>")
+    short = table.where(F.octet_length("word") <= MAX_WORD_BYTES).withColumn("step", F.floor(F.log2("n") * STEPS).cast("int"))
+    steps = short.groupBy("step").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("step")).collect()  # 64 * STEPS rows at most
+    least, total = None, 0
+    for row in steps:
+        total += row["words"]
+        if total > max_words:
+            break
+        least = row["step"]
+    return short.where(F.lit(False) if least is None else F.col("step") >= least).select("word").mapInArrow(encode, "word string, ids array<int>")
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", outputs: tuple = ("ids",), max_words: int = MAX_WORDS) -> DataFrame:
     """``docs`` with the columns named in ``outputs``, see OUTPUTS."""
     spark = docs.sparkSession
     table = materialise(word_table(docs, path, text), "words")
-    head = table.where(F.octet_length("word") <= MAX_WORD_BYTES).orderBy(F.desc("n"), "word").limit(max_words).select("word", "ids").toArrow()
+    head = head_of(table, path, max_words).toArrow()
+    discard(table)
     # at most max_words short words with their ids
-    shared = spark.sparkContext.broadcast((head.column("word").to_pylist(), head.column("ids").to_pylist()))
+    shared = spark.sparkContext.broadcast((head.column("word").to_pylist(), [tuple(i) for i in head.column("ids").to_pylist()]))
     schema = docs.schema
     place = [f.name for f in schema].index(text)
     rows, kind = with_columns(docs, {o: OUTPUTS[o] for o in outputs})

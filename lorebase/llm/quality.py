@@ -5,14 +5,14 @@ of the words' shapes (letters of either case, digits and other signs, runs cut t
 one), pairs of equal words as one feature, hashed into DIM places. A feature's value is its count over the square root of
 the sum of squared counts. The score is the logistic of the sparse dot product.
 
-Training takes a sample of about MAX_TRAIN labelled rows, drawn by hash of the id at
-a rate that follows from the exact count; the sample's labels are broadcast, its
-bound known. Weights are updated document by document in the order of a hash, in a
+Training takes a sample of about MAX_TRAIN labelled ids, drawn by hash of the id at
+a rate that follows from the exact count, with MAX_PER_ID documents of one id at most;
+the sample's labels, two an id at most, are broadcast. Weights are updated document by document in the order of a hash, in a
 task of its own, and the non-zero ones, DIM at most, are what comes back.
 
 Defined results. Null or empty text has only the bias. Without training rows of
 both labels the score is the training mean, 0.5 if there is none. Null quality is
-not learned; repeated labels count each. Empty table: empty result. Extra columns
+not learned; repeated labels of an id count once, contradicting ones both. Empty table: empty result. Extra columns
 are ignored by ``score`` and kept by ``keep_good``.
 """
 
@@ -20,12 +20,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from lorebase.llm.batches import _mix, _ODD, KEEP, SPACES, runs, slices, with_columns, words
 
 DIM = 1 << 20
-MAX_TRAIN = 6000
+MAX_TRAIN, MAX_PER_ID = 6000, 4
 EPOCHS, ALPHA, BETA, L1, L2 = 5, 1.0, 1.0, 0.02, 0.01
 THRESHOLD = 0.3
 #: Place of all pairs of a word with itself, whichever word it is.
@@ -133,11 +133,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     """Weights by place, and bias, from labelled rows outside the held-out fifth."""
     known = labels.select(F.col(id_col).alias("i"), F.col(quality).cast("int").alias("y")).where("i is not null and y in (0, 1)")
     known = known.where(F.crc32(F.col("i").cast("string").cast("binary")) % 5 != 0)
-    n = known.count()
+    known = known.distinct()
+    n = known.select("i").distinct().count()
     draw = F.pmod(F.xxhash64(F.lit("quality"), "i"), F.lit(1 << 30).cast("long")) / F.lit(float(1 << 30))
     sample = known.where(draw < min(1.0, max_train / max(1, n)))
     rows = docs.select(F.col(id_col).alias("i"), F.col(text).alias("text")).join(F.broadcast(sample), "i")
-    rows = rows.select("text", "y", F.xxhash64(F.lit("order"), "i", "text", "y").alias("o")).repartition(1)
+    rows = rows.select("i", "text", "y", F.xxhash64(F.lit("order"), "i", "text", "y").alias("o"))
+    few = F.row_number().over(Window.partitionBy("i", "y").orderBy("o"))
+    rows = rows.withColumn("few", few).where(F.col("few") <= MAX_PER_ID).select("text", "y", "o").repartition(1)
     # a sample of bounded size; with no row there is no task to answer, hence the default
     w, bias = np.zeros(DIM), 0.0
     for batch in [rows.mapInArrow(_train_task, "at int, w double").toArrow()]:
@@ -184,7 +187,9 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
     )
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are not rejected, with all their columns."""
-    scored = score(docs, train(docs, labels, "doc_id", text), text, "__score")
-    return scored.where(F.col("__score") >= THRESHOLD).drop("__score")
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not rejected, with all their columns, whatever their names."""
+    names = docs.columns
+    plain = docs.toDF(*[f"c{k}" for k in range(len(names))])
+    scored = score(plain, train(docs, labels, id_col, text), f"c{names.index(text)}", "score")
+    return scored.where(F.col("score") >= THRESHOLD).select(*plain.columns).toDF(*names)

@@ -3,25 +3,26 @@
 Base kinds: assign, access and hex. The method adds kind ``blob``: runs of
 ``[A-Za-z0-9+/_-]`` of 20+ characters holding an upper-case letter, a lower-case
 letter and a digit, outside all base spans. Every candidate's value is hashed and
-the hashes are aggregated over the corpus by distinct owners; ``source`` serves as
-repository and owner, and documents are not counted. A value of more than ``max_owners`` owners is a widely copied example;
-one of fewer is owner-specific and looks live. Blobs are reported only if they
-look live; base spans are always reported.
+the hashes are aggregated over the corpus by distinct owners (``source``) and by
+distinct repositories (what ``repository`` gives, else each different text). A value
+of more than ``max_owners`` owners or ``max_repositories`` repositories is a widely
+copied example; any other is owner-specific and looks live. Blobs are reported only
+if they look live; base spans are always reported.
 
-Offsets: regexp_extract_all gives the matches and split the text between them;
-running lengths of both, in code points, are the positions.
+Offsets: the matches split the text into gaps; running sums of gaps and matches, in
+code points, over the exploded matches of a row are the positions. So work grows in
+proportion to text and matches, also within one long text.
 
 Defined results. Null or empty text has no spans. Null owner counts as an owner of
-its own. Repeated rows each get their spans; one row's spans never depend on which
-copy is read. Ties (same start) go in the order assign, access, hex, blob. An empty
-table gives an empty result. Extra columns are ignored.
+its own, and so does a null repository. Repeated rows each get their spans; one row's
+spans never depend on which copy is read. Ties (same start) go in the order assign,
+access, hex, blob. An empty table gives an empty result. Extra columns are ignored by
+``secret_report`` and kept by ``mask_secrets``, whatever their names.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lorebase.sources.tables import materialise
 
@@ -34,83 +35,89 @@ KINDS = (
     ("blob", r"[A-Za-z0-9+/_-]{20,}", 0, 20),
 )
 BASE = 3
-MAX_OWNERS = 2
+MAX_OWNERS, MAX_REPOSITORIES = 2, 20
 #: Rows with spans that may be broadcast, some 100 MB; beyond, a shuffled join.
 MAX_BROADCAST_ROWS = 300_000
+#: Code points of a text that are masked at once.
+MASK_CHARS = 4096
 
 
-def _spans(text: Column, kind: int, found: Column, values: Column) -> Column:
-    """Array of (start, kind, end, value hash) of those matches whose value is long enough."""
-    name, pattern, _, least = KINDS[kind]
-    gaps = F.transform(F.split(text, pattern, -1), lambda s: F.char_length(s))
-    lens = F.transform(found, lambda s: F.char_length(s))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
-    step = lambda a, m: F.struct(
-        (a["at"] + m["g"] + m["n"]).alias("at"), F.concat(a["starts"], F.array(a["at"] + m["g"])).alias("starts")
-    )
-    starts = F.aggregate(
-        F.arrays_zip(F.slice(gaps, 1, F.size(lens)).alias("g"), lens.alias("n")), zero, step, lambda a: a["starts"]
-    )
-    all_ = F.transform(
-        F.arrays_zip(starts.alias("s"), lens.alias("n"), values.alias("v")),
-        lambda m: F.struct(
-            m["s"].alias("start"), F.lit(kind).alias("kind"), (m["s"] + m["n"]).alias("end"), m["v"].alias("value")
-        ),
-    )
-    long_enough = lambda m: F.char_length(m["value"]) >= least
+def _matches(text: Column, kind: int) -> Column:
+    """Array of (kind, i, gap, n, value): all matches in order, with the text before each; the value's hash if it is long enough."""
+    name, pattern, group, least = KINDS[kind]
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
+    ok = lambda v: F.char_length(v) >= least
     if name == "blob":
-        ok = lambda m: long_enough(m) & m["value"].rlike("[A-Z]") & m["value"].rlike("[a-z]") & m["value"].rlike("[0-9]")
-    else:
-        ok = long_enough
-    hashed = F.transform(
-        F.filter(all_, ok),
-        lambda m: F.struct(
-            m["start"].alias("start"), m["kind"].alias("kind"), m["end"].alias("end"), F.sha2(m["value"], 256).alias("value")
+        ok = lambda v: (F.char_length(v) >= least) & v.rlike("[A-Z]") & v.rlike("[a-z]") & v.rlike("[0-9]")
+    made = F.transform(
+        F.arrays_zip(F.split(text, pattern, -1).alias("g"), found.alias("m"), values.alias("v")),
+        lambda x, i: F.struct(
+            F.lit(kind).alias("kind"),
+            i.alias("i"),
+            F.char_length(x["g"]).alias("gap"),
+            F.char_length(x["m"]).alias("n"),
+            F.when(ok(x["v"]), F.sha2(x["v"], 256)).alias("value"),
         ),
     )
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
-    return F.when(F.size(found) > 0, hashed).otherwise(none)
+    none = F.array().cast("array<struct<kind:int,i:int,gap:int,n:int,value:string>>")
+    # the last gap has no match
+    return F.when(text.rlike(pattern), F.filter(made, lambda x: x["n"].isNotNull())).otherwise(none)
 
 
-def candidates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", owner: str = "source") -> DataFrame:
-    """One row per document row: uid, id, owner, base spans and blobs outside them; written once."""
+def candidates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", owner: str = "source", repository: str | None = None) -> DataFrame:
+    """One row per document row: uid, doc_id, owner, repository and its matches; written once."""
     t = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(owner).cast("string").alias("owner"), t.alias("t"))
-    for k, (name, pattern, group, _) in enumerate(KINDS):
-        rows = rows.withColumn(f"m_{name}", F.regexp_extract_all("t", F.lit(pattern), F.lit(0)))
-    values = {name: F.col(f"m_{name}") for name, *_ in KINDS}
-    values["assign"] = F.when(F.size("m_assign") > 0, F.regexp_extract_all("t", F.lit(ASSIGN), F.lit(2))).otherwise(F.col("m_assign"))
-    rows = rows.select(
-        "doc_id",
-        "owner",
-        *[_spans(F.col("t"), k, F.col(f"m_{name}"), values[name]).alias(name) for k, (name, *_) in enumerate(KINDS)],
-    )
-    rows = rows.withColumn("base", F.array_sort(F.concat("assign", "access", "hex")))
-    apart = lambda b: ~F.exists("base", lambda s: (s["start"] < b["end"]) & (b["start"] < s["end"]))
-    rows = rows.select("doc_id", "owner", "base", F.filter("blob", apart).alias("blob"))
-    return materialise(rows.withColumn("uid", F.monotonically_increasing_id()), "secrets")
-
-
-def ownership(found: DataFrame) -> DataFrame:
-    """value -> n_owners over the whole corpus."""
-    each = found.select(F.explode(F.concat("base", "blob")).alias("s"), "owner").select("s.value", "owner").distinct()
-    return each.groupBy("value").agg(F.count(F.lit(1)).alias("n_owners"))
-
-
-def scan(docs: DataFrame, max_owners: int = MAX_OWNERS, id_col: str = "doc_id", text: str = "text", owner: str = "source") -> DataFrame:
-    """doc_id, base (all base spans), found (all spans), each (start, kind, end, value, live)."""
-    rows = candidates(docs, id_col, text, owner)
-    each = rows.where(F.size("base") + F.size("blob") > 0).select("uid", F.explode(F.concat("base", "blob")).alias("s"))
-    judged = (
-        each.select("uid", "s.*")
-        .join(ownership(rows), "value")
-        .withColumn("live", F.col("n_owners") <= max_owners)
-        .where((F.col("kind") < BASE) | F.col("live"))
-        .groupBy("uid")
-        .agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "value", "live"))).alias("found"))
-    )
+    repo = F.xxhash64(text).cast("string") if repository is None else F.col(repository).cast("string")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(owner).cast("string").alias("owner"), repo.alias("repository"), t.alias("t"))
+    found = F.concat(*[_matches(F.col("t"), k) for k in range(len(KINDS))])
+    rows = rows.select("doc_id", "owner", "repository", found.alias("matches"))
+    return materialise(rows.withColumn("uid", F.monotonically_increasing_id()), "matches")
+
+
+def spans_of(rows: DataFrame) -> DataFrame:
+    """(uid, owner, repository, start, kind, end, value): base spans, and blobs that meet none; written once."""
+    each = rows.where(F.size("matches") > 0).select("uid", "owner", "repository", F.explode("matches").alias("m")).select("uid", "owner", "repository", "m.*")
+    upto = Window.partitionBy("uid", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # dealt out by row once; both windows use that
+    each = each.repartition("uid").withColumn("end", F.sum(F.col("gap") + F.col("n")).over(upto).cast("int"))
+    each = each.where("value is not null").withColumn("start", F.col("end") - F.col("n"))
+    order = Window.partitionBy("uid").orderBy("start", "kind")
+    base = F.col("kind") < BASE
+    before = F.max(F.when(base, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    # backwards, as a frame up to the last row would be read anew for every row
+    back = Window.partitionBy("uid").orderBy(F.desc("start"), F.desc("kind"))
+    after = F.min(F.when(base, F.col("start"))).over(back.rowsBetween(Window.unboundedPreceding, -1))
+    each = each.withColumns({"before": before, "after": after})
+    apart = (F.coalesce("before", F.lit(0)) <= F.col("start")) & (F.col("after").isNull() | (F.col("after") >= F.col("end")))
+    return materialise(each.where(base | apart).select("uid", "owner", "repository", "start", "kind", "end", "value"), "spans")
+
+
+def ownership(spans: DataFrame) -> DataFrame:
+    """value -> n_owners, n_repositories over the whole corpus."""
+    tag = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit(""))
+    return spans.groupBy("value").agg(F.count_distinct(tag("owner")).alias("n_owners"), F.count_distinct(tag("repository")).alias("n_repositories"))
+
+
+def judged(spans: DataFrame, max_owners: int, max_repositories: int) -> DataFrame:
+    """The spans with ``live``, without blobs that are examples."""
+    examples = ownership(spans).where((F.col("n_owners") > max_owners) | (F.col("n_repositories") > max_repositories))
+    examples = materialise(examples.select("value", F.lit(False).alias("live")), "examples")
+    small = examples.count() <= MAX_BROADCAST_ROWS
+    out = spans.join(F.broadcast(examples) if small else examples, "value", "left").withColumn("live", F.coalesce("live", F.lit(True)))
+    return out.where((F.col("kind") < BASE) | F.col("live"))
+
+
+def scan(
+    docs: DataFrame, max_owners: int = MAX_OWNERS, id_col: str = "doc_id", text: str = "text", owner: str = "source",
+    repository: str | None = None, max_repositories: int = MAX_REPOSITORIES,
+) -> DataFrame:
+    """doc_id, found (all spans in order, each start, kind, end, value, live), uid for every row."""
+    rows = candidates(docs, id_col, text, owner, repository)
+    spans = judged(spans_of(rows), max_owners, max_repositories)
+    found = spans.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "value", "live"))).alias("found"))
     none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string,live:boolean>>")
-    return rows.join(judged, "uid", "left").select("doc_id", F.coalesce("found", none).alias("found"), "uid")
+    return rows.join(found, "uid", "left").select("doc_id", F.coalesce("found", none).alias("found"), "uid")
 
 
 def listed(spans: Column) -> Column:
@@ -139,38 +146,57 @@ def secret_report(docs: DataFrame, **options) -> DataFrame:
 MASK = "[SECRET]"
 
 
-def masked(text: Column, spans: Column) -> Column:
-    """The text with each span, or run of overlapping spans, replaced by MASK. Spans are sorted."""
+def masked(text: Column, runs: Column) -> Column:
+    """The text with each of the sorted, disjoint runs (start, end) replaced by MASK.
+
+    It is cut into pieces of MASK_CHARS, so that no step reads the text from its beginning.
+    """
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{MASK_CHARS}}}"), F.lit(0))
     zero = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    step = lambda a, s: F.struct(
-        F.when(s["start"] < a["at"], a["out"])
-        .otherwise(F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit(MASK)))
-        .alias("out"),
-        F.greatest(a["at"], s["end"]).alias("at"),
-    )
-    return F.aggregate(spans, zero, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.char_length(text))))
+
+    def piece(p: Column, k: Column) -> Column:
+        low, n = k * MASK_CHARS, F.char_length(p)
+        here = F.filter(runs, lambda s: (s["start"] < low + MASK_CHARS) & (s["end"] > low))
+        step = lambda a, s: F.struct(
+            F.concat(
+                a["out"], F.substring(p, a["at"] + 1, F.greatest(F.lit(0), s["start"] - low - a["at"])), F.when(s["start"] >= low, MASK).otherwise("")
+            ).alias("out"),
+            F.least(n, s["end"] - low).alias("at"),
+        )
+        return F.when(F.size(here) == 0, p).otherwise(F.aggregate(here, zero, step, lambda a: F.concat(a["out"], F.substring(p, a["at"] + 1, n))))
+
+    return F.array_join(F.transform(pieces, piece), "")
 
 
-def mask_secrets(docs: DataFrame, max_owners: int = MAX_OWNERS, text: str = "text", owner: str = "source") -> DataFrame:
+def live_runs(spans: DataFrame) -> DataFrame:
+    """(uid, runs): overlapping live spans of a row as one (start, end), in order."""
+    order = Window.partitionBy("uid").orderBy("start", "kind", "end")
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.col("start") >= F.col("before"), F.lit(True)).cast("int")
+    rows = spans.where("live").withColumn("before", before)
+    rows = rows.withColumn("run", F.sum(opens).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    rows = rows.groupBy("uid", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return rows.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("runs"))
+
+
+def mask_secrets(
+    docs: DataFrame, max_owners: int = MAX_OWNERS, id_col: str = "doc_id", text: str = "text", owner: str = "source",
+    repository: str | None = None, max_repositories: int = MAX_REPOSITORIES,
+) -> DataFrame:
     """``docs`` with live-looking secrets masked; widely copied examples stay. All rows and columns stay.
 
-    The documents are scanned again and joined with the rows that have spans, which
-    are broadcast if they are few.
+    The rows that have live spans are found by id and text hash, and broadcast if they are few.
     """
-    same = ["__id", "__hash"]
-    key = {"__id": F.col("doc_id"), "__hash": F.xxhash64(text)}
-    rows = docs.withColumns(key)
-    found = scan(docs.withColumn("__key", F.struct(F.col("doc_id").alias("i"), F.xxhash64(text).alias("h"))), max_owners, "__key", text, owner)
-    spans = (
-        found.select(
-            F.col("doc_id.i").alias("k_id"), F.col("doc_id.h").alias("k_hash"), F.filter("found", lambda s: s["live"]).alias("spans")
-        )
-        .where(F.size("spans") > 0)
-        .dropDuplicates(["k_id", "k_hash"])
-    )
-    on = reduce(Column.__and__, [F.col("__id").eqNullSafe(F.col("k_id")), F.col("__hash").eqNullSafe(F.col("k_hash"))])
-    spans = materialise(spans, "spans")
-    small = spans.count() <= MAX_BROADCAST_ROWS
-    out = rows.join(F.broadcast(spans) if small else spans, on, "left")
-    fixed = F.when(F.size("spans") > 0, masked(F.col(text), F.col("spans"))).otherwise(F.col(text))
-    return out.withColumn(text, fixed).drop(*same, "k_id", "k_hash", "spans").select(*docs.columns)
+    names = docs.columns
+    at = {c: f"c{names.index(c)}" for c in (id_col, text, owner, *([repository] if repository else []))}
+    plain = docs.toDF(*[f"c{k}" for k in range(len(names))])
+    key = F.struct(F.col(at[id_col]).alias("i"), F.xxhash64(at[text]).alias("h"))
+    rows = candidates(plain.withColumn("key", key), "key", at[text], at[owner], repository and at[repository])
+    runs = live_runs(judged(spans_of(rows), max_owners, max_repositories))
+    found = rows.select("uid", F.col("doc_id.i").alias("k_id"), F.col("doc_id.h").alias("k_hash")).join(runs, "uid").drop("uid")
+    found = materialise(found.dropDuplicates(["k_id", "k_hash"]), "masks")
+    small = found.count() <= MAX_BROADCAST_ROWS
+    on = F.col(at[id_col]).eqNullSafe(F.col("k_id")) & (F.xxhash64(at[text]) == F.col("k_hash"))
+    out = plain.join(F.broadcast(found) if small else found, on, "left")
+    fixed = F.when(F.size("runs") > 0, masked(F.col(at[text]), F.col("runs"))).otherwise(F.col(at[text]))
+    return out.withColumn(at[text], fixed).select(*plain.columns).toDF(*names)
