@@ -10,8 +10,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, types as T
 
+# freed batches go back to the system, as workers outlive the stage they served
+pa.set_memory_pool(pa.system_memory_pool())
+
+#: Bytes of a batch that passes between Spark and a Python worker; a longer row is a batch of its own.
+BATCH_BYTES = 8 << 20
 #: Bytes of text handled at once; a longer document is a slice of its own.
 SLICE_BYTES = 1 << 19
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -42,6 +47,14 @@ def _power(base: np.uint64, n: int) -> np.ndarray:
     return out[:n]
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches bounded, so that rows of any size take the same memory."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(name) != str(BATCH_BYTES):
+        conf.set(name, str(BATCH_BYTES))
+    return df
+
+
 def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of consecutive rows; null is empty text."""
     column = column.cast(pa.large_string())
@@ -111,5 +124,5 @@ def large_list(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa
 
 def with_columns(df, added: dict):
     """(``df`` under the names c0, c1, ..., its schema with the added columns): for batches whose columns may share names."""
-    plain = df.toDF(*[f"c{k}" for k in range(len(df.columns))])
+    plain = in_small_batches(df).toDF(*[f"c{k}" for k in range(len(df.columns))])
     return plain, T.StructType([*plain.schema.fields, *[T.StructField(n, t) for n, t in added.items()]])

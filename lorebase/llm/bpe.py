@@ -33,14 +33,14 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 from tokenizers import Tokenizer
 
-from lorebase.llm.batches import with_columns
+from lorebase.llm.batches import in_small_batches, with_columns
 from lorebase.sources.tables import discard, materialise
 
 MAX_WORDS, MAX_WORD_BYTES = 200_000, 24
 #: Distinct words a task counts before it passes them on.
-FLUSH = 200_000
+FLUSH = 100_000
 #: Bytes of text whose words are held at once.
-PART_BYTES = 1 << 20
+PART_BYTES = 1 << 19
 _W = r"\p{White_Space}"
 _SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_W}\p{{L}}\p{{N}}]+|{_W}+(?!\P{{White_Space}})|{_W}+"
 OUTPUTS = {
@@ -124,7 +124,7 @@ def word_table(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                     seen = Counter()
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
 
-    return docs.select(F.col(text).alias("t")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return in_small_batches(docs).select(F.col(text).alias("t")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 #: Steps of the histogram in a doubling of the count.
@@ -151,8 +151,8 @@ def head_of(table: DataFrame, path: str, max_words: int = MAX_WORDS) -> DataFram
     return short.where(F.lit(False) if least is None else F.col("step") >= least).select("word").mapInArrow(encode, "word string, ids array<int>")
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", outputs: tuple = ("ids",), max_words: int = MAX_WORDS) -> DataFrame:
-    """``docs`` with the columns named in ``outputs``, see OUTPUTS."""
+def encode(docs: DataFrame, path: str, text: str = "text", outputs: tuple = ("ids",), max_words: int = MAX_WORDS, keep_text: bool = True) -> DataFrame:
+    """``docs`` with the columns named in ``outputs``, see OUTPUTS; without the text if that is not kept."""
     spark = docs.sparkSession
     table = materialise(word_table(docs, path, text), "words")
     head = head_of(table, path, max_words).toArrow()
@@ -162,6 +162,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", outputs: tuple = ("id
     schema = docs.schema
     place = [f.name for f in schema].index(text)
     rows, kind = with_columns(docs, {o: OUTPUTS[o] for o in outputs})
+    kept = [k for k in range(len(schema)) if keep_text or k != place]
+    kind = T.StructType([*[kind[k] for k in kept], *kind[len(schema) :]])
     names = kind.names
 
     def run(batches):
@@ -190,9 +192,9 @@ def encode(docs: DataFrame, path: str, text: str = "text", outputs: tuple = ("id
                     if "decoded_sha256" in out:
                         out["decoded_sha256"].append(sha256(decoded.encode()).hexdigest())
             added = [pa.array(out[o], to_arrow_type(OUTPUTS[o])) for o in outputs]
-            yield pa.RecordBatch.from_arrays([*b.columns, *added], names)
+            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in kept], *added], names)
 
-    return rows.mapInArrow(run, kind).toDF(*schema.names, *outputs)
+    return rows.mapInArrow(run, kind).toDF(*[schema.names[k] for k in kept], *outputs)
 
 
 def _parts(batch: pa.RecordBatch, place: int):

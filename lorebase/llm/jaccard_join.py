@@ -18,7 +18,7 @@ equal sets form a class (128-bit set hash); one set of each class takes part.
 3. Links. Each set is compared with the hub of a list, the set with the fewest prefix
    shingles that nobody else lists, and with a neighbour by size. Sets joined by verified
    links are contracted. In lists that still hold different components, those pairs are
-   left that sizes, positions and bitmaps allow. A set's bitmap holds the parity of the
+   left that sizes, positions and bitmaps (folded ones in the join) allow. A set's bitmap holds the parity of the
    number of its shingles by place, so two bitmaps differ in no more places than the sets
    in shingles: no pair that links is lost. What is left out are pairs that are connected
    already, so components are exact while no list is expanded within one component.
@@ -40,7 +40,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lorebase.llm.batches import _mix, _ODD, ASCII_FOLD, SPACES, large_list, runs, slices, words
+from lorebase.llm.batches import _mix, _ODD, ASCII_FOLD, SPACES, in_small_batches, large_list, runs, slices, words
 from lorebase.llm.components import components
 from lorebase.sources.tables import discard, materialise
 
@@ -95,7 +95,7 @@ def count_table(docs: DataFrame, text: str = "text") -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], ["at", "n"])
 
-    rows = docs.select(F.col(text).alias("t")).mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    rows = in_small_batches(docs).select(F.col(text).alias("t")).mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(1 << BITS, np.int64)
     out[rows.column("at").to_numpy()] = rows.column("n").to_numpy()
     return out
@@ -180,10 +180,10 @@ def boundary(sets: DataFrame) -> int:
 
 
 def postings(reps: DataFrame, x: int) -> DataFrame:
-    """(key, node, n, pos, hot): subsets of light sets (pos -1), listed shingles of heavy ones and of those they can reach."""
+    """(key, node, at): subsets of light sets (pos -1), listed shingles of heavy ones and of those they can reach; at packs n, pos and hot."""
     n, prefix = F.col("n"), F.col("prefix")
     listed = reps.where(_listed(x)).select("node", "n", "calm", F.posexplode(F.slice(prefix, 1, _one())).alias("pos", "key"))
-    listed = listed.select("key", "node", "n", "pos", (F.col("pos") >= F.col("calm")).alias("hot"))
+    listed = listed.select("key", "node", _packed(F.col("pos"), F.col("pos") >= F.col("calm")))
     if not x:
         return listed
     pairs = F.flatten(
@@ -197,7 +197,17 @@ def postings(reps: DataFrame, x: int) -> DataFrame:
     )
     # a subset is as rare as its rarer shingle at least
     light = reps.where((n <= x) & (F.size(prefix) >= 2)).select("node", "n", F.explode(pairs).alias("p"))
-    return listed.unionAll(light.select("p.key", "node", "n", F.lit(-1).alias("pos"), "p.hot"))
+    return listed.unionAll(light.select("p.key", "node", _packed(F.lit(-1), F.col("p.hot"))))
+
+
+def _packed(pos: Column, hot: Column) -> Column:
+    """n, pos + 1 and hot in one number: most postings are of shingles that nobody else has, and are only dealt out."""
+    return (F.shiftleft(F.col("n"), 32) + F.shiftleft(pos + 1, 1) + hot.cast("int")).alias("at")
+
+
+def _unpacked(rows: DataFrame) -> DataFrame:
+    n, pos = F.shiftright("at", 32), (F.shiftright("at", 1).bitwiseAND(F.lit((1 << 31) - 1).cast("long")) - 1)
+    return rows.withColumns({"n": n, "pos": pos.cast("int")}).drop("at")
 
 
 def _one() -> Column:
@@ -218,10 +228,11 @@ def live_lists(rows: DataFrame) -> DataFrame:
     marks = {
         "k1": F.bit_xor(F.xxhash64("node")).over(whole), "k2": F.bit_xor(F.xxhash64(F.lit("2"), "node")).over(whole), "size": F.count(F.lit(1)).over(whole)
     }
-    live = rows.where("not hot").withColumns(marks).where("size > 1").select("k1", "k2", "node", "n", "pos")
-    hot = rows.where("hot").select(F.col("key").alias("k1"), F.lit(0).cast("long").alias("k2"), "node", "n", "pos")
+    is_hot = F.col("at") % 2 == 1
+    live = rows.where(~is_hot).withColumns(marks).where("size > 1").select("k1", "k2", "node", "at")
+    hot = rows.where(is_hot).select(F.col("key").alias("k1"), F.lit(0).cast("long").alias("k2"), "node", "at")
     keys = F.sum((F.col("pos") >= 0).cast("int"))
-    merged = live.unionAll(hot).groupBy("k1", "k2", "node")
+    merged = _unpacked(live.unionAll(hot)).groupBy("k1", "k2", "node")
     return merged.agg(F.min("n").alias("n"), F.greatest(F.min("pos"), F.lit(0)).alias("pos"), keys.alias("keys"))
 
 
@@ -236,6 +247,20 @@ def _unlike(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, c: s + c)
 
 
+#: Numbers in a sketch: a bitmap folded to 256 places, small enough for every row of a list.
+SKETCH = 4
+
+
+def _sketch(bits: Column) -> Column:
+    """A bitmap folded to SKETCH numbers, or as it is if it has no more."""
+    fold = lambda k: F.aggregate(F.filter(bits, lambda _, i: i % SKETCH == k), F.lit(0).cast("long"), lambda s, x: s.bitwiseXOR(x))
+    return F.when(F.size(bits) <= SKETCH, bits).otherwise(F.array(*[fold(k) for k in range(SKETCH)]))
+
+
+def _sketches_allow(a: Column, b: Column, na: Column, nb: Column) -> Column:
+    return (F.size(a) != F.size(b)) | (_unlike(a, b) * (PART + WHOLE) <= (na + nb) * (WHOLE - PART))
+
+
 def _bits_allow(a: str, b: str) -> Column:
     """Sets that link differ in 1 / 7 of their sizes' sum at most, and bitmaps in no more; a larger bitmap is taken folded."""
     wide, other = F.size(f"{a}bits"), F.size(f"{b}bits")
@@ -342,11 +367,15 @@ def classes_and_links(docs: DataFrame, id_col: str = "doc_id", text: str = "text
 
     held = lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = held.groupBy("k1", "k2").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("k1", "k2")
-    held = materialise(held.join(mixed, ["k1", "k2"], "left_semi").join(reps.select("node", "bits", "half"), "node"), "held")
-    other = held.select("k1", "k2", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "pos", "label", "bits", "half")])
-    apart = (F.col("label") < F.col("o_label")) & _can_link(F.col("n"), F.col("pos"), F.col("o_n"), F.col("o_pos")) & _bits_allow("", "o_")
-    rest = held.join(other, (held["k1"] == other["k1"]) & (held["k2"] == other["k2"]) & apart)
-    more = verified(rest.select(F.col("o_node").alias("a"), F.col("node").alias("b")).distinct(), classes, docs, id_col, text)
+    sketches = reps.select("node", _sketch(F.col("bits")).alias("sketch"))
+    held = materialise(held.join(mixed, ["k1", "k2"], "left_semi").join(sketches, "node"), "held")
+    # the same columns on both sides, so that they share one exchange
+    side = lambda s: held.select(*[F.col(c).alias(f"{s}_{c}") for c in ("k1", "k2", "node", "n", "pos", "label", "sketch")])
+    l, r = (lambda c: F.col(f"l_{c}")), (lambda c: F.col(f"r_{c}"))  # noqa: E731, E741
+    apart = (l("label") < r("label")) & _can_link(l("n"), l("pos"), r("n"), r("pos")) & _sketches_allow(l("sketch"), r("sketch"), l("n"), r("n"))
+    rest = side("l").join(side("r"), (l("k1") == r("k1")) & (l("k2") == r("k2")) & apart)
+    rest = rest.select(r("node").alias("a"), l("node").alias("b")).distinct()
+    more = verified(bounded(rest, reps), classes, docs, id_col, text)
     discard(lists, held, first)
     known = labels.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
     return sets.select("doc_id", "text_hash", "n", "s1", "s2"), classes, known.unionAll(more.select("a", "b"))

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lorebase.llm.batches import slices
+from lorebase.llm.batches import in_small_batches, slices
 
 DIM, CLASSES = 1024, 48
 MAX_PER_LANG = 3000
@@ -110,7 +110,7 @@ def held_out(id_col: str = "doc_id", of: int = 4, remainder: int = 2) -> Column:
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", max_per_lang: int = MAX_PER_LANG) -> tuple[list[str], np.ndarray]:
     """Languages, sorted, and their prototypes. One vector a language reaches the driver."""
-    known = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
+    known = in_small_batches(docs).select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
     counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
     rate = F.least(F.lit(1.0), F.lit(float(max_per_lang)) / F.col("n"))
     draw = F.pmod(F.xxhash64(F.lit("draw"), "text"), F.lit(1 << 30).cast("long")) / F.lit(float(1 << 30))
@@ -160,6 +160,6 @@ def identify(docs: DataFrame, langs: list[str], protos: np.ndarray, id_col: str
                 ["doc_id", "held_out", "lang_pred", "score"],
             )
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text).alias("text"))
+    rows = in_small_batches(docs).select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from lorebase.llm.batches import _mix, _ODD, KEEP, SPACES, runs, slices, with_columns, words
+from lorebase.llm.batches import _mix, _ODD, KEEP, SPACES, in_small_batches, runs, slices, with_columns, words
 
 DIM = 1 << 20
 MAX_TRAIN, MAX_PER_ID = 6000, 4
@@ -137,7 +137,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     n = known.select("i").distinct().count()
     draw = F.pmod(F.xxhash64(F.lit("quality"), "i"), F.lit(1 << 30).cast("long")) / F.lit(float(1 << 30))
     sample = known.where(draw < min(1.0, max_train / max(1, n)))
-    rows = docs.select(F.col(id_col).alias("i"), F.col(text).alias("text")).join(F.broadcast(sample), "i")
+    rows = in_small_batches(docs).select(F.col(id_col).alias("i"), F.col(text).alias("text")).join(F.broadcast(sample), "i")
     rows = rows.select("i", "text", "y", F.xxhash64(F.lit("order"), "i", "text", "y").alias("o"))
     few = F.row_number().over(Window.partitionBy("i", "y").orderBy("o"))
     rows = rows.withColumn("few", few).where(F.col("few") <= MAX_PER_ID).select("text", "y", "o").repartition(1)

@@ -57,7 +57,7 @@ def op7_decontaminate(spark, d):
 @query
 def op8_bpe(spark, d):
     docs = read_table(spark, d, "documents").select("doc_id", "text")
-    return bpe.encode(docs, VOCABULARY, outputs=("n_tokens", "ids_sha256", "decoded_sha256")).drop("text")
+    return bpe.encode(docs, VOCABULARY, outputs=("n_tokens", "ids_sha256", "decoded_sha256"), keep_text=False)
 
 
 @query
