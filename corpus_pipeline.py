@@ -35,8 +35,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left."""
-    out = bpe.encode(docs, VOCABULARY, outputs=("n_tokens", "ids", "decoded_sha256"))
-    return out.select("doc_id", "lang", "source", "n_tokens", "ids", "decoded_sha256")
+    rows = docs.select("doc_id", "lang", "source", "text")
+    return bpe.encode(rows, VOCABULARY, outputs=("n_tokens", "ids", "decoded_sha256"), keep_text=False)
 
 
 STAGES = [
