@@ -11,7 +11,8 @@ Documents are bundled as (document x distinct trigram counts) times (trigram
 vectors) in batches of bounded size, whole texts included.
 
 Training reads a sample of about MAX_PER_LANG documents a language at most, drawn
-by hash of the text at a rate that follows from exact counts.
+by hash of id and text at a rate that follows from exact counts. More than MAX_LANGS
+different names are an error.
 
 Defined results. Null text, or text without a letter: ``und`` with score 0. A
 corpus without training rows gives ``und`` for all. Null lang is not learned.
@@ -28,11 +29,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lorebase.llm.batches import in_small_batches, slices
+from lorebase.sources.tables import materialise
 
 DIM, CLASSES = 1024, 48
 MAX_PER_LANG = 3000
-#: So many names are learned, the most frequent; the table of their counts is what is broadcast.
-MAX_LANGS = 512
+#: More names than these are no languages: an error. Their prototypes are what reaches the driver.
+MAX_LANGS = 4096
 #: Characters, and documents, bundled in one product.
 BUNDLE_CHARS, BUNDLE_DOCS = 1 << 18, 64
 
@@ -108,12 +110,15 @@ def held_out(id_col: str = "doc_id", of: int = 4, remainder: int = 2) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % of == remainder, F.lit(False))
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang", max_per_lang: int = MAX_PER_LANG) -> tuple[list[str], np.ndarray]:
+def train(docs: DataFrame, text: str = "text", lang: str = "lang", max_per_lang: int = MAX_PER_LANG, id_col: str = "doc_id") -> tuple[list[str], np.ndarray]:
     """Languages, sorted, and their prototypes. One vector a language reaches the driver."""
-    known = in_small_batches(docs).select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
+    known = in_small_batches(docs).select(F.col(id_col).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialise(counts, "languages")
+    if counts.count() > MAX_LANGS:
+        raise ValueError(f"column {lang} has more than {MAX_LANGS} different names")
     rate = F.least(F.lit(1.0), F.lit(float(max_per_lang)) / F.col("n"))
-    draw = F.pmod(F.xxhash64(F.lit("draw"), "text"), F.lit(1 << 30).cast("long")) / F.lit(float(1 << 30))
+    draw = F.pmod(F.xxhash64(F.lit("draw"), "id", "text"), F.lit(1 << 30).cast("long")) / F.lit(float(1 << 30))
     sample = known.join(F.broadcast(counts), "lang").where(draw < rate).select("lang", "text")
 
     def partial(batches):

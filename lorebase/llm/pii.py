@@ -4,9 +4,12 @@ Found and validated: e-mail addresses, card numbers (Luhn), IBANs (mod 97), US s
 security numbers, phone numbers, IPv4 addresses and calendar dates. Each value is
 split into its variable signs and its format; the signs are read as one mixed-radix
 number below M, which a keyed Feistel network over the next even number of bits
-permutes, walking until the result is below M. Check digits are computed anew, dates
-are permuted among the valid days of DAYS that can be written in their form. So formats stay, equal values get equal
-pseudonyms in all documents, and the key holder can invert them.
+permutes, walking until the result is below M and valid as its kind. Check digits are
+computed anew, dates are permuted among the days of their two centuries (1900 to 2099,
+and so on) that can be written in their form. Of a phone number the national digits are
+permuted and the country code stays, so one number written with other signs, or without
+its country code, stays linked. So formats stay, equal values get equal pseudonyms in
+all documents, and the key holder can invert them. The key is a text of any length.
 
 Dates are year-month-day with - or /, and day-month-year with / or ., parts of one or
 two digits, with or without a time after a T. What is no day/month but a month/day is read
@@ -31,12 +34,13 @@ from pyspark.sql import DataFrame, types as T
 
 from lorebase.llm.batches import with_columns
 
-KEY = "pseudonym-1"
 ROUNDS = 8
-DAYS = (date(1900, 1, 1), date(2099, 12, 31))
+#: Years that are permuted among themselves.
+ERA = 200
 KINDS = ("email", "iban", "phone", "card", "ssn", "ipv4", "date")
 _PATTERNS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    # from the beginning of a run of its signs, so that a long run is read once
+    "email": r"(?<![A-Za-z0-9._%+-])[._%+-]*+[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
     r"|(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9])",
@@ -46,9 +50,18 @@ _PATTERNS = {
     "date": r"(?<![0-9A-Za-z/-])(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}|[0-9]{1,2}[/.][0-9]{1,2}[/.][0-9]{4})"
     r"(?:(?=[Tt][0-9]{2}|Z(?![0-9A-Za-z]))|(?![0-9A-Za-z/-]))",
 }
+#: Signs before the @ of a valid address.
+MAX_LOCAL = 64
+#: Country codes of one and two digits, a public numbering plan; all others have three.
+_CODES = {*"17", *"20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()}
 ANY = re.compile("|".join(f"(?P<{k}>{_PATTERNS[k]})" for k in KINDS))
 
 
+@lru_cache(maxsize=64)
+def _secret(key: str) -> bytes:
+    return blake2b(key.encode()).digest()
+
+
 @lru_cache(maxsize=1 << 16)
 def permute(x: int, size: int, key: str, back: bool = False) -> int:
     """Keyed permutation of 0..size-1, or its inverse."""
@@ -58,7 +71,7 @@ def permute(x: int, size: int, key: str, back: bool = False) -> int:
     low = (1 << half) - 1
 
     def turn(i: int, v: int) -> int:
-        seed = blake2b(f"{size}|{i}|{v}".encode(), key=key.encode(), digest_size=(half + 7) // 8).digest()
+        seed = blake2b(f"{size}|{i}|{v}".encode(), key=_secret(key), digest_size=(half + 7) // 8).digest()
         return int.from_bytes(seed, "big") & low
 
     while True:
@@ -100,10 +113,11 @@ def _mod97(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
 
 
-@lru_cache(maxsize=16)
-def _days(month: int, day: int, late: bool):
-    """Ordinals of the days of DAYS whose month and day fit so many digits; ``late``: those after the 12th."""
-    every = range(DAYS[0].toordinal(), DAYS[1].toordinal() + 1)
+@lru_cache(maxsize=32)
+def _days(era: int, month: int, day: int, late: bool):
+    """Ordinals of the days of an era whose month and day fit so many digits; ``late``: those after the 12th."""
+    years = max(1, era * ERA + 100), min(9999, era * ERA + 99 + ERA)
+    every = range(date(years[0], 1, 1).toordinal(), date(years[1], 12, 31).toordinal() + 1)
     if month == day == 2 and not late:
         return every
     return [n for n in every if (d := date.fromordinal(n)).month < 10**month and d.day < 10**day and (d.day > 12 or not late)]
@@ -117,9 +131,7 @@ def _date(value: str, key: str, back: bool) -> str | None:
             found = date(*(int(text[c]) for c in "Ymd"))
         except ValueError:
             continue
-        if not DAYS[0] <= found <= DAYS[1]:
-            return None
-        days = _days(len(text["m"]), len(text["d"]), order == "mdY")
+        days = _days((found.year - 100) // ERA, len(text["m"]), len(text["d"]), order == "mdY")
         new = date.fromordinal(days[permute(bisect_left(days, found.toordinal()), len(days), key, back)])
         for k, c in enumerate(order):
             parts[2 * k] = str({"Y": new.year, "m": new.month, "d": new.day}[c]).zfill(len(text[c]))
@@ -127,17 +139,35 @@ def _date(value: str, key: str, back: bool) -> str | None:
     return None
 
 
-def pseudonym(kind: str, value: str, key: str = KEY, back: bool = False) -> str | None:
+def _valid_ssn(value: str) -> bool:
+    return not (value[:3] in ("000", "666") or value[0] == "9" or value[4:6] == "00" or value[7:] == "0000")
+
+
+def _country(digits: str) -> int:
+    """How many of the digits after a plus are the country code."""
+    return 1 if digits[0] in _CODES else 2 if digits[:2] in _CODES else 3
+
+
+def pseudonym(kind: str, value: str, key: str, back: bool = False) -> str | None:
     """The pseudonym, or the value of one with ``back``; None for what is not valid."""
     key = f"{key}|{kind}"
     digits = [p for p, c in enumerate(value) if c.isdigit()]
     if kind == "email":
+        if value.index("@") > MAX_LOCAL:
+            return None
         return _signs(value, key, back, [p for p, c in enumerate(value[: value.index("@")]) if c.isalnum()])
     if kind == "phone":
-        number = [p for p in digits if p > value.find(" ", 0, 5)] if value.startswith("+") and " " in value[:5] else digits
-        return _signs(value, key, back, number) if 7 <= len(digits) <= 15 else None
+        if not 7 <= len(digits) <= 15:
+            return None
+        skip = _country("".join(value[p] for p in digits)) if value.startswith("+") else 0
+        return _signs(value, key, back, digits[skip:])
     if kind == "ssn":
-        return None if value[:3] in ("000", "666") or value[0] == "9" or value[4:6] == "00" or value[7:] == "0000" else _signs(value, key, back, digits)
+        if not _valid_ssn(value):
+            return None
+        value = _signs(value, key, back, digits)
+        while not _valid_ssn(value):
+            value = _signs(value, key, back, digits)
+        return value
     if kind == "card":
         plain = "".join(value[p] for p in digits)
         if luhn(plain[:-1]) != int(plain[-1]):
@@ -165,7 +195,7 @@ def _quick(text: str) -> bool:
     return "@" in text or any(d in text for d in "0123456789")
 
 
-def replace(text: str | None, key: str = KEY, back: bool = False) -> tuple[str | None, list[int]]:
+def replace(text: str | None, key: str, back: bool = False) -> tuple[str | None, list[int]]:
     """Text with pseudonyms, and how many of each kind."""
     counts = [0] * len(KINDS)
     if not text or not _quick(text):
@@ -189,7 +219,7 @@ def replace(text: str | None, key: str = KEY, back: bool = False) -> tuple[str |
     return "".join([*out, text[done:]]), counts
 
 
-def pseudonymise(docs: DataFrame, text: str = "text", key: str = KEY, back: bool = False) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, text: str = "text", back: bool = False) -> DataFrame:
     """``docs`` with the text's personal data replaced, and a count n_<kind> of each kind."""
     schema = docs.schema
     place = [f.name for f in schema].index(text)

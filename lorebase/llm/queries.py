@@ -36,7 +36,8 @@ def op3_url_filter(spark, d):
 
 @query
 def op4_pii(spark, d):
-    return pii.pseudonymise(read_table(spark, d, "documents").select("doc_id", "text"))
+    # the tables are invented; a real run takes its key from a store of secrets
+    return pii.pseudonymise(read_table(spark, d, "documents").select("doc_id", "text"), spark.conf.get("lorebase.pii.key", "key of the invented tables"))
 
 
 @query
@@ -92,7 +93,7 @@ _SITES = " or ".join(f"site = '{e[:-1]}' or ends_with(site, '.{e[:-1]}')" for e
 ORACLES["op3_url_filter"] = f"""
 with u as (select page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
  p as (select page_id, translate(regexp_extract(rest, '^[^/?#]*'), {_FOLD}) as host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from u),
- q as (select *, regexp_replace(host, '[.]+$', '') as site from p)
+ q as (select *, regexp_replace(regexp_replace(regexp_replace(host, '^.*@', '', 's'), ':[0-9]*$', ''), '[.]+$', '') as site from p)
 select page_id, host, path, case {_rule_sql("rule")} end as rule, case {_rule_sql("action")} when {_SITES} then 'block' else 'allow' end as verdict from q"""
 
 _WORDS = f"regexp_extract_all(translate(coalesce(text, ''), {_FOLD}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"

@@ -9,7 +9,8 @@ next, where it prunes whole shards. Blocks of queries meet shards by shard numbe
 a task holds one block and one tree.
 
 Scores are inner products of integers floor(64 x). They are computed in float64 where
-all sums stay below 2 ** 53, else in 64-bit integers. Components are limited to +-2 ** 28.
+all sums stay below 2 ** 53, in 64-bit integers below 2 ** 63, else in Python's integers
+of any size. A component, or a score that is computed, beyond 64 bits is an error.
 
 Defined results. A vector that is null or holds a null, NaN or infinite component
 takes no part. Vectors of different lengths count missing components as 0. Ties go to
@@ -30,7 +31,7 @@ from lorebase.sources.tables import materialise
 
 K, EVERY, SCALE = 20, 20, 64
 SHARD_ROWS, BLOCK_ROWS, LEAF_ROWS = 8192, 512, 64
-LIMIT = 1 << 28
+LIMIT = float(1 << 62)
 _NO_ID = (1 << 63) - 1
 #: Shards in the first, second, ... wave; the last wave takes the rest.
 WAVES = (1, 3, 12)
@@ -40,8 +41,9 @@ def vectors(df: DataFrame, id_col: str = "vec_id", vector: str = "embedding") ->
     """(uid, vec_id, v, shard) of the rows that take part, written once."""
     x = F.col(vector)
     finite = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e.cast("double")) < float("inf")))
+    too_large = F.raise_error(F.lit("a scaled component does not fit 64 bits")).cast("long")
     whole = F.transform(
-        x, lambda e: F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), F.floor(e.cast("double") * SCALE))).cast("long")
+        x, lambda e: F.when(F.abs(e.cast("double") * SCALE) < LIMIT, F.floor(e.cast("double") * SCALE).cast("long")).otherwise(too_large)
     )
     rows = df.select(F.col(id_col).cast("long").alias("vec_id"), F.when(finite, whole).alias("v")).where("v is not null")
     rows = materialise(rows.withColumn("uid", F.monotonically_increasing_id()), "vectors")
@@ -93,10 +95,10 @@ def search(tree: dict, uids: np.ndarray, q: np.ndarray, kth: np.ndarray, k: int)
     """(vec_ids, uids, scores) of at most k best rows of each query that reach its kth score so far."""
     d = max(q.shape[1], tree["v"].shape[1])
     q, v, c = _widened(q, d), _widened(tree["v"], d), _widened(tree["c"], d)
-    exact = d * float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) < 2.0**53
-    kind = np.float64 if exact else np.int64
-    q, v = q.astype(kind), v.astype(kind)
+    most = d * float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0))
+    kind = np.float64 if most < 2.0**53 else np.int64 if most < 2.0**62 else object
     qf = q.astype(np.float64)
+    q, v = q.astype(kind), v.astype(kind)
     size = np.linalg.norm(qf, axis=1)
     bounds = qf @ c.T + size[:, None] * tree["r"]
     bounds += 1e-9 * (np.abs(bounds) + size[:, None] * np.linalg.norm(c, axis=1) + 1)
@@ -113,8 +115,14 @@ def search(tree: dict, uids: np.ndarray, q: np.ndarray, kth: np.ndarray, k: int)
                 heapq.heappush(heap, (-bounds[i, right], right))
                 continue
             lo, hi = tree["spans"][n]
-            s = (v[lo:hi] @ q[i]).astype(np.int64)
-            ok = np.flatnonzero((s >= least) & (tree["uids"][lo:hi] != uids[i]))
+            s = v[lo:hi] @ q[i]
+            other = tree["uids"][lo:hi] != uids[i]
+            if kind is object:
+                s = np.where(other, s, 0)
+                if any(abs(x) >= 1 << 63 for x in s):
+                    raise OverflowError("a score does not fit 64 bits")
+            s = s.astype(np.int64)
+            ok = np.flatnonzero((s >= least) & other)
             if len(ok):
                 ids = np.concatenate((ids, tree["ids"][lo:hi][ok]))
                 own = np.concatenate((own, tree["uids"][lo:hi][ok]))

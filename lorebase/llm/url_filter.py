@@ -4,7 +4,7 @@ Method. A list of canonical URL expressions (``host/path-prefix``) is hashed int
 a blocked Bloom filter: every entry sets four bits inside one 64-bit block. Each
 URL without a fitting rule is expanded into its host suffixes x path prefixes, up
 to the most labels and folders that an entry has; user part, port and trailing dots
-of the host do not count there. Expressions whose bits are all set are possible hits and go to an exact hash join
+of the host do not count there, and percent escapes are decoded (invalid ones stay). Expressions whose bits are all set are possible hits and go to an exact hash join
 with the list, which removes the filter's false positives. The filter has a fixed
 number of blocks at most, so what is broadcast is bounded whatever the list holds.
 
@@ -65,8 +65,15 @@ def fitting_rule(host: Column, path: Column, rules=RULES) -> Column:
     return out
 
 
+def unescaped(part: Column) -> Column:
+    """Percent escapes decoded; a plus is a plus, and a part with an invalid escape stays as it is."""
+    decoded = F.try_url_decode(F.replace(part, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(part, F.lit("%")), F.coalesce(decoded, part)).otherwise(part)
+
+
 def site_of(host: Column) -> Column:
-    """The host without user part, port and trailing dots."""
+    """The host without user part, port and trailing dots, escapes decoded, A-Z lower-cased."""
+    host = F.translate(unescaped(host), _UPPER, _LOWER)
     return F.regexp_replace(F.regexp_replace(F.regexp_replace(host, "(?s)^.*@", ""), ":[0-9]*$", ""), r"\.+$", "")
 
 
@@ -86,7 +93,7 @@ def lookup_keys(site: Column, path: Column, most_labels: int, most_folders: int)
         F.sequence(F.lit(1), F.least(n, F.lit(most_labels))),
         lambda i: F.array_join(F.slice(labels, n - i + 1, i), "."),
     )
-    full = F.when(path == "", "/").otherwise(path)
+    full = F.when(path == "", "/").otherwise(unescaped(path))
     parts = F.split(full, "/")
     prefixes = F.transform(
         F.sequence(F.lit(1), F.least(_folders(full), F.lit(most_folders))),

@@ -32,3 +32,11 @@ def test_depth_and_ports(spark, listed):
     got = {r["page_id"]: r for r in url_filter.filter_urls(pages, url_filter.listed_frame(spark, listed), rules=()).collect()}
     assert {URLS[k]: r["listed"] for k, r in got.items()} == {u: is_listed(u, listed) for u in URLS}
     assert got[9]["host"] == "spam-farm.example.com:8080" and got[10]["host"] == "user@spam-farm.example.com"
+
+
+def test_escapes(spark):
+    listed = spark.createDataFrame([("x.org/a/",), ("spam.example.com/",)], "key string")
+    urls = ["http://x.org/%61/b", "http://x.org/%zz/b", "http://spam%2Eexample.com/q", "http://x.org/a+b/", "http://x.org/%61%2Fb", "http://u:p@SPAM.example.com:80/%"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: (r["verdict"], r["path"]) for r in url_filter.filter_urls(pages, listed, rules=()).collect()}
+    assert [got[k][0] for k in range(6)] == ["block", "allow", "block", "allow", "block", "block"] and got[0][1] == "/%61/b"
