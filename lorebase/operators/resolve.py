@@ -73,21 +73,64 @@ def merged_fields(df: DataFrame, groups: DataFrame, fields: tuple[str, ...] = ME
     return fills, evidence
 
 
-def field_evidence(evidence: DataFrame) -> DataFrame:
-    """Evidence rows of kept-out values."""
-    meta = F.to_json(F.struct(F.col("kept").alias("canonical_value"), F.col("id").alias("merged_id")), {"ignoreNullFields": "false"})
-    return evidence.select(
-        F.lit("formula").alias("subject_type"), F.col("canonical_id").alias("subject_id"), F.lit("field_value").alias("relation_type"), F.col("field").alias("field_name"),
-        F.col("value").alias("evidence_text"), F.col("id").cast("string").alias("source_record_id"), meta.alias("metadata_json"),
+# Merged fields that people have to decide on.
+MEDICAL_FIELDS = ("composition", "dosage", "indication", "six_channel", "syndrome", "differentiation", "contraindication", "alias", "commentary")
+REASON, MEDICAL, OTHER = "合并去重保留的非canonical字段值；", "医学字段需人工裁定", "该字段不参与推理"
+
+
+def _origin(rows: DataFrame, key: str = "id") -> DataFrame:
+    """(id, origin, path, part) of rows, null where a table has no such column."""
+    get = lambda c: F.col(c) if c in rows.columns else F.lit(None).cast("string")
+    return rows.select(F.col(key).alias("id"), get("source_repo").alias("origin"), get("raw_path").alias("path"), blank_to_null(get("chapter")).alias("part"))
+
+
+def _evidence(relation: str, field: Column, text: Column, meta: Column) -> list[Column]:
+    """The columns of one evidence row of a merge."""
+    return [
+        F.lit("formula").alias("subject_type"), F.col("canonical_id").alias("subject_id"), F.lit(relation).alias("relation_type"),
+        F.lit("source_record").alias("evidence_kind"), F.lit("database_row").alias("source_type"), F.lit("formula").alias("source_record_type"),
+        F.col("id").cast("string").alias("source_record_id"), F.col("path").alias("source_path"), field.alias("field_name"), text.alias("evidence_text"),
+        F.lit("migration").alias("extraction_method"), F.lit("pending").alias("review_status"),
+        F.to_json(meta, {"ignoreNullFields": "false"}).alias("metadata_json"),
+    ]
+
+
+def field_evidence(evidence: DataFrame, rows: DataFrame) -> DataFrame:
+    """Evidence rows of kept-out values; ``rows`` is the table that was merged."""
+    medical = F.col("field").isin(*MEDICAL_FIELDS)
+    meta = F.struct(
+        F.col("kept").alias("canonical_value"), F.col("origin").alias("original_source_repo"), medical.alias("is_medical_field"),
+        F.concat(F.lit(REASON), F.when(medical, MEDICAL).otherwise(OTHER)).alias("reason"),
     )
+    return evidence.join(_origin(rows), "id").select(*_evidence("field_value", F.col("field"), F.col("value"), meta))
 
 
-def merged_from(groups: DataFrame) -> DataFrame:
+def merged_from(groups: DataFrame, rows: DataFrame) -> DataFrame:
     """One evidence row for each removed row."""
-    return groups.where("id <> canonical_id").select(
-        F.lit("formula").alias("subject_type"), F.col("canonical_id").alias("subject_id"), F.lit("merged_from").alias("relation_type"),
-        F.col("id").cast("string").alias("source_record_id"), F.col("name").alias("evidence_text"),
+    meta = F.struct(
+        F.col("name").alias("original_name"), F.col("canonical_id").alias("duplicate_of"), F.col("origin").alias("original_source_repo"),
+        F.col("path").alias("original_raw_path"), F.col("part").alias("original_chapter"),
     )
+    text = F.format_string("原formula_id=%d已合并入canonical %d", "id", "canonical_id")
+    gone = groups.where("id <> canonical_id").join(_origin(rows), "id")
+    return gone.select(*_evidence("merged_from", F.lit(None).cast("string"), text, meta))
+
+
+def delete_gates(db: dict[str, DataFrame], refs: list[tuple[str, str]], removed: DataFrame, table: str = "formulas", kind: str = "formula") -> DataFrame:
+    """(gate, n, ok): what still refers to the removed ids (one column id), and evidence whose subject or object is not there.
+
+    Source ids may keep an old id. Nothing may be published while a gate is not ok.
+    """
+    gone = removed.select("id").distinct()
+    parts = [(f"{edge}.{fk}", db[edge].join(gone.withColumnRenamed("id", fk), fk, "left_semi")) for edge, fk in refs if edge in db]
+    evidence = db.get("evidence")
+    for side in ("subject", "object") if evidence is not None else ():
+        if f"{side}_id" in evidence.columns:
+            own = evidence.where((F.col(f"{side}_type") == kind) & F.col(f"{side}_id").isNotNull())
+            key = own.select(F.col(f"{side}_id").alias("id"))
+            parts += [(f"evidence.{side}", key.join(gone, "id", "left_semi")), (f"evidence.{side}.orphan", key.join(db[table].select("id"), "id", "left_anti"))]
+    counted = [rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(gate).alias("gate"), "n", (F.col("n") == 0).alias("ok")) for gate, rows in parts]
+    return reduce(DataFrame.unionAll, counted)
 
 
 def repoint(edge: DataFrame, fk: str, groups: DataFrame, key: list[str], order: list[str] | None = None) -> DataFrame:
@@ -125,11 +168,12 @@ def migrate(db: dict[str, DataFrame], refs: list[tuple[str, str, list[str]]], ta
     wide = fills.groupBy(F.col("canonical_id").alias("id")).pivot("field", list(present)).agg(F.first("value"))
     rows = db[table].join(groups.where("id <> canonical_id").select("id"), "id", "left_anti")
     right = wide.select("id", *[F.col(f).alias(f"__{f}") for f in present])
-    rows = rows.join(right, "id", "left").withColumns({f: F.coalesce(blank_to_null(F.col(f), False), F.col(f"__{f}")) for f in present}).select(*db[table].columns)
+    # a fill exists only where the canonical row is blank, so it wins; all other values stay as they are
+    rows = rows.join(right, "id", "left").withColumns({f: F.coalesce(F.col(f"__{f}"), F.col(f)) for f in present}).select(*db[table].columns)
     out = {**db, table: rows}
     for edge, fk, key in refs:
         out[edge] = repoint(db[edge], fk, groups, key)
-    new = field_evidence(kept_out).unionByName(merged_from(groups), allowMissingColumns=True)
+    new = field_evidence(kept_out, db[table]).unionByName(merged_from(groups, db[table]))
     new = new.withColumn("dedupe_key", dedupe_key(new))
     if "evidence" in db:
         moved = repoint_evidence(db["evidence"], groups)

@@ -69,12 +69,12 @@ def export_search(db: Database, keyword: str, limit: int = 100) -> DataFrame:
 
 
 def filtered(df: DataFrame, filters: dict[str, str] | None) -> DataFrame:
-    """Conjunction of like filters; an empty value filters nothing, an unknown column is refused."""
+    """Conjunction of filters on contained text; an empty value filters nothing, an unknown column is refused."""
     for c, v in (filters or {}).items():
         if c not in df.columns:
             raise ValueError(f"unknown column: {c!r}")
         if v:
-            df = df.where(F.col(c).ilike(v))
+            df = df.where(F.col(c).ilike(f"%{v}%"))
     return df
 
 
