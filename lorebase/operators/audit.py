@@ -10,6 +10,8 @@ from lorebase.operators.cleanup import AUDIT_SEPARATORS, ENDINGS, PUNCTUATION, n
 from lorebase.sources import catalog
 
 Database = dict[str, DataFrame]
+#: Checks whose findings do not fail the audit.
+REPORTED_ONLY = ("name_soft", "duplicates")
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -149,7 +151,18 @@ def run(db: Database) -> tuple[bool, DataFrame]:
         index = entity_index(db)
         for side in ("subject", "object"):
             parts.append(poly_orphans(db["evidence"].where(f"{side}_id is not null"), index, side).agg(F.count(F.lit(1)).alias("n")).select(F.lit(f"evidence_{side}").alias("check"), "n"))
+    if "ingestion_quarantine" in db:
+        raw = db["ingestion_quarantine"].where("raw_record_json is not null").where(~valid_json(F.col("raw_record_json")))
+        parts.append(raw.agg(F.count(F.lit(1)).alias("n")).select(F.lit("json:ingestion_quarantine").alias("check"), "n"))
     report = _union(parts).select("check", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
     # a few rows, one for each check
-    failed = any(r["n"] and r["check"] not in ("name_soft", "duplicates") for r in report.collect())
+    failed = any(r["n"] and r["check"] not in REPORTED_ONLY for r in report.collect())
     return failed, report
+
+
+def human_report(report: DataFrame) -> str:
+    """The report of ``run`` as text: one line a check, and the outcome."""
+    rows = sorted(report.collect(), key=lambda r: r["check"])  # one row for each check
+    mark = lambda r: "PASS" if not r["n"] else "WARN" if r["check"] in REPORTED_ONLY else "FAIL"
+    lines = [f"[{mark(r)}] {r['check']}: {r['n']}" for r in rows]
+    return "\n".join([*lines, "FAILED" if any(mark(r) == "FAIL" for r in rows) else "PASSED"])

@@ -12,10 +12,12 @@ no other.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lorebase.functions.text import patient_name, person_name
-from lorebase.sources.tables import materialise
+from lorebase.sources.tables import discard, materialise
 
 #: Characters by which strings meet before one is looked for in the other.
 GRAM = 4
@@ -83,15 +85,60 @@ def dated_pairs(new: DataFrame, old: DataFrame) -> DataFrame:
     return a.join(b, "day").select("new_id", "old_id", F.lit(3).alias("rank"))
 
 
-def contained_pairs(new: DataFrame, old: DataFrame, prefix: int = 50) -> DataFrame:
-    """One name holds the other: rank 2. The old complaint holds the beginning of the new one: rank 4."""
-    names = _either(new, F.col("name"), old).withColumn("rank", F.lit(2))
-    return names.unionAll(_complaints(new, old, prefix).withColumn("rank", F.lit(4)))
+def numbered(rows: DataFrame, key: list[str], by: str) -> DataFrame:
+    """``rows`` with ``__no``, from 1 by ``by`` within each key.
+
+    Rows are dealt by ranges of (key, by), so that a key with very many rows is
+    counted by several tasks; only counts by range and key are added up in one place.
+    """
+    ranged = rows.repartitionByRange(*key, by).withColumn("__range", F.spark_partition_id())
+    dealt = materialise(ranged, "dealt")
+    counts = dealt.groupBy("__range", *key).agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy(*key).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("__range", *key, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    place = F.row_number().over(Window.partitionBy("__range", *key).orderBy(by))
+    return dealt.withColumn("__no", place).join(before, ["__range", *key]).withColumn("__no", F.col("__no") + F.col("__before")).drop("__range", "__before")
+
+
+def zipped(new: DataFrame, old: DataFrame, key: list[str], rank: int) -> DataFrame:
+    """(new_id, old_id, rank): the i-th new row of a key with its i-th old row, both by id.
+
+    That is what the greedy choice makes of all pairs of equal keys, without the pairs.
+    """
+    known = " and ".join(f"{k} is not null" for k in key)
+    a, b = numbered(new.where(known), key, "new_id"), numbered(old.where(known), key, "old_id")
+    return a.select(*key, "__no", "new_id").join(b.select(*key, "__no", "old_id"), [*key, "__no"]).select("new_id", "old_id", F.lit(rank).alias("rank"))
 
 
 def link(new: DataFrame, old: DataFrame) -> DataFrame:
-    """(new_id, old_id, rank): exact names, then contained ones, same dates, contained complaints; each old row once."""
-    return greedy(exact_pairs(new, old).unionAll(contained_pairs(new, old)).unionAll(dated_pairs(new, old)))
+    """(new_id, old_id, rank): exact names, then contained ones, same dates, contained complaints; each row of a side once.
+
+    Equal keys are zipped, so pairs within a name or a date are never written out; only
+    contained names and complaints go through rounds. Blank dates agree with nothing.
+    """
+    a = new.select(F.col("id").alias("new_id"), person_name(F.col("name")).alias("k"), F.nullif("case_date", F.lit("")).alias("day"))
+    b = old.select(F.col("id").alias("old_id"), person_name(patient_name(F.col("patient_id"))).alias("k"), F.nullif("case_date", F.lit("")).alias("day"))
+    left_new, left_old, taken = materialise(a, "new"), materialise(b, "old"), []
+
+    def take(pairs: DataFrame) -> None:
+        nonlocal left_new, left_old
+        taken.append(materialise(pairs, "linked"))
+        before = left_new, left_old
+        left_new = materialise(left_new.join(taken[-1], "new_id", "left_anti"), "new")
+        left_old = materialise(left_old.join(taken[-1], "old_id", "left_anti"), "old")
+        discard(*before)
+
+    def still(df: DataFrame, left: DataFrame, key: str) -> DataFrame:
+        return df.join(left.select(F.col(key).alias("id")), "id", "left_semi")
+
+    take(zipped(left_new, left_old, ["k", "day"], 0))
+    take(zipped(left_new, left_old, ["k"], 1))
+    names = _either(still(new, left_new, "new_id"), F.col("name"), still(old, left_old, "old_id"))
+    take(greedy(names.withColumn("rank", F.lit(2))))
+    take(zipped(left_new, left_old, ["day"], 3))
+    complaints = _complaints(still(new, left_new, "new_id"), still(old, left_old, "old_id"), 50)
+    take(greedy(complaints.withColumn("rank", F.lit(4))))
+    return reduce(DataFrame.unionByName, taken)
 
 
 def _walk(pairs: DataFrame, old: DataFrame, key: Column) -> DataFrame:

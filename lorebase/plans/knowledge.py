@@ -6,9 +6,11 @@ expressions that Spark and the SQL share; columns that a table of the catalogue
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, functions as F
 
-from lorebase.operators import report, resolve, search
+from lorebase.operators import audit, link, parse, report, resolve, search
 from lorebase.plans.catalogue import query, t
 from lorebase.sources import catalog
 
@@ -179,3 +181,70 @@ def kb_delete_gates(spark, d):
     gone = groups.where("id <> canonical_id")
     states = {"before": db, "after": resolve.migrate(db, EDGES)}
     return search.union([resolve.delete_gates(s, REFS, gone).select(F.lit(name).alias("state"), "gate", "n", "ok") for name, s in states.items()])
+
+
+#: New and known cases: names that agree, that hold one another, dates only, complaints only.
+_NEW = "c_custkey as id, concat('case ', cast(c_custkey % 300 as string)) as name, concat('2020-1-', cast(c_custkey % 7 as string)) as case_date, concat('pain ', cast(c_nationkey as string), ' of old') as chief_complaint"
+_OLD = """s_suppkey as id, case s_suppkey % 4 when 0 then concat('Case ', cast(s_suppkey as string), ' 20200101') when 1 then concat('Case ', cast(s_suppkey as string), ' more') else concat('other ', cast(s_suppkey as string)) end as patient_id,
+ case when s_suppkey % 4 < 3 then concat('2020-1-', cast(s_suppkey % 5 as string)) else '' end as case_date, concat('a pain ', cast(s_nationkey as string), ' of old days') as chief_complaint"""
+
+
+@query("link_greedy", f"""with recursive a as (select {_NEW} from customer), b as (select {_OLD}, lower(regexp_replace(patient_id, ' [0-9]{{8}}$', '')) as k from supplier),
+ p as (select a.id as n, b.id as o, case when a.name = b.k and a.case_date = b.case_date then 0 when a.name = b.k then 1 when contains(a.name, b.k) or contains(b.k, a.name) then 2
+   when a.case_date = b.case_date then 3 when contains(b.chief_complaint, a.chief_complaint) then 4 end as r from a, b),
+ w(new_ids, old_ids, best) as (select []::bigint[], []::bigint[], null::struct(r integer, n bigint, o bigint)
+  union all select list_append(new_ids, x.n), list_append(old_ids, x.o), x from (select new_ids, old_ids, min(struct_pack(r := r, n := n, o := o)) as x from w, p
+   where r is not null and not list_contains(new_ids, n) and not list_contains(old_ids, o) group by new_ids, old_ids))
+ select best.n as new_id, best.o as old_id, best.r as rank from w where best is not null""")
+def link_greedy(spark, d):
+    return link.link(t(spark, d, "customer").selectExpr(*_columns(_NEW)), t(spark, d, "supplier").selectExpr(*_columns(_OLD)))
+
+
+def _columns(select: str) -> list[str]:
+    """The expressions of a select list; every one ends in its alias."""
+    return [x.strip(" ,\n") for x in re.findall(r".+? as (?:id|name|case_date|chief_complaint|patient_id)(?=,|$)", select, re.S)]
+
+
+_TABLE = "|初诊日期 2020/1/{0}|**病案纪录**|\n|---|\n|姓名|性别|年龄|来处|\n|{1}|女|{2}|x|\n|来诊原因：pain {2}|\n|诊断：第{2}型|"
+_VISIT = "初诊日期：\n姓名\t性别\t年龄\t日期\n{1}\t男\t{2}\t2020/1/{0}\n来诊原因：pain {2}\nand more\n诊断：第{2}型，宜调理，禁生冷，三日后复诊再议"
+_PARTS = ("cast(c_custkey % 28 + 1 as string)", "c_name", "cast(c_nationkey as string)")
+
+
+def _text(form: str) -> str:
+    """SQL of a text with the parts put in."""
+    quoted = "concat('" + form.replace("\n", "', chr(10), '").replace("\t", "', chr(9), '") + "')"
+    for k, part in enumerate(_PARTS):
+        quoted = quoted.replace(f"{{{k}}}", f"', {part}, '")
+    return quoted
+
+
+@query("parse_cases", """select c_custkey as path, case when c_custkey % 3 = 0 then x + 1 else x end as case_no, c_name as name, case when c_custkey % 3 = 0 then '女' else '男' end as gender, c_nationkey::varchar as age,
+ '2020-1-' || (c_custkey % 28 + 1) as case_date, 'pain ' || c_nationkey || case when c_custkey % 3 = 0 then '' else ' and more' end as chief_complaint,
+ '第' || c_nationkey || '型' || case when c_custkey % 3 = 0 then '' else '，宜调理，禁生冷，三日后复诊再议' end as diagnosis from customer, (values (0), (1)) v(x)""")
+def parse_cases(spark, d):
+    one = f"case when c_custkey % 3 = 0 then {_text(_TABLE)} else {_text(_VISIT)} end"
+    docs = t(spark, d, "customer").selectExpr("c_custkey as path", f"concat({one}, chr(10), {one}) as text")
+    return parse.case_records(docs).select("path", F.col("case_no").cast("int").alias("case_no"), "name", "gender", "age", "case_date", "chief_complaint", "diagnosis")
+
+
+_NAMED = "case p_partkey % 7 when 0 then concat('> ', p_name) when 1 then ' ' when 3 then concat(p_name, '汤和', p_brand, '丸.') else p_name end"
+_ASKED = "case when r_regionkey % 2 = 0 then '[1, {\"a\": 2}]' else '{bad' end"
+
+
+@query("audit_summary", f"""with n as (select {_NAMED} as name, p_partkey as id, p_name from part), e as (select l_partkey, l_suppkey from (select distinct l_partkey, l_suppkey from lineitem))
+ select 'orphans' as "check", (select count(*) from e where l_partkey % 5 = 4) as n
+ union all select 'name_hard', count(*) from n where id % 7 in (0, 1) union all select 'name_soft', 2 * count(*) from n where id % 7 = 3
+ union all select 'duplicates', count(*) from (select trim(name) from n group by 1 having count(*) > 1)
+ union all select 'json:symptoms', count(*) from region where r_regionkey % 2 = 1
+ union all select 'evidence_subject', count(*) from events where event_id % 3 = 0 and event_id not in (select id from n) union all select 'evidence_object', count(*) from events where event_id not in (select s_suppkey from supplier)
+ union all select 'json:ingestion_quarantine', count(*) from events where event_id % 4 = 0""")
+def audit_summary(spark, d):
+    full = base(spark, d)
+    parts = t(spark, d, "part").selectExpr("p_partkey as id", f"{_NAMED} as name")
+    symptoms = t(spark, d, "region").selectExpr("cast(r_regionkey as bigint) as id", "r_name as name", f"{_ASKED} as required_questions", "'' as differential")
+    edges = full["formula_herbs"].selectExpr("case when formula_id % 5 = 4 then -formula_id else formula_id end as formula_id", "herb_id")
+    events = t(spark, d, "events")
+    evidence = events.selectExpr("case when event_id % 3 = 0 then 'formula' else 'page' end as subject_type", "event_id as subject_id", "'herb' as object_type", "event_id as object_id")
+    held = events.selectExpr("case when event_id % 4 = 0 then 'no json' else concat('[', cast(event_id as string), ']') end as raw_record_json")
+    db = {"formulas": parts, "herbs": full["herbs"], "formula_herbs": edges, "symptoms": symptoms, "evidence": evidence, "ingestion_quarantine": held}
+    return audit.run(db)[1]

@@ -197,3 +197,14 @@ def test_search_prefix_limit(spark):
     found = search.search({"herbs": herbs, "symptoms": sym}, "甘草").collect()
     assert len(found) == 20 and {r["type"] for r in found} == {"中药"} and all(len(r["commentary"]) == 200 for r in found)
     assert search.export_search({"herbs": herbs, "symptoms": sym}, "甘草").count() == 26
+
+
+def test_audit_report_and_quarantine(spark):
+    db = {
+        "formulas": spark.createDataFrame([(1, "麻黄汤"), (2, "麻黄汤")], "id long, name string"), "herbs": spark.createDataFrame([(1, "甘草")], "id long, name string"),
+        "formula_herbs": spark.createDataFrame([(1, 1)], "formula_id long, herb_id long"), "ingestion_quarantine": spark.createDataFrame([("{}",), (None,)], "raw_record_json string"),
+    }
+    failed, found = audit.run(db)
+    assert not failed and audit.human_report(found).endswith("PASSED") and "[WARN] duplicates: 1" in audit.human_report(found)
+    failed, found = audit.run(db | {"ingestion_quarantine": spark.createDataFrame([("",)], "raw_record_json string")})
+    assert failed and "[FAIL] json:ingestion_quarantine: 1" in audit.human_report(found)

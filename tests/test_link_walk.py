@@ -81,3 +81,33 @@ def test_unspaced_names_dates_and_inner_complaints(spark):
     old = [(11, "王小明医案", "", ""), (12, "Joanna", "", ""), (13, "丙", "2020-1-1", ""), (14, "丁", "", "昨日头痛三日")]
     got = link.link(spark.createDataFrame(new, NEW), spark.createDataFrame(old, OLD)).collect()
     assert sorted(map(tuple, got)) == [(1, 11, 2), (2, 12, 2), (3, 13, 3), (4, 14, 4)]
+
+
+def test_ranks_against_a_walk_over_all_pairs(spark):
+    r = random.Random(7)
+    names, days = ["王小明", "李四", "张李四", "Ann", "Joanna", ""], ["", "2020-1-1", "2020-1-2"]
+    new = [(k, "", r.choice(names), r.choice(days), r.choice(["", "头痛", "发热三日"])) for k in range(1, 41)]
+    old = [(k, r.choice(names[:5]) + r.choice(("", " 20200102")), r.choice(days), r.choice(["", "头痛三日，发热三日"])) for k in range(50, 85)]
+
+    def rank(n, o):
+        a, b = plain(n[2]), key_of(o[1])
+        if a == b:
+            return 0 if n[3] and n[3] == o[2] else 1
+        if a and (a in b or b in a):
+            return 2
+        return 3 if n[3] and n[3] == o[2] else 4 if n[4] and n[4][:50] in o[3] else None
+
+    used, want = set(), []
+    for k, n, o in sorted((k, n[0], o[0]) for n in new for o in old if (k := rank(n, o)) is not None):
+        if not used & {("n", n), ("o", o)}:
+            used |= {("n", n), ("o", o)}
+            want.append((n, o, k))
+    got = link.link(spark.createDataFrame(new, NEW), spark.createDataFrame(old, OLD)).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_numbers_within_a_key(spark):
+    rows = spark.createDataFrame([(k % 3 and 1, k) for k in range(500)], "k long, id long")
+    got = link.numbered(rows, ["k"], "id").collect()
+    for key in (0, 1):
+        assert [x["__no"] for x in sorted(got, key=lambda x: x["id"]) if x["k"] == key] == list(range(1, 1 + sum(x["k"] == key for x in got)))
