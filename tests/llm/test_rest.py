@@ -158,6 +158,7 @@ def test_top_k(spark, monkeypatch):
     monkeypatch.setattr(top_k, "SHARD_ROWS", 60)
     monkeypatch.setattr(top_k, "BLOCK_ROWS", 7)
     monkeypatch.setattr(top_k, "LEAF_ROWS", 8)
+    monkeypatch.setattr(top_k, "PIVOT_ROWS", 25)
     rng = np.random.default_rng(4)
     rows = [(k, [float(x) for x in rng.normal(size=6)]) for k in range(300)]
     rows += [(300, rows[0][1]), (20, rows[0][1]), (301, None), (302, [1.0, None]), (303, [float("nan")] * 6), (304, [float("inf")] * 6), (305, []), (320, [9.0] * 8), (None, [5.0] * 6)]
@@ -234,6 +235,26 @@ def test_scores_are_sparse_dot_products():
         assert math.isclose(got[k], 1 / (1 + math.exp(-dot - 0.25)), rel_tol=1e-9)
 
 
+def test_top_k_of_clusters_and_a_frequent_vector(spark, monkeypatch):
+    for name, n in {"SHARD_ROWS": 40, "BLOCK_ROWS": 5, "LEAF_ROWS": 8, "PIVOT_ROWS": 30, "ASK_ROWS": 7}.items():
+        monkeypatch.setattr(top_k, name, n)
+    rng = np.random.default_rng(9)
+    v = np.round(rng.normal(size=(6, 5))[rng.integers(0, 6, 400)] * 3 + rng.normal(size=(400, 5)) * 0.05, 2)
+    v[::3] = v[0]
+    got = top_k.top_k(spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(v)], "vec_id long, embedding array<double>")).collect()
+    x = np.floor(64 * v).astype(int)
+    want = {(q, n, int(j), int(x[q] @ x[j])) for q in range(0, 400, 20) for n, j in enumerate([j for j in np.lexsort((range(400), -(x @ x[q]))) if j != q][:20], 1)}
+    assert {tuple(r) for r in got} == want and len(got) == 400
+
+
+def test_search_visits_only_nodes_that_can_reach_the_kth_score():
+    x = np.array([[100, 0]] * 200 + [[-100, 0]] * 200)
+    tree = top_k.build_tree(np.arange(400), np.arange(400), x)
+    tree["v"][tree["v"][:, 0] < 0] = 101  # would come first, were its leaves read
+    ids, own, scores = top_k.search(tree, np.array([1000]), np.array([[50, 0]]), np.array([-top_k._NO_ID]), 3)
+    assert ids.tolist() == [[0, 1, 2]] and scores.tolist() == [[5000] * 3]
+
+
 def test_top_k_of_large_components(spark):
     rows = [(20, [1.0, 1.0]), (1, [5e6, 5e6]), (2, [6e6, 6e6]), (3, [-1e15, 0.0])]
     got = top_k.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
