@@ -5,7 +5,7 @@ is made in rounds: every pair that comes first for both of its sides is taken an
 its sides leave; what is left goes on. Rounds give the pairs that a walk through all
 candidates in that order gives, without gathering them anywhere.
 
-``link`` takes better ranks first. ``link_clinical`` and ``link_hantang`` give what the
+``link`` takes better ranks first. ``link_clinical`` and ``link_by_stem`` give what the
 two walks case by case, in the order of id, give. An empty name or complaint is inside
 no other.
 """
@@ -168,8 +168,8 @@ def link_clinical(new: DataFrame, old: DataFrame) -> DataFrame:
     return dated.unionAll(_walk(rest.drop("since"), old, person_name(patient_name(F.col("patient_id")))))
 
 
-def link_hantang(new: DataFrame, old: DataFrame, prefix: int = 50) -> DataFrame:
-    """(new_id, old_id, rank) of the walk over Hantang cases: rank 0 the stem is the patient id, 3 same date, 4 complaint."""
+def link_by_stem(new: DataFrame, old: DataFrame, prefix: int = 50) -> DataFrame:
+    """(new_id, old_id, rank) of the walk over cases known by their file: rank 0 the stem is the patient id, 3 same date, 4 complaint."""
     a = new.select(F.col("id").alias("new_id"), F.col("stem").alias("k"))
     same = a.join(old.select(F.col("id").alias("old_id"), F.col("patient_id").alias("k")), "k").select("new_id", "old_id", F.lit(0).alias("rank"))
     pairs = same.unionAll(dated_pairs(new, old)).unionAll(_complaints(new, old, prefix).withColumn("rank", F.lit(4)))

@@ -1,4 +1,4 @@
-"""Linkage against small copies of the reference's walks, with unspaced names."""
+"""Linkage against walks in order over plain rows, with unspaced names."""
 
 import random
 import re
@@ -42,7 +42,7 @@ def clinical(new, old):
     return sorted(out)
 
 
-def hantang(new, old):
+def by_stem(new, old):
     cases, used, out = grouped(old, lambda p: p), set(), []
     rows = [r for group in cases.values() for r in group]
     free = lambda fits, among: next((r[0] for r in among if r[0] not in used and fits(r)), None)
@@ -73,7 +73,7 @@ def test_walks(spark, seed):
     a, b = spark.createDataFrame(new, NEW).coalesce(1), spark.createDataFrame(old, OLD).coalesce(1)
     pairs = lambda df: sorted((x["new_id"], x["old_id"]) for x in df.collect())
     assert pairs(link.link_clinical(a, b)) == clinical(new, old)
-    assert pairs(link.link_hantang(a, b)) == hantang(new, old)
+    assert pairs(link.link_by_stem(a, b)) == by_stem(new, old)
 
 
 def test_unspaced_names_dates_and_inner_complaints(spark):
