@@ -248,3 +248,55 @@ def audit_summary(spark, d):
     held = events.selectExpr("case when event_id % 4 = 0 then 'no json' else concat('[', cast(event_id as string), ']') end as raw_record_json")
     db = {"formulas": parts, "herbs": full["herbs"], "formula_herbs": edges, "symptoms": symptoms, "evidence": evidence, "ingestion_quarantine": held}
     return audit.run(db)[1]
+
+
+_HEADED = "# {1}\n### 来诊日期\n2020/1/{0}，女，{2} 岁\n## 来诊原因\npain {2}\n### 特殊诊断\nleft out\n### 诊断\n第{2}型"
+_PLAIN = "{1}\n初诊 2020-1-{0} 男 {2}岁\n问诊：ask {2}\nand more\n脉诊：slow\n诊断：第{2}型\n备注：none\n"
+
+
+@query("parse_sections", """select c_custkey as path, c_name as name, '2020-1-' || (c_custkey % 28 + 1) as case_date, case when h then '女' else '男' end as gender, c_nationkey || '岁' as age, case when h then 'pain ' || c_nationkey end as chief_complaint,
+ case when not h then 'ask ' || c_nationkey || chr(10) || 'and more' end as inquiry, case when not h then 'slow' end as pulse_diagnosis, '第' || c_nationkey || '型' as diagnosis from (select *, c_custkey % 2 = 0 as h from customer)""")
+def parse_sections(spark, d):
+    docs = t(spark, d, "customer").selectExpr("c_custkey as path", f"case when c_custkey % 2 = 0 then {_text(_HEADED)} else {_text(_PLAIN)} end as text")
+    return parse.section_case(docs).select("path", "name", "case_date", "gender", "age", "chief_complaint", "inquiry", "pulse_diagnosis", "diagnosis")
+
+
+#: New and known cases of the walks by file: stems that agree, that hold one another, names, dates and complaints.
+_FILES = {
+    "id": "c_custkey", "stem": "concat('case ', lpad(cast(c_custkey % 300 as string), 4, '0'))", "name": "concat('other ', lpad(cast(c_custkey % 280 as string), 4, '0'))",
+    "case_date": "case when c_custkey % 3 = 0 then '' else concat('2020-1-', cast(c_custkey % 97 as string)) end", "chief_complaint": "concat('pain ', cast(c_custkey % 211 as string), ' of old')",
+}
+_KNOWN = {
+    "id": "s_suppkey", "patient_id": "concat(case when s_suppkey % 4 < 2 then 'case ' else 'other ' end, lpad(cast(s_suppkey as string), 4, '0'), case s_suppkey % 4 when 0 then '' when 1 then ' more' when 2 then ' 20200101' else '-x' end)",
+    "case_date": "case when s_suppkey % 4 = 3 then '' else concat('2020-1-', cast(s_suppkey % 89 as string)) end", "chief_complaint": "concat('a pain ', cast(s_suppkey % 5 * 40 as string), ' of old days')",
+}
+
+
+def _files(spark, d):
+    return [t(spark, d, s).selectExpr(*[f"{e} as {c}" for c, e in of.items()]) for s, of in (("customer", _FILES), ("supplier", _KNOWN))]
+
+
+def _walk_sql(key: str, pairs: str) -> str:
+    """Every new row in the order of id takes its best pair; a pair of rank 0 that is ``fixed`` even if its old row is used."""
+    a, b = (", ".join(f"{e.replace('as string', 'as varchar')} as {c}" for c, e in of.items()) for of in (_FILES, _KNOWN))
+    return f"""with recursive a as (select {a} from customer), b as (select *, {key} as k from (select {b} from supplier)), f as (select k, min(id) as place from b group by 1), p as (select n, o, r, fixed, place from ({pairs}) join f using (k)),
+ s as (select id as n, coalesce(lag(id) over (order by id), -1) as before from a),
+ w(n, used, o, r) as (select (-1)::bigint, []::bigint[], null::bigint, null::integer
+  union all select x.n, case when best is null then used else list_append(used, best.o) end, best.o, best.r from (select s.n, w.used, min(struct_pack(r := p.r, place := p.place, o := p.o)) filter (p.o is not null) as best
+   from w join s on s.before = w.n left join p on p.n = s.n and (p.fixed or not list_contains(w.used, p.o)) group by s.n, w.used) x)
+ select n as new_id, o as old_id, r as rank from w where o is not null"""
+
+
+_PERSON = "lower(regexp_replace(replace(regexp_replace(patient_id, ' [0-9]{8}$', ''), '-', ' '), ' +', ' ', 'g'))"
+
+
+@query("link_clinical", _walk_sql(_PERSON, """select a.id as n, b.id as o, b.k, b.id is not null and a.stem = b.k and a.case_date <> '' and a.case_date = b.case_date as fixed,
+ case when fixed then 0 when a.stem = b.k then 1 when contains(a.stem, b.k) or contains(b.k, a.stem) then 2 when contains(a.name, b.k) or contains(b.k, a.name) then 3 end as r from a, b where r is not null"""))
+def link_clinical(spark, d):
+    return link.link_clinical(*_files(spark, d))
+
+
+@query("link_by_stem", _walk_sql("patient_id", """select a.id as n, b.id as o, b.k, false as fixed,
+ case when a.stem = b.patient_id then 0 when a.case_date <> '' and a.case_date = b.case_date then 3 when contains(b.chief_complaint, a.chief_complaint) then 4 end as r from a, b where r is not null"""))
+def link_by_stem(spark, d):
+    return link.link_by_stem(*_files(spark, d))
