@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from lorebase.llm import bpe, decontaminate, jaccard_join, language_id, pii, quality, secrets, sharding, top_k, url_filter
+from lorebase.llm import bpe, decontaminate, jaccard_join, language_id, pii, quality, ranked_search, secrets, sharding, top_k, url_filter
 from lorebase.sources.tables import read_table
 
 QUERIES, ORACLES = {}, {}
@@ -71,6 +71,11 @@ def op10_secrets(spark, d):
     return secrets.secret_report(read_table(spark, d, "documents"))
 
 
+@query
+def op11_ranked_search(spark, d):
+    return ranked_search.search(read_table(spark, d, "documents"), read_table(spark, d, "benchmark"))
+
+
 _FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 ORACLES["op2_jaccard_join"] = f"""
@@ -113,3 +118,15 @@ ORACLES["op9_top_k"] = """
 with v as (select vec_id, [floor(64 * x::double) for x in embedding] as v from embeddings where embedding is not null and len([1 for x in embedding if x is null or not isfinite(x)]) = 0),
  s as (select a.vec_id as query_id, b.vec_id, list_inner_product(a.v, b.v)::bigint as score from v a join v b on a.vec_id % 20 = 0 and a.vec_id <> b.vec_id)
 select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank, vec_id, score from s qualify rank <= 20"""
+
+_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), {_FOLD}), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+ORACLES["op11_ranked_search"] = f"""
+with d as (select row_number() over () as u, doc_id, {_TERMS} as t from documents),
+ c as (select count(*)::bigint as n_docs, sum(len(t))::bigint as total from d where len(t) > 0),
+ q as (select i, item_id, term, count(*) as times from (select row_number() over () as i, item_id, unnest({_TERMS}) as term from benchmark) group by all),
+ p as (select u, doc_id, n, term, count(*)::bigint as tf from (select u, doc_id, len(t) as n, unnest(t) as term from d) where term in (select term from q) group by all),
+ w as (select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w from p, c group by term, n_docs),
+ s as (select i, item_id, u, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // total))))::bigint as score
+  from q join p using (term) join w using (term), c group by all)
+select item_id, (row_number() over (partition by i order by score desc, doc_id, u))::int as rank, doc_id, score from s where score > 0 qualify rank <= 10"""
