@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from lorebase.llm import bpe, decontaminate, jaccard_join, language_id, pii, quality, ranked_search, secrets, sharding, top_k, url_filter
+from lorebase.llm import bpe, decontaminate, jaccard_join, language_id, phrases, pii, quality, ranked_search, secrets, sharding, top_k, url_filter
 from lorebase.sources.tables import read_table
 
 QUERIES, ORACLES = {}, {}
@@ -76,6 +76,11 @@ def op11_ranked_search(spark, d):
     return ranked_search.search(read_table(spark, d, "documents"), read_table(spark, d, "benchmark"))
 
 
+@query
+def op12_phrases(spark, d):
+    return phrases.collocations(read_table(spark, d, "documents"))
+
+
 _FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 ORACLES["op2_jaccard_join"] = f"""
@@ -130,3 +135,18 @@ with d as (select row_number() over () as u, doc_id, {_TERMS} as t from document
  s as (select i, item_id, u, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // total))))::bigint as score
   from q join p using (term) join w using (term), c group by all)
 select item_id, (row_number() over (partition by i order by score desc, doc_id, u))::int as rank, doc_id, score from s where score > 0 qualify rank <= 10"""
+
+ORACLES["op12_phrases"] = f"""
+with p as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), {_FOLD}), '[.,;:!?\\x0A-\\x0D]')) as piece from documents),
+ v as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from p),
+ t as (select lang, sum(len(w))::bigint as n from v group by lang),
+ f as (select lang, x, count(*)::bigint as a from (select lang, unnest([array_to_string(w[i:i + k - 1], ' ') for i in range(1, len(w) - k + 2)]) as x from v, (select unnest([1, 2, 3, 4]) as k) where len(w) >= k)
+  group by all having count(*) >= 30),
+ c as (select lang, x as phrase, a, string_split(x, ' ') as w from f where contains(x, ' ')),
+ u as (select lang, phrase, a, w, unnest(range(1, len(w))) as k from c),
+ s as (select u.lang, phrase, u.a, k, l.a as l, r.a as r, ((2000000::hugeint * u.a) // (l.a + r.a))::bigint as score
+  from u join f l on l.lang = u.lang and l.x = array_to_string(w[1:k], ' ') join f r on r.lang = u.lang and r.x = array_to_string(w[k + 1:], ' ')),
+ b as (select * from s qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+ i as (select lang, sub as phrase, max(a) as most from (select lang, a, unnest([array_to_string(w[i:i + k - 1], ' ') for i in range(1, len(w) - k + 2)]) as sub from c, (select unnest([2, 3]) as k) where len(w) > k) group by all)
+select b.lang, row_number() over (partition by b.lang order by score desc, b.a desc, b.phrase) as rank, b.phrase, b.a, l, r, n, score
+from b join t on t.lang = b.lang left join i on i.lang = b.lang and i.phrase = b.phrase where most is null or 100::hugeint * most < 80 * b.a qualify rank <= 2000"""
