@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from lorebase.llm import bpe, decontaminate, jaccard_join, language_id, phrases, pii, quality, ranked_search, secrets, sharding, top_k, url_filter
+from lorebase.llm import bpe, decontaminate, jaccard_join, language_id, phrases, pii, quality, ranked_search, secrets, sharding, top_k, toxicity, url_filter
 from lorebase.sources.tables import read_table
 
 QUERIES, ORACLES = {}, {}
@@ -81,6 +81,11 @@ def op12_phrases(spark, d):
     return phrases.collocations(read_table(spark, d, "documents"))
 
 
+@query
+def op13_toxicity(spark, d):
+    return toxicity.classify(read_table(spark, d, "documents"), read_table(spark, d, "labels"))
+
+
 _FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 ORACLES["op2_jaccard_join"] = f"""
