@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from lorebase.plans import catalogue, knowledge  # noqa: F401
+from lorebase.plans import catalogue, chains, knowledge  # noqa: F401
 
 BASE = "/root/testdata/sf0.001"
 
