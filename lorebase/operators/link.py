@@ -1,51 +1,25 @@
 """Greedy one-to-one linkage of parsed cases with existing rows.
 
-Candidate pairs come from equi-joins. The greedy choice in a given order of pairs
-is made in rounds: every pair that comes first for both of its sides is taken and
-its sides leave; what is left goes on. Rounds give the pairs that a walk through all
-candidates in that order gives, without gathering them anywhere.
-
 ``link`` takes better ranks first. ``link_clinical`` and ``link_by_stem`` give what the
-two walks case by case, in the order of id, give. An empty name or complaint is inside
-no other.
+two walks case by case, in the order of id, give. Candidates are found between distinct
+names, dates and complaints, never between rows, and the choice is made by ``walk``. An
+empty name or complaint is inside no other.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lorebase.functions.text import patient_name, person_name
+from lorebase.operators.walk import greedy, numbered, walked  # noqa: F401 (also used by callers)
 from lorebase.sources.tables import discard, materialise
 
 #: Characters by which strings meet before one is looked for in the other.
 GRAM = 4
 
 
-def greedy(pairs: DataFrame, rank: str = "rank", order: tuple | None = None) -> DataFrame:
-    """Pairs (new_id, old_id, rank) -> a matching; lower (rank, new_id, old_id), or lower ``order``, goes first."""
-    by = order or (rank, "new_id", "old_id")
-    left = materialise(pairs.select(*dict.fromkeys(("new_id", "old_id", rank, *by))).distinct(), "pairs")
-    taken = None
-    while not left.isEmpty():
-        first = F.struct(*by)
-        first_new = left.groupBy("new_id").agg(F.min(first).alias("n"))
-        first_old = left.groupBy("old_id").agg(F.min(first).alias("o"))
-        here = left.join(first_new, "new_id").join(first_old, "old_id").where((F.col("n") == first) & (F.col("o") == first)).select("new_id", "old_id", rank)
-        here = materialise(here, "taken")
-        taken = here if taken is None else taken.unionAll(here)
-        left = materialise(left.join(here.select("new_id"), "new_id", "left_anti").join(here.select("old_id"), "old_id", "left_anti"), "pairs")
-    return pairs.limit(0).select("new_id", "old_id", rank) if taken is None else taken
-
-
-def exact_pairs(new: DataFrame, old: DataFrame) -> DataFrame:
-    """Same name: rank 0 where the date agrees too, else 1."""
-    a = new.select(F.col("id").alias("new_id"), person_name(F.col("name")).alias("k"), F.col("case_date").alias("nd"))
-    b = old.select(F.col("id").alias("old_id"), person_name(patient_name(F.col("patient_id"))).alias("k"), F.col("case_date").alias("od"))
-    return a.join(b, "k").select("new_id", "old_id", F.when(F.col("nd") == F.col("od"), 0).otherwise(1).alias("rank"))
-
-
 def holding(inner: DataFrame, i: str, outer: DataFrame, o: str) -> DataFrame:
     """Rows of both sides where ``o`` holds ``i``.
 
@@ -63,41 +37,10 @@ def holding(inner: DataFrame, i: str, outer: DataFrame, o: str) -> DataFrame:
     return a.join(b, "__run").where(F.contains(F.col(o), F.col(i))).drop("__run")
 
 
-def _either(new: DataFrame, name: Column, old: DataFrame) -> DataFrame:
-    """(new_id, old_id) where one name holds the other."""
-    a = new.select(F.col("id").alias("new_id"), person_name(name).alias("nk"))
-    b = old.select(F.col("id").alias("old_id"), person_name(patient_name(F.col("patient_id"))).alias("ok"))
-    ids = ["new_id", "old_id"]
-    return holding(a, "nk", b, "ok").select(*ids).unionAll(holding(b, "ok", a, "nk").select(*ids)).distinct()
-
-
-def _complaints(new: DataFrame, old: DataFrame, prefix: int) -> DataFrame:
-    """(new_id, old_id) where the old complaint holds the beginning of the new one."""
-    c = new.select(F.col("id").alias("new_id"), F.substring("chief_complaint", 1, prefix).alias("p"))
-    d = old.select(F.col("id").alias("old_id"), F.col("chief_complaint").alias("q"))
-    return holding(c, "p", d, "q").select("new_id", "old_id")
-
-
-def dated_pairs(new: DataFrame, old: DataFrame) -> DataFrame:
-    """Same date, whatever the name: rank 3."""
-    a = new.select(F.col("id").alias("new_id"), F.nullif("case_date", F.lit("")).alias("day"))
-    b = old.select(F.col("id").alias("old_id"), F.col("case_date").alias("day"))
-    return a.join(b, "day").select("new_id", "old_id", F.lit(3).alias("rank"))
-
-
-def numbered(rows: DataFrame, key: list[str], by: str) -> DataFrame:
-    """``rows`` with ``__no``, from 1 by ``by`` within each key.
-
-    Rows are dealt by ranges of (key, by), so that a key with very many rows is
-    counted by several tasks; only counts by range and key are added up in one place.
-    """
-    ranged = rows.repartitionByRange(*key, by).withColumn("__range", F.spark_partition_id())
-    dealt = materialise(ranged, "dealt")
-    counts = dealt.groupBy("__range", *key).agg(F.count(F.lit(1)).alias("__n"))
-    earlier = Window.partitionBy(*key).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select("__range", *key, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
-    place = F.row_number().over(Window.partitionBy("__range", *key).orderBy(by))
-    return dealt.withColumn("__no", place).join(before, ["__range", *key]).withColumn("__no", F.col("__no") + F.col("__before")).drop("__range", "__before")
+def contained(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(x, y) of distinct strings of ``a`` (column x) and ``b`` (column y) where one holds the other."""
+    a, b = a.select("x").distinct(), b.select("y").distinct()
+    return holding(a, "x", b, "y").select("x", "y").unionAll(holding(b, "y", a, "x").select("x", "y")).distinct()
 
 
 def zipped(new: DataFrame, old: DataFrame, key: list[str], rank: int) -> DataFrame:
@@ -133,20 +76,25 @@ def link(new: DataFrame, old: DataFrame) -> DataFrame:
 
     take(zipped(left_new, left_old, ["k", "day"], 0))
     take(zipped(left_new, left_old, ["k"], 1))
-    names = _either(still(new, left_new, "new_id"), F.col("name"), still(old, left_old, "old_id"))
-    take(greedy(names.withColumn("rank", F.lit(2))))
+    keys = contained(left_new.select(F.col("k").alias("x")), left_old.select(F.col("k").alias("y")))
+    wants = keys.select(F.col("x").alias("c"), F.col("y").alias("pool"), F.lit(2).alias("rank"))
+    take(walked(left_new.select("new_id", F.col("k").alias("c")), wants, left_old.select(F.col("k").alias("pool"), "old_id", F.lit(0).cast("long").alias("place"))))
     take(zipped(left_new, left_old, ["day"], 3))
-    complaints = _complaints(still(new, left_new, "new_id"), still(old, left_old, "old_id"), 50)
-    take(greedy(complaints.withColumn("rank", F.lit(4))))
-    return reduce(DataFrame.unionByName, taken)
+    asked = still(new, left_new, "new_id").select(F.col("id").alias("new_id"), F.substring("chief_complaint", 1, 50).alias("c"))
+    held = still(old, left_old, "old_id").select(F.col("id").alias("old_id"), F.col("chief_complaint").alias("pool"), F.lit(0).cast("long").alias("place"))
+    take(walked(asked, _complaint_wants(asked, held), held))
+    return reduce(DataFrame.unionByName, [x.select("new_id", "old_id", F.col("rank").cast("int").alias("rank")) for x in taken])
+
+
+def _complaint_wants(asked: DataFrame, held: DataFrame) -> DataFrame:
+    """(c, pool, rank): beginnings of complaints and the complaints that hold them."""
+    return holding(asked.select("c").distinct(), "c", held.select("pool").distinct(), "pool").select("c", "pool", F.lit(4).alias("rank"))
 
 
-def _walk(pairs: DataFrame, old: DataFrame, key: Column) -> DataFrame:
-    """Each new row in the order of id takes its best old row left: by rank, place of the key's first row, id."""
-    keyed = old.select(F.col("id").alias("old_id"), key.alias("k"))
-    first = keyed.groupBy(F.col("k").alias("f")).agg(F.min("old_id").alias("place"))
-    places = keyed.join(first, F.col("k").eqNullSafe(F.col("f"))).select("old_id", "place")
-    return greedy(pairs.join(places, "old_id"), order=("new_id", "rank", "place", "old_id"))
+def _keyed(old: DataFrame, key: Column) -> DataFrame:
+    """(old_id, k, place, day, complaint): the place of a key is its first row."""
+    rows = old.select(F.col("id").alias("old_id"), key.alias("k"), F.col("case_date").alias("day"), F.col("chief_complaint").alias("complaint")).where("k is not null")
+    return rows.join(rows.groupBy("k").agg(F.min("old_id").alias("place")), "k")
 
 
 def link_clinical(new: DataFrame, old: DataFrame) -> DataFrame:
@@ -156,24 +104,55 @@ def link_clinical(new: DataFrame, old: DataFrame) -> DataFrame:
     stem hold one another. Rank 3: so do name and the case's name. Rank 0 takes the first
     such row even if used, so an old row may come twice.
     """
-    by_stem = new.withColumn("name", F.col("stem"))
-    exact = exact_pairs(by_stem.withColumn("case_date", F.nullif("case_date", F.lit(""))), old)
-    dated = exact.where("rank = 0").groupBy("new_id").agg(F.min("old_id").alias("old_id")).withColumn("rank", F.lit(0))
-    dated = materialise(dated.select("new_id", "old_id", "rank"), "dated")
-    rest = exact.where("rank = 1").unionAll(_either(new, F.col("stem"), old).withColumn("rank", F.lit(2)))
-    rest = rest.unionAll(_either(new, F.col("name"), old).withColumn("rank", F.lit(3)))
-    # a row that rank 0 takes is used from there on
-    used = dated.groupBy("old_id").agg(F.min("new_id").alias("since"))
-    rest = rest.join(dated.select("new_id"), "new_id", "left_anti").join(used, "old_id", "left").where("since is null or new_id < since")
-    return dated.unionAll(_walk(rest.drop("since"), old, person_name(patient_name(F.col("patient_id")))))
+    a = new.select(F.col("id").alias("new_id"), person_name(F.col("stem")).alias("stem"), person_name(F.col("name")).alias("name"), F.nullif("case_date", F.lit("")).alias("day"))
+    a = materialise(a.withColumn("c", F.to_json(F.array("stem", "name"))), "new")
+    b = materialise(_keyed(old, person_name(patient_name(F.col("patient_id")))), "old")
+    dated = b.where("day is not null").groupBy(F.col("k").alias("stem"), "day").agg(F.min("old_id").alias("old_id"))
+    fixed = materialise(a.join(dated, ["stem", "day"]).select("new_id", "old_id"), "dated")
+    classes, keys = a.select("c", "stem", "name").distinct(), b.select(F.col("k").alias("y"))
+    same = classes.join(keys.distinct(), F.col("stem") == F.col("y")).select("c", F.col("y").alias("pool"), F.lit(1).alias("rank"))
+    parts = [same]
+    for rank, column in ((2, "stem"), (3, "name")):
+        held = contained(classes.select(F.col(column).alias("x")), keys)
+        parts.append(classes.join(held, F.col(column) == F.col("x")).select("c", F.col("y").alias("pool"), F.lit(rank).alias("rank")))
+    out = walked(a.select("new_id", "c"), reduce(DataFrame.unionAll, parts), b.select(F.col("k").alias("pool"), "old_id", "place"), fixed)
+    discard(a, b, fixed)
+    return out
 
 
 def link_by_stem(new: DataFrame, old: DataFrame, prefix: int = 50) -> DataFrame:
     """(new_id, old_id, rank) of the walk over cases known by their file: rank 0 the stem is the patient id, 3 same date, 4 complaint."""
-    a = new.select(F.col("id").alias("new_id"), F.col("stem").alias("k"))
-    same = a.join(old.select(F.col("id").alias("old_id"), F.col("patient_id").alias("k")), "k").select("new_id", "old_id", F.lit(0).alias("rank"))
-    pairs = same.unionAll(dated_pairs(new, old)).unionAll(_complaints(new, old, prefix).withColumn("rank", F.lit(4)))
-    return _walk(pairs, old, F.col("patient_id"))
+    begins = F.nullif(F.substring("chief_complaint", 1, prefix), F.lit(""))
+    a = new.select(F.col("id").alias("new_id"), "stem", F.nullif("case_date", F.lit("")).alias("day"), begins.alias("begins"))
+    a = materialise(a.withColumn("c", F.to_json(F.array("stem", "day", "begins"))), "new")
+    b = materialise(_keyed(old, F.col("patient_id")), "old")
+    classes = a.select("c", "stem", "day", "begins").distinct()
+    pool = lambda kind, c: F.concat(F.lit(kind), c)
+    held = holding(classes.select("begins").where("begins is not null").distinct(), "begins", b.select("complaint").where("complaint is not null").distinct(), "complaint")
+    wants = [
+        classes.where("stem is not null").select("c", pool("k", F.col("stem")).alias("pool"), F.lit(0).alias("rank")),
+        classes.where("day is not null").select("c", pool("d", F.col("day")).alias("pool"), F.lit(3).alias("rank")),
+        classes.join(held, "begins").select("c", pool("q", F.col("complaint")).alias("pool"), F.lit(4).alias("rank")),
+    ]
+    pools = F.explode(F.array_compact(F.array(pool("k", F.col("k")), pool("d", F.col("day")), pool("q", F.col("complaint")))))
+    out = walked(a.select("new_id", "c"), reduce(DataFrame.unionAll, wants), b.select(pools.alias("pool"), "old_id", "place"))
+    discard(a, b)
+    return out
+
+
+def unmatched(new: DataFrame, links: DataFrame, n: int = 10) -> DataFrame:
+    """The first ``n`` new rows, by id, that no link has."""
+    return new.join(links.select(F.col("new_id").alias("id")), "id", "left_anti").orderBy("id").limit(n)
+
+
+def link_summary(new: DataFrame, old: DataFrame, links: DataFrame) -> DataFrame:
+    """(metric, n): rows updated, new rows without a link, old rows that no link uses."""
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("metric"), "n")
+    return reduce(DataFrame.unionAll, [
+        count(links, "linked"),
+        count(new.join(links.select(F.col("new_id").alias("id")), "id", "left_anti"), "unmatched"),
+        count(old.join(links.select(F.col("old_id").alias("id")), "id", "left_anti"), "unused"),
+    ])
 
 
 def not_known(new: DataFrame, old: DataFrame, stem: Column) -> DataFrame:

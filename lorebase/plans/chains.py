@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lorebase.operators import chain
+from lorebase.operators import chain, link
 from lorebase.plans.catalogue import query, t
 from lorebase.plans.knowledge import _FORMULAS, _sql, base
 
@@ -69,3 +69,16 @@ def reason_hops(spark, d):
 ))
 def reason_start_coverage(spark, d):
     return chain.start_coverage(with_cases(spark, d), "a")
+
+
+#: Names of two figures, so that none holds another.
+_PADDED = "lpad(cast({} % 40 as string), 2, '0')"
+
+
+@query("link_unmatched", f"""with a as (select c_custkey as id, {_PADDED.format('c_custkey').replace('as string', 'as varchar')} as k from customer), b as (select s_suppkey as id, {_PADDED.format('s_suppkey').replace('as string', 'as varchar')} as k from supplier),
+ x as (select *, row_number() over (partition by k order by id) as i from a), y as (select *, row_number() over (partition by k order by id) as i from b)
+ select x.id, 'case ' || x.k as stem from x left join y on x.k = y.k and x.i = y.i where y.id is null order by x.id limit 10""")
+def link_unmatched(spark, d):
+    new = t(spark, d, "customer").selectExpr("c_custkey as id", *[f"concat('case ', {_PADDED.format('c_custkey')}) as {c}" for c in ("stem", "name")], "'' as case_date", "'' as chief_complaint")
+    old = t(spark, d, "supplier").selectExpr("s_suppkey as id", f"concat('case ', {_PADDED.format('s_suppkey')}) as patient_id", "'' as case_date", "'' as chief_complaint")
+    return link.unmatched(new, link.link_clinical(new, old), 10).select("id", "stem")

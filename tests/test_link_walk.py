@@ -5,7 +5,8 @@ import re
 
 import pytest
 
-from lorebase.operators import link
+from lorebase.operators import components, link, walk
+from lorebase.sources.tables import materialise
 
 NEW = "id long, stem string, name string, case_date string, chief_complaint string"
 OLD = "id long, patient_id string, case_date string, chief_complaint string"
@@ -111,3 +112,71 @@ def test_numbers_within_a_key(spark):
     got = link.numbered(rows, ["k"], "id").collect()
     for key in (0, 1):
         assert [x["__no"] for x in sorted(got, key=lambda x: x["id"]) if x["k"] == key] == list(range(1, 1 + sum(x["k"] == key for x in got)))
+
+
+@pytest.mark.parametrize("seed", (3, 4))
+def test_walks_in_rounds(spark, monkeypatch, seed):
+    """Components too large for one task go through rounds, with the same links."""
+    monkeypatch.setattr(walk, "MAX_COMPONENT", 0)
+    new, old = tables(seed)
+    a, b = spark.createDataFrame(new, NEW).coalesce(1), spark.createDataFrame(old, OLD).coalesce(1)
+    assert sorted((x["new_id"], x["old_id"]) for x in link.link_clinical(a, b).collect()) == clinical(new, old)
+
+
+def counted_writes(monkeypatch):
+    n = []
+    for module in (link, walk, components):
+        monkeypatch.setattr(module, "materialise", lambda df, tag="t": (n.append(tag), materialise(df, tag))[1])
+    return n
+
+
+def test_ten_thousand_equal_names(spark, monkeypatch):
+    r = random.Random(5)
+    day = lambda: r.choice(("", "", *[f"2020-1-{k}" for k in range(1, 29)]))
+
+    def case(n):
+        return [(k, "李四", "李四", day(), "") for k in range(1, n + 1)], [(10**6 + k, "李四", day(), "") for k in range(n - n // 10)]
+
+    writes, found = counted_writes(monkeypatch), []
+    for n in (40, 10_000):
+        new, old = case(n)
+        writes.clear()
+        links = link.link_clinical(spark.createDataFrame(new, NEW), spark.createDataFrame(old, OLD))
+        got = sorted((x["new_id"], x["old_id"]) for x in links.collect())
+        found.append(len(writes))
+        assert got == clinical_fast(new, old)
+    assert found[0] == found[1] < 30
+    late = link.unmatched(spark.createDataFrame(new, NEW), links, 10).collect()
+    linked = {n for n, _ in got}
+    assert [x["id"] for x in late] == [k for k, *_ in new if k not in linked][:10]
+    assert {x["metric"]: x["n"] for x in link.link_summary(spark.createDataFrame(new, NEW), spark.createDataFrame(old, OLD), links).collect()} == {
+        "linked": len(got), "unmatched": len(new) - len(linked), "unused": len(old) - len({o for _, o in got})
+    }
+
+
+def clinical_fast(new, old):
+    """The clinical walk where all names are one, with a pointer."""
+    first, used, out, at = {}, set(), [], 0
+    for i, _, day, _ in old:
+        first.setdefault(day, i)
+    for n, _, _, day, _ in new:
+        hit = first.get(day) if day else None
+        while hit is None and at < len(old):
+            i = old[at][0]
+            at, hit = (at + 1, None) if i in used else (at, i)
+        if hit is not None:
+            used.add(hit)
+            out.append((n, hit))
+    return out
+
+
+def test_components(spark):
+    r = random.Random(2)
+    edges = [(f"n{r.randrange(80)}", f"n{r.randrange(80)}") for _ in range(60)] + [("z", "z"), ("y1", "y1"), ("y1", "y2")]
+    label = {x: x for e in edges for x in e}
+    for _ in label:
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    got = components.components(spark.createDataFrame(edges, "a string, b string")).collect()
+    assert {x["node"]: x["label"] for x in got} == label and len(got) == len(label)
+    assert components.components(spark.createDataFrame([], "a string, b string")).count() == 0
