@@ -11,7 +11,7 @@ bucket at a time, so counts are exact whatever the hashes. Counts of a phrase's
 found by requests: every cut of a phrase asks for its two parts, requests are shuffled to
 the parts' counts, and the answers come back to the phrase.
 
-Inside half a megabyte of text equal runs are told by 128 bits. DuckDB's file lies in the
+Inside a task equal runs are told by 128 bits. DuckDB's file lies in the
 task's temporary folder, as Spark's own spill does, and goes with the task; no other task
 reads it.
 
@@ -41,9 +41,11 @@ LEAST, SIZES, TOP = 30, (2, 3, 4), 2000
 #: A phrase goes if a longer one that holds it has at least so many hundredths of its count.
 COVER = 80
 #: Different hashes or runs that a task holds before it sends their sums.
-HELD_HASHES, HELD_RUNS = 2_000_000, 100_000
+HELD_HASHES, HELD_RUNS = 2_000_000, 800_000
 #: Bits of a level's table for each frequent hash, and bits at most (16 MB).
-BITS_EACH, MAX_BITS = 32, 1 << 27
+BITS_EACH, MAX_BITS = 128, 1 << 27
+#: Words of distinct pieces that a counting task takes at least, as it sums what it meets before it sends it.
+TASK_WORDS = 6_000_000
 #: Memory of a bucket in DuckDB; beyond, it goes to its file.
 BUCKET_MEMORY = "192MB"
 _BLANK = np.zeros(256, bool)
@@ -146,8 +148,9 @@ def bucket_sums(rows: DataFrame, keys: dict[str, str], least: int) -> DataFrame:
     return rows.repartition(*keys).mapInArrow(run, ", ".join([*(f"{k} {spark_types[v]}" for k, v in keys.items()), "n long"]))
 
 
-def frequent_hashes(pieces: DataFrame, n: int, tables: list[np.ndarray], least: int) -> DataFrame:
-    """(h, n): hashes of runs of n words whose count reaches ``least``."""
+def frequent_hashes(pieces: DataFrame, n: int, tables: list[np.ndarray], least: int, bits: int = 63) -> DataFrame:
+    """(h, n): hashes, of so many bits, of runs of n words whose count reaches ``least``."""
+    mask = np.uint64((1 << bits) - 1)
     shared = pieces.sparkSession.sparkContext.broadcast(tables)
 
     def count(batches):
@@ -156,7 +159,7 @@ def frequent_hashes(pieces: DataFrame, n: int, tables: list[np.ndarray], least:
         for b in batches:
             for _, runs, times in _pieces(b):
                 at, _, _, hashes = runs.possible(n, shared.value)
-                h.append(hashes)
+                h.append(hashes & mask)
                 c.append(times[runs.row[at]])
                 size += len(at)
                 if size >= HELD_HASHES:
@@ -184,41 +187,61 @@ def bit_table(hashes: DataFrame, n: int) -> np.ndarray:
     return table
 
 
+class Held:
+    """Counts of runs with their bytes: equal runs, by 128 bits, are one entry."""
+
+    def __init__(self, h: np.ndarray, g: np.ndarray, n: np.ndarray, lang: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        order = np.lexsort((g, h))
+        h, g = h[order], g[order]
+        new = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (g[1:] != g[:-1]))) if len(h) else np.zeros(0, np.int64)
+        some = order[new]
+        self.h, self.g, self.lang = h[new], g[new], lang[some]
+        self.n = np.add.reduceat(n[order], new) if len(new) else n
+        sizes = ends[some] - starts[some]
+        self.offsets = np.concatenate(([0], np.cumsum(sizes)))
+        self.data = data[np.arange(self.offsets[-1]) + np.repeat(starts[some] - self.offsets[:-1], sizes)]
+
+    @classmethod
+    def together(cls, parts: list[Held]) -> Held:
+        join = lambda of: np.concatenate([of(p) for p in parts])
+        base = np.cumsum([0, *[len(p.data) for p in parts[:-1]]])
+        starts = np.concatenate([p.offsets[:-1] + b for p, b in zip(parts, base)])
+        ends = np.concatenate([p.offsets[1:] + b for p, b in zip(parts, base)])
+        return cls(join(lambda p: p.h), join(lambda p: p.g), join(lambda p: p.n), join(lambda p: p.lang), join(lambda p: p.data), starts, ends)
+
+    def batches(self, langs: list[str]):
+        """Record batches of (lang, phrase, n)."""
+        names = pa.array(langs, pa.string())
+        for first in range(0, len(self.n), 50_000):
+            last = min(len(self.n), first + 50_000)
+            offsets = self.offsets[first : last + 1]
+            text = pa.StringArray.from_buffers(last - first, pa.py_buffer((offsets - offsets[0]).astype(np.int32).tobytes()), pa.py_buffer(self.data[offsets[0] : offsets[-1]].tobytes()))
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(self.lang[first:last])), text, pa.array(self.n[first:last])], ["lang", "phrase", "n"])
+
+
 def run_counts(pieces: DataFrame, tables: list[np.ndarray], least: int) -> DataFrame:
     """(lang, phrase, n): exact counts of the runs of one to len(tables) words that reach ``least``."""
     shared = pieces.sparkSession.sparkContext.broadcast(tables)
 
     def count(batches):
-        tables, seen = shared.value, {}
-
-        def send():
-            langs, phrases = zip(*seen)
-            return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array([p.decode() for p in phrases], pa.string()), pa.array(list(seen.values()), pa.int64())], ["lang", "phrase", "n"])
+        tables, codes, held = shared.value, {}, []
 
         for b in batches:
             for langs, runs, times in _pieces(b):
                 second = _span_hashes(runs.data, _BYTE2, _P2, _P2_INV)
-                raw = runs.data.tobytes()
+                code = np.array([codes.setdefault(x, len(codes)) for x in langs], np.int32)
                 for n in range(1, len(tables) + 1):
                     at, starts, ends, h = runs.possible(n, tables)
                     keep = _inside(tables[n - 1], h)
-                    at, starts, ends, h = at[keep], starts[keep], ends[keep], h[keep]
-                    if not len(at):
-                        continue
-                    g = second(starts, ends)
-                    order = np.lexsort((g, h))
-                    h, g = h[order], g[order]
-                    new = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (g[1:] != g[:-1])))
-                    sums = np.add.reduceat(times[runs.row[at[order]]], new)
-                    some = order[new]
-                    for row, s, e, c in zip(runs.row[at[some]].tolist(), starts[some].tolist(), ends[some].tolist(), sums.tolist()):
-                        key = (langs[row], raw[s:e])
-                        seen[key] = seen.get(key, 0) + c
-                    if len(seen) >= HELD_RUNS:
-                        yield send()
-                        seen.clear()
-        if seen:
-            yield send()
+                    at, starts, ends = at[keep], starts[keep], ends[keep]
+                    held.append(Held(h[keep], second(starts, ends), times[runs.row[at]], code[runs.row[at]], runs.data, starts, ends))
+                if sum(len(x.n) for x in held[1:]) >= HELD_RUNS:
+                    held = [Held.together(held)]
+                    if 2 * len(held[0].n) >= HELD_RUNS:
+                        yield from held[0].batches(list(codes))
+                        held = []
+        if held:
+            yield from Held.together(held).batches(list(codes))
 
     counts = pieces.select("lang", "piece", "times").mapInArrow(count, "lang string, phrase string, n long")
     return bucket_sums(counts, {"lang": "varchar", "phrase": "varchar"}, least)
@@ -269,17 +292,21 @@ def collocations(
 ) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's best phrases."""
     pieces = materialise(in_small_batches(pieces_of(docs, text, lang)), "pieces")
+    totals = materialise(pieces.groupBy("lang").agg(F.sum(F.col("times") * F.col("n_words")).alias("total"), F.sum("n_words").alias("distinct")), "totals")
+    n_words = totals.agg(F.sum("distinct")).first()[0] or 0
+    dealt = pieces.coalesce(-(-n_words // TASK_WORDS) or 1)
+    # hashes only tell what may be frequent: some bits more than there are words
+    bits = min(63, max(27, n_words.bit_length() + 7))
     tables: list[np.ndarray] = []
     for n in range(1, sizes[-1] + 1):
-        hashes = materialise(frequent_hashes(pieces, n, tables, least), "hashes")
+        hashes = materialise(frequent_hashes(dealt, n, tables, least, bits), "hashes")
         found = hashes.count()
         if found:
             tables.append(bit_table(hashes, found))
         discard(hashes)
         if not found:
             break
-    counts = materialise(run_counts(pieces, tables, least), "runs")
-    totals = materialise(pieces.groupBy("lang").agg(F.sum(F.col("times") * F.col("n_words")).alias("total")), "totals")
+    counts = materialise(run_counts(dealt, tables, least), "runs")
     discard(pieces)
     best = best_cuts(counts).join(covered(counts, cover), ["lang", "phrase"], "left_anti")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
