@@ -19,3 +19,11 @@ def canonical_json(parts: list[tuple[Column, bool]]) -> Column:
 def key_of(parts: list[tuple[Column, bool]]) -> Column:
     """SHA-256 of the canonical JSON; (column, is a number) each."""
     return F.sha2(canonical_json(parts), 256)
+
+
+def record_json(df, names: list[str] | None = None) -> Column:
+    """A whole row as a JSON object in the order of columns, nulls included; numbers bare, all else as text."""
+    numbers = {"int", "bigint", "smallint", "tinyint", "double", "float"}
+    kinds = dict(df.dtypes)
+    parts = [F.concat(F.lit(f'"{n}": '), json_part(F.col(n), kinds[n] in numbers)) for n in (names or df.columns)]
+    return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))

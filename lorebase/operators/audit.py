@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lorebase.operators import constraints
 from lorebase.operators.cleanup import AUDIT_SEPARATORS, ENDINGS, PUNCTUATION, named_parts
 from lorebase.sources import catalog
 
@@ -138,31 +139,71 @@ def source_keys(cases: DataFrame) -> DataFrame:
     return _union(parts).select("metric", "n")
 
 
-def run(db: Database) -> tuple[bool, DataFrame]:
-    """(failed, report): numbers by check; soft names and duplicates are reported only."""
+def run(db: Database, damaged: list[tuple[str, str]] = ()) -> tuple[bool, DataFrame]:
+    """(failed, report): numbers by check; soft names and duplicates are reported only.
+
+    ``damaged`` is what ``snapshots.damaged`` says of the stored version the tables come from.
+    """
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("check"), "n")
     parts = [orphan_counts(db).groupBy().agg(F.sum("n").alias("n")).select(F.lit("orphans").alias("check"), "n")]
+    parts.append(count(constraints.doubled_keys(db), "keys"))
+    parts.append(constraints.row_violations(db).agg(F.sum("n").alias("n")).select(F.lit("constraints").alias("check"), "n"))
     names = name_findings(db["formulas"]).groupBy("level").agg(F.count(F.lit(1)).alias("n"))
     parts.append(names.select(F.concat(F.lit("name_"), "level").alias("check"), "n"))
-    parts.append(duplicate_names(db["formulas"]).agg(F.count(F.lit(1)).alias("n")).select(F.lit("duplicates").alias("check"), "n"))
+    parts.append(count(duplicate_names(db["formulas"]), "duplicates"))
     for t in catalog.ENTITIES:
         if t.json and t.name in db:
-            parts.append(invalid_json(db[t.name], list(t.json)).agg(F.count(F.lit(1)).alias("n")).select(F.lit(f"json:{t.name}").alias("check"), "n"))
+            parts.append(count(invalid_json(db[t.name], list(t.json)), f"json:{t.name}"))
     if "evidence" in db:
         index = entity_index(db)
         for side in ("subject", "object"):
-            parts.append(poly_orphans(db["evidence"].where(f"{side}_id is not null"), index, side).agg(F.count(F.lit(1)).alias("n")).select(F.lit(f"evidence_{side}").alias("check"), "n"))
+            parts.append(count(poly_orphans(db["evidence"].where(f"{side}_id is not null"), index, side), f"evidence_{side}"))
     if "ingestion_quarantine" in db:
         raw = db["ingestion_quarantine"].where("raw_record_json is not null").where(~valid_json(F.col("raw_record_json")))
-        parts.append(raw.agg(F.count(F.lit(1)).alias("n")).select(F.lit("json:ingestion_quarantine").alias("check"), "n"))
+        parts.append(count(raw, "json:ingestion_quarantine"))
+    if damaged:
+        parts.append(db["formulas"].sparkSession.createDataFrame([("signature", len(damaged))], "check string, n long"))
     report = _union(parts).select("check", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
     # a few rows, one for each check
     failed = any(r["n"] and r["check"] not in REPORTED_ONLY for r in report.collect())
     return failed, report
 
 
-def human_report(report: DataFrame) -> str:
-    """The report of ``run`` as text: one line a check, and the outcome."""
+def findings(db: Database) -> DataFrame:
+    """(check, subject, detail): what each number of ``run`` stands for, a row a finding."""
+    row = lambda df, check, subject, detail: df.select(F.lit(check).alias("check") if isinstance(check, str) else check.alias("check"), subject.cast("string").alias("subject"), detail.cast("string").alias("detail"))
+    text = F.concat_ws
+    parts = [
+        row(constraints.broken_references(db), "orphans", text(".", "table", F.substring_index("rule", ":", -1)), F.col("key")),
+        row(constraints.doubled_keys(db), "keys", text(" ", "table", "rule"), text(" x ", "key", F.col("n").cast("string"))),
+        row(constraints.row_violations(db).where("n > 0"), "constraints", text(" ", "table", "rule"), F.col("n")),
+        row(name_findings(db["formulas"]), F.concat(F.lit("name_"), "level"), F.col("id"), F.col("rule")),
+        row(duplicate_names(db["formulas"]), "duplicates", F.col("name"), text(" x ", "ids", F.col("n").cast("string"))),
+    ]
+    for t in catalog.ENTITIES:
+        if t.json and t.name in db:
+            parts.append(row(invalid_json(db[t.name], list(t.json)), f"json:{t.name}", F.col("id"), F.col("column")))
+    if "evidence" in db:
+        index = entity_index(db)
+        for side in ("subject", "object"):
+            rows = poly_orphans(db["evidence"].where(f"{side}_id is not null"), index, side)
+            parts.append(row(rows, f"evidence_{side}", F.col(f"{side}_type"), F.col(f"{side}_id")))
+    if "ingestion_quarantine" in db:
+        raw = db["ingestion_quarantine"].where("raw_record_json is not null").where(~valid_json(F.col("raw_record_json")))
+        parts.append(row(raw, "json:ingestion_quarantine", F.lit("raw_record_json"), F.substring("raw_record_json", 1, 80)))
+    return _union(parts)
+
+
+def human_report(report: DataFrame, found: DataFrame | None = None, limit: int = 10_000) -> str:
+    """The report of ``run`` as text: a line a check with its findings below, if given, and the outcome."""
     rows = sorted(report.collect(), key=lambda r: r["check"])  # one row for each check
+    lines: dict[str, list[str]] = {}
+    if found is not None:
+        listed = found.limit(limit + 1).collect()
+        if len(listed) > limit:
+            raise ValueError(f"more than {limit} findings: write them as a table")
+        for f in sorted(listed, key=lambda f: (f["check"], f["subject"] or "", f["detail"] or "")):
+            lines.setdefault(f["check"], []).append(f"    - {f['subject']}: {f['detail']}")
     mark = lambda r: "PASS" if not r["n"] else "WARN" if r["check"] in REPORTED_ONLY else "FAIL"
-    lines = [f"[{mark(r)}] {r['check']}: {r['n']}" for r in rows]
-    return "\n".join([*lines, "FAILED" if any(mark(r) == "FAIL" for r in rows) else "PASSED"])
+    out = [x for r in rows for x in (f"[{mark(r)}] {r['check']}: {r['n']}", *lines.get(r["check"], ()))]
+    return "\n".join([*out, "FAILED" if any(mark(r) == "FAIL" for r in rows) else "PASSED"])

@@ -6,8 +6,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lorebase.functions.identity import key_of
+from lorebase.functions.identity import key_of, record_json
 from lorebase.functions.text import ustrip
+from lorebase.operators.resolve import dedupe_key
 
 # Signs and words that tell a description from a name.
 PUNCTUATION = "[。，.,；;：:！!？?]"
@@ -54,25 +55,68 @@ def classified(df: DataFrame, classify=executed_class) -> DataFrame:
     return dirty.withColumn("class", kind).drop("known").select(*df.columns, "cleaned", "class")
 
 
-def clean(df: DataFrame, snapshot: str = "", build: str = "") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows after, quarantine, evidence of renames): class A is renamed, the rest leaves with its whole row as JSON."""
+#: Class -> reason of quarantine.
+REASONS = {"B": "descriptive_non_entity", "C": "multiple_entities", "ambiguous": "ambiguous_name"}
+# Tables whose references keep a row from leaving.
+GATES = (("formula_herbs", "formula_id"), ("formula_syndromes", "formula_id"), ("case_formulas", "formula_id"))
+
+
+class Blocked(ValueError):
+    """Rows that are to leave are still referred to."""
+
+
+def clean(df: DataFrame, run_id: str = "cleanup", snapshot: str | None = None, build: str | None = None, schema_version: str = "v2") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows after, quarantine, evidence of renames): class A is renamed, the rest leaves with its whole row as JSON.
+
+    Quarantine and evidence rows have all columns of their tables but ids and times. ``cleaned_tables`` applies the gate.
+    """
     marked = classified(df)
     renamed = marked.where("class = 'A'")
     gone = marked.where("class <> 'A'")
     rest = df.where(~F.coalesce(F.col("name").startswith(DIRTY), F.lit(False)))
     after = rest.unionByName(renamed.withColumn("name", F.col("cleaned")).select(*df.columns))
-    raw = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-    held = gone.withColumn("raw_record_json", raw).withColumn("content_hash", F.sha2("raw_record_json", 256))
-    parts = [(F.lit("formulas"), False), (F.lit(snapshot), False), (F.lit(build), False), (F.col("id"), True), (F.col("content_hash"), False)]
-    reason = F.when(F.col("class") == "B", "descriptive_non_entity").when(F.col("class") == "C", "multiple_entities").otherwise("ambiguous_name")
+    text = lambda c: F.col(c) if c in df.columns else F.lit(None).cast("string")
+    null = F.lit(None).cast("string")
+    held = gone.withColumn("raw_record_json", record_json(df)).withColumn("content_hash", F.sha2("raw_record_json", 256))
+    given = {"snapshot": F.lit(snapshot).cast("string"), "build": F.lit(build).cast("string")}
+    parts = [(F.lit("formulas"), False), (given["snapshot"], False), (given["build"], False), (F.col("id"), True), (F.col("content_hash"), False)]
+    reason = reduce(lambda out, r: F.when(F.col("class") == r[0], r[1]).otherwise(out), REASONS.items(), null)
     quarantine = held.select(
-        F.lit("formulas").alias("source_table"), F.col("id").alias("source_record_id"), F.lit(snapshot).alias("source_snapshot"), F.lit(build).alias("build_id"), "content_hash",
-        "raw_record_json", F.col("name").alias("original_name"), F.col("cleaned").alias("cleaned_name"), reason.alias("reason_code"), F.lit("pending").alias("status"), key_of(parts).alias("dedupe_key"),
+        F.lit("formulas").alias("source_table"), F.col("id").alias("source_record_id"), given["snapshot"].alias("source_snapshot"), given["build"].alias("build_id"), "content_hash",
+        F.lit(schema_version).alias("schema_version"), "raw_record_json", text("source_repo").alias("source_repo"), text("raw_path").alias("source_path"),
+        F.col("name").alias("original_name"), F.col("cleaned").alias("cleaned_name"), F.lit(run_id).alias("run_id"), reason.alias("reason_code"), F.lit("pending_review").alias("status"),
+        key_of(parts).alias("dedupe_key"), null.alias("metadata_json"),
     )
     evidence = renamed.select(
-        F.lit("formula").alias("subject_type"), F.col("id").alias("subject_id"), F.lit("normalized_from").alias("relation_type"), F.col("name").alias("evidence_text"), F.lit("normalization").alias("extraction_method"),
+        F.lit("formula").alias("subject_type"), F.col("id").alias("subject_id"), F.lit("normalized_from").alias("relation_type"), null.alias("object_type"), F.lit(None).cast("long").alias("object_id"),
+        F.lit("source_record").alias("evidence_kind"), F.lit("database_row").alias("source_type"), F.lit("formula").alias("source_record_type"), F.col("id").cast("string").alias("source_record_id"),
+        F.lit(None).cast("long").alias("source_id"), text("raw_path").alias("source_path"), F.lit("name").alias("field_name"), F.col("name").alias("evidence_text"), F.lit(None).cast("double").alias("confidence"),
+        F.lit("normalization").alias("extraction_method"), F.lit("pending").alias("review_status"), null.alias("metadata_json"),
     )
-    return after, quarantine, evidence
+    return after, quarantine, evidence.withColumn("dedupe_key", dedupe_key(evidence))
+
+
+def gate(db: dict[str, DataFrame], gone: DataFrame, gates: tuple = GATES) -> DataFrame:
+    """(gate, id, n): references to rows that are to leave; ``gone`` has one column id. No row: nothing is in the way."""
+    refs = [db[t].select(F.lit(f"{t}.{fk}").alias("gate"), F.col(fk).alias("id")) for t, fk in gates if t in db]
+    if not refs:
+        return gone.select(F.lit("").alias("gate"), "id", F.lit(0).cast("long").alias("n")).limit(0)
+    return reduce(DataFrame.unionAll, refs).join(gone.select("id").distinct(), "id", "left_semi").groupBy("gate", "id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def cleaned_tables(db: dict[str, DataFrame], table: str = "formulas", **options) -> dict[str, DataFrame]:
+    """The tables after the cleanup, evidence and quarantine added to those that are there; Blocked where a reference is in the way.
+
+    Rows whose key is there already are not added again, so a second run changes nothing.
+    """
+    after, held, evidence = clean(db[table], **options)
+    if not gate(db, held.select(F.col("source_record_id").alias("id"))).isEmpty():
+        raise Blocked("rows that are to leave are referred to")
+    out = {**db, table: after}
+    for name, new in (("evidence", evidence), ("ingestion_quarantine", held)):
+        old = db.get(name)
+        out[name] = new if old is None else old.unionByName(new.join(old.select("dedupe_key"), "dedupe_key", "left_anti"), allowMissingColumns=True)
+    return out
 
 
 def conserved(before: DataFrame, after: DataFrame, quarantine: DataFrame) -> DataFrame:

@@ -92,9 +92,12 @@ def verified_cleanup(before: DataFrame, after: DataFrame, quarantine: DataFrame,
     return every.unionByName(every.agg(F.lit("all").alias("metric"), F.count(F.when(~F.col("ok"), 1)).alias("n"), F.bool_and("ok").alias("ok")))
 
 
-def markdown_table(df: DataFrame, limit: int = 500) -> str:
-    """A bounded result as a Markdown table."""
-    rows = df.limit(limit).collect()
+def markdown_table(df: DataFrame, limit: int = 500, ordered: bool = False) -> str:
+    """A bounded result as a Markdown table, sorted by its columns unless it is ``ordered`` already; a larger one is refused."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} rows: write them as a table")
+    rows = sorted(rows, key=lambda r: [(v is None, str(v)) for v in r]) if not ordered else rows
     lines = ["| " + " | ".join(df.columns) + " |", "|" + "-|" * len(df.columns)]
     lines += ["| " + " | ".join("" if v is None else str(v).replace("|", "\\|").replace("\n", " ") for v in r) + " |" for r in rows]
     return "\n".join(lines)

@@ -133,6 +133,15 @@ def delete_gates(db: dict[str, DataFrame], refs: list[tuple[str, str]], removed:
     return reduce(DataFrame.unionAll, counted)
 
 
+def nothing_left(refs: list[tuple[str, str]], removed: DataFrame, table: str = "formulas", kind: str = "formula"):
+    """The gates as a gate of a snapshot: a function from the tables to the gates that do not hold."""
+
+    def gates_not_ok(db: dict[str, DataFrame]) -> DataFrame:
+        return delete_gates(db, refs, removed, table, kind).where(~F.col("ok"))
+
+    return gates_not_ok
+
+
 def repoint(edge: DataFrame, fk: str, groups: DataFrame, key: list[str], order: list[str] | None = None) -> DataFrame:
     """References moved to canonical ids; of rows that become equal in key the first stays."""
     to = groups.where("id <> canonical_id").select(F.col("id").alias(fk), "canonical_id")

@@ -119,7 +119,7 @@ def related(db: Database, name: str, ids: DataFrame) -> dict[str, DataFrame]:
         rows = rows.select(F.col(own).alias("owner"), F.col(far).alias("id"), *kept).join(db[other].select(*shown), "id")
         if limit is not None:
             rows = first_of_each(rows, ["owner"], ["id"], limit)
-        out[title] = rows.select("owner", *shown, *extra)
+        out[title] = rows.select("owner", *shown, *[F.col(c) if c in db[edge].columns else F.lit(None).cast("string").alias(c) for c in extra])
     return out
 
 

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lorebase.operators import chain, link
-from lorebase.plans.catalogue import query, t
+from lorebase.operators import chain, cleanup, constraints, link
+from lorebase.plans.catalogue import _CLASSED, _cleanable, query, t
 from lorebase.plans.knowledge import _FORMULAS, _sql, base
 
 #: Orders stand for cases; a case uses the parts it has lines of.
@@ -82,3 +82,80 @@ def link_unmatched(spark, d):
     new = t(spark, d, "customer").selectExpr("c_custkey as id", *[f"concat('case ', {_PADDED.format('c_custkey')}) as {c}" for c in ("stem", "name")], "'' as case_date", "'' as chief_complaint")
     old = t(spark, d, "supplier").selectExpr("s_suppkey as id", f"concat('case ', {_PADDED.format('s_suppkey')}) as patient_id", "'' as case_date", "'' as chief_complaint")
     return link.unmatched(new, link.link_clinical(new, old), 10).select("id", "stem")
+
+
+# ---- cleanup ---------------------------------------------------------------------------------------
+
+_RAW = """'{"id": ' || id || ', "name": "' || name || '"}'"""
+
+
+@query("quarantine_whole", f"""select 'formulas' as source_table, id as source_record_id, null::varchar as source_snapshot, null::varchar as build_id, sha256({_RAW}) as content_hash, 'v2' as schema_version, {_RAW} as raw_record_json, null::varchar as source_repo, null::varchar as source_path,
+ name as original_name, cleaned as cleaned_name, 'run 1' as run_id, case class when 'B' then 'descriptive_non_entity' when 'C' then 'multiple_entities' else 'ambiguous_name' end as reason_code, 'pending_review' as status,
+ sha256('["formulas",null,null,' || id || ',"' || sha256({_RAW}) || '"]') as dedupe_key, null::varchar as metadata_json from ({_CLASSED}) where class <> 'A'""")
+def quarantine_whole(spark, d):
+    return cleanup.clean(_cleanable(spark, d), run_id="run 1")[1]
+
+
+@query("cleanup_evidence", f"""select 'formula' as subject_type, id as subject_id, 'normalized_from' as relation_type, null::varchar as object_type, null::bigint as object_id, 'source_record' as evidence_kind, 'database_row' as source_type, 'formula' as source_record_type,
+ id::varchar as source_record_id, null::bigint as source_id, null::varchar as source_path, 'name' as field_name, name as evidence_text, null::double as confidence, 'normalization' as extraction_method, 'pending' as review_status, null::varchar as metadata_json,
+ sha256('["formula",' || id || ',"normalized_from",null,null,"source_record","database_row","formula","' || id || '",null,null,"name"]') as dedupe_key from ({_CLASSED}) where class = 'A'""")
+def cleanup_evidence(spark, d):
+    return cleanup.clean(_cleanable(spark, d))[2]
+
+
+@query("cleanup_gate", f"with e as (select distinct l_partkey + 1000 as id, l_suppkey from lineitem where l_partkey % 5 = 0), c as (select distinct l_partkey + 1000 as id, l_orderkey from lineitem where l_partkey % 7 = 0), g as (select id from ({_CLASSED}) where class <> 'A') select 'formula_herbs.formula_id' as gate, id, count(*) as n from e where id in (select id from g) group by id union all select 'case_formulas.formula_id', id, count(*) from c where id in (select id from g) group by id")
+def cleanup_gate(spark, d):
+    lines = t(spark, d, "lineitem")
+    db = {
+        "formula_herbs": lines.where("l_partkey % 5 = 0").selectExpr("l_partkey + 1000 as formula_id", "l_suppkey as herb_id").distinct(),
+        "case_formulas": lines.where("l_partkey % 7 = 0").selectExpr("l_orderkey as case_id", "l_partkey + 1000 as formula_id").distinct(),
+    }
+    gone = cleanup.clean(_cleanable(spark, d))[1].selectExpr("source_record_id as id")
+    return cleanup.gate(db, gone)
+
+
+# ---- audits ----------------------------------------------------------------------------------------
+
+#: Tables with a fault of every kind: expressions that Spark and the SQL share.
+_FAULTY = {
+    "formulas": ("part", {"id": "case when p_partkey % 50 = 0 then p_partkey - 1 else p_partkey end", "name": "case when p_partkey % 40 <> 3 then p_name end"}),
+    "herbs": ("supplier", {"id": "s_suppkey", "name": "s_name"}),
+    "formula_herbs": ("lineitem", {"formula_id": "case when l_partkey % 60 = 1 then -l_partkey else l_partkey end", "herb_id": "case when l_suppkey % 5 = 2 then l_suppkey + 1000000 else l_suppkey end"}),
+    "evidence": (
+        "events",
+        {
+            "id": "event_id", "subject_type": "case when event_id % 3 = 0 then 'formula' else 'page' end", "subject_id": "case when event_id % 17 <> 0 then user_id end", "relation_type": "case when event_id % 19 = 0 then 'seen' else 'textual' end",
+            "object_type": "case when event_id % 5 = 0 then 'herb' end", "object_id": "case when event_id % 10 <> 0 then user_id end", "confidence": "cast(event_id % 13 as double) / 10",
+            "review_status": "case when event_id % 23 = 0 then 'open' when event_id % 29 <> 0 then 'pending' end", "dedupe_key": "concat('k', cast(event_id % 700 as string))",
+        },
+    ),
+    "ingestion_quarantine": (
+        "customer",
+        {
+            "id": "c_custkey", "source_table": "case when c_custkey % 9 = 0 then 'pages' else 'formulas' end", "run_id": "case when c_custkey % 4 <> 0 then 'r' end", "status": "case when c_custkey % 6 = 0 then 'pending' else 'pending_review' end",
+            "reason_code": "case when c_custkey % 11 = 0 then 'other' else 'ambiguous_name' end", "raw_record_json": "'{}'", "dedupe_key": "concat('q', cast(c_custkey as string))",
+        },
+    ),
+}
+
+
+def _faulty_sql() -> str:
+    tables = ", ".join(f"{name}_ as (select {', '.join(f'{e.replace("as string", "as varchar")} as {c}' for c, e in of.items())} from {source})" for name, (source, of) in _FAULTY.items())
+    rules = (
+        ("formulas", "not_null:name", "name is null"),
+        ("evidence", "not_null:subject_id", "subject_id is null"), ("evidence", "not_null:review_status", "review_status is null"), ("evidence", "enum:subject_type", "subject_type <> 'formula'"),
+        ("evidence", "enum:relation_type", "relation_type = 'seen'"), ("evidence", "enum:review_status", "review_status = 'open'"), ("evidence", "range:confidence", "confidence > 1"),
+        ("evidence", "pair:object_type,object_id", "(object_type is null) <> (object_id is null)"), ("ingestion_quarantine", "enum:source_table", "source_table = 'pages'"),
+        ("ingestion_quarantine", "not_null:run_id", "run_id is null"), ("ingestion_quarantine", "enum:status", "status = 'pending'"), ("ingestion_quarantine", "enum:reason_code", "reason_code = 'other'"),
+    )
+    keys = (("formulas", "id"), ("herbs", "id"), ("formula_herbs", "formula_id,herb_id"), ("evidence", "id"), ("evidence", "dedupe_key"), ("ingestion_quarantine", "id"), ("ingestion_quarantine", "dedupe_key"))
+    parts = [f"select '{t_}' as \"table\", '{rule}' as rule, count(*) as n from {t_}_ where {where}" for t_, rule, where in rules]
+    parts += [f"select '{t_}', 'key:{k}', count(*) from (select {k} from {t_}_ group by all having count(*) > 1)" for t_, k in keys]
+    parts += [f"select 'formula_herbs', 'reference:{fk}', count(*) from formula_herbs_ where {fk} not in (select id from {p}_)" for fk, p in (("formula_id", "formulas"), ("herb_id", "herbs"))]
+    return f"with {tables} select * from ({' union all '.join(parts)}) where n > 0"
+
+
+@query("audit_constraints", _faulty_sql())
+def audit_constraints(spark, d):
+    db = {name: t(spark, d, source).selectExpr(*[f"{e} as {c}" for c, e in of.items()]) for name, (source, of) in _FAULTY.items()}
+    return constraints.violations(db)

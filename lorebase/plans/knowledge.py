@@ -237,7 +237,8 @@ _ASKED = "case when r_regionkey % 2 = 0 then '[1, {\"a\": 2}]' else '{bad' end"
  union all select 'duplicates', count(*) from (select trim(name) from n group by 1 having count(*) > 1)
  union all select 'json:symptoms', count(*) from region where r_regionkey % 2 = 1
  union all select 'evidence_subject', count(*) from events where event_id % 3 = 0 and event_id not in (select id from n) union all select 'evidence_object', count(*) from events where event_id not in (select s_suppkey from supplier)
- union all select 'json:ingestion_quarantine', count(*) from events where event_id % 4 = 0""")
+ union all select 'json:ingestion_quarantine', count(*) from events where event_id % 4 = 0
+ union all select 'keys', 0 union all select 'constraints', count(*) from events where event_id % 3 <> 0""")
 def audit_summary(spark, d):
     full = base(spark, d)
     parts = t(spark, d, "part").selectExpr("p_partkey as id", f"{_NAMED} as name")

@@ -17,6 +17,10 @@ class Table:
     search: tuple[str, ...] = ()
     label: str = ""
     json: tuple[str, ...] = ()
+    enums: dict[str, tuple] = field(default_factory=dict)
+    ranges: dict[str, tuple] = field(default_factory=dict)
+    pairs: tuple[tuple[str, str], ...] = ()
+    unique: tuple[str, ...] = ()
 
 
 def _text(names: str) -> str:
@@ -74,6 +78,20 @@ EVIDENCE_ENUMS = {
     "review_status": ("pending", "reviewed", "rejected"),
     "subject_type": tuple(ENTITY_TYPES),
 }
+QUARANTINE_ENUMS = {
+    "source_table": (*ENTITY_TYPES.values(), "raw_import"),
+    "reason_code": ("descriptive_non_entity", "multiple_entities", "invalid_markdown_parse", "ambiguous_name"),
+    "status": ("pending_review", "rejected", "restored", "split"),
+}
+EVIDENCE = Table(
+    "evidence", EVIDENCE_COLUMNS, required=("subject_type", "subject_id", "relation_type", "evidence_kind", "source_type", "evidence_text", "extraction_method", "review_status", "dedupe_key"),
+    enums=EVIDENCE_ENUMS | {"object_type": tuple(ENTITY_TYPES), "source_record_type": tuple(ENTITY_TYPES)}, ranges={"confidence": (0.0, 1.0)}, pairs=(("object_type", "object_id"),), unique=("dedupe_key",), json=("metadata_json",),
+)
+QUARANTINE = Table(
+    "ingestion_quarantine", QUARANTINE_COLUMNS, required=("source_table", "source_record_id", "raw_record_json", "run_id", "reason_code", "status", "dedupe_key"),
+    enums=QUARANTINE_ENUMS, unique=("dedupe_key",), json=("raw_record_json", "metadata_json"),
+)
+# Fields that are merged, and fields that tell one evidence row from another.
 MERGE_FIELDS = (
     "source_book", "chapter", "alias", "composition", "dosage", "indication",
     "six_channel", "syndrome", "differentiation", "contraindication", "commentary", "lesson_ref",
@@ -82,7 +100,7 @@ IDENTITY_FIELDS = (
     "subject_type", "subject_id", "relation_type", "object_type", "object_id", "evidence_kind",
     "source_type", "source_record_type", "source_record_id", "source_id", "source_path", "field_name",
 )
-#: Detail relations: entity -> (name, edge, own key, other table, other key, columns of the other, columns of the edge, limit).
+# Fixed values. Detail relations: entity -> (name, edge, own key, other table, other key, columns of the other, columns of the edge, limit).
 RELATIONS = {
     "formulas": (("herbs", "formula_herbs", "formula_id", "herbs", "herb_id", ("id", "name", "nature", "flavor"), ("role",), None),
                  ("syndromes", "formula_syndromes", "formula_id", "syndromes", "syndrome_id", ("id", "name", "six_channel"), (), None)),
@@ -98,7 +116,7 @@ RELATIONS = {
 STATS_TABLES = tuple(t.name for t in ENTITIES if t.name not in ("meridians", "diagnostic_notes"))
 LONG_TEXT = ("content", "commentary", "bencao_raw", "herbal_rx", "notes", "inquiry", "indication", "description")
 
-TABLES = {t.name: t for t in (*ENTITIES, *EDGES)}
+TABLES = {t.name: t for t in (*ENTITIES, *EDGES, EVIDENCE, QUARANTINE)}
 
 
 def table(name: str) -> Table:

@@ -9,6 +9,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lorebase.sources.snapshots import measured, write_measured
+
 
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").json(path, ignoreNullFields=False)
@@ -32,11 +34,12 @@ def small_csv(df: DataFrame, limit: int = 100_000) -> str:
     return out.getvalue()
 
 
-def small_json(df: DataFrame, limit: int = 100_000) -> str:
+def small_json(df: DataFrame, limit: int = 100_000, indent: int | None = None) -> str:
+    """JSON of a bounded result; indented for an artefact that people read."""
     rows = df.limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"more than {limit} rows: use write_json")
-    return json.dumps([r.asDict(recursive=True) for r in rows], ensure_ascii=False, default=str)
+    return json.dumps([r.asDict(recursive=True) for r in rows], ensure_ascii=False, default=str, indent=indent)
 
 
 def signature(df: DataFrame) -> DataFrame:
@@ -51,7 +54,7 @@ def _fs(spark: SparkSession, path: str):
 
 
 def publish(db: dict[str, DataFrame], folder: str, dry_run: bool = False, gates=()) -> str | None:
-    """Write all tables to a staging folder, check them, then rename it to ``folder``.
+    """Write all tables to a staging folder, check them, then rename it to ``folder``; ``snapshots`` keeps versions instead.
 
     ``gates`` are functions from the tables to a DataFrame of violations; any row stops
     the whole batch. A dry run checks and writes nothing. Returns the published folder.
@@ -64,10 +67,9 @@ def publish(db: dict[str, DataFrame], folder: str, dry_run: bool = False, gates=
     spark = next(iter(db.values())).sparkSession
     staging = f"{folder.rstrip('/')}.staging-{uuid.uuid4().hex}"
     for name, df in db.items():
-        df.write.parquet(f"{staging}/{name}.parquet")
-        written = spark.read.parquet(f"{staging}/{name}.parquet")
-        if written.count() != df.count():
-            raise ValueError(f"{name}: not all rows were written")
+        passed = write_measured(df, f"{staging}/{name}.parquet")
+        if measured(spark.read.parquet(f"{staging}/{name}.parquet")) != passed:
+            raise ValueError(f"{name}: what was written is not what was computed")
     source, fs = _fs(spark, staging)
     target, _ = _fs(spark, folder)
     if fs.exists(target):

@@ -202,7 +202,7 @@ def test_search_prefix_limit(spark):
 def test_audit_report_and_quarantine(spark):
     db = {
         "formulas": spark.createDataFrame([(1, "麻黄汤"), (2, "麻黄汤")], "id long, name string"), "herbs": spark.createDataFrame([(1, "甘草")], "id long, name string"),
-        "formula_herbs": spark.createDataFrame([(1, 1)], "formula_id long, herb_id long"), "ingestion_quarantine": spark.createDataFrame([("{}",), (None,)], "raw_record_json string"),
+        "formula_herbs": spark.createDataFrame([(1, 1)], "formula_id long, herb_id long"), "ingestion_quarantine": spark.createDataFrame([("{}",), ("[]",)], "raw_record_json string"),
     }
     failed, found = audit.run(db)
     assert not failed and audit.human_report(found).endswith("PASSED") and "[WARN] duplicates: 1" in audit.human_report(found)
