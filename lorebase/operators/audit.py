@@ -111,6 +111,12 @@ def constraint_violations(df: DataFrame, key: list[str], required: list[str] = (
     return dup.unionByName(out)
 
 
+def duplicate_rows(df: DataFrame, name: str = "name", key: str = "id") -> DataFrame:
+    """(trimmed, id) of all rows in such a group, a row each, for groups of any size."""
+    rows = df.where(F.col(name).isNotNull()).select(F.trim(F.col(name)).alias("trimmed"), F.col(key).alias("id"))
+    return rows.join(rows.groupBy("trimmed").agg(F.count(F.lit(1)).alias("n")).where("n >= 2").select("trimmed"), "trimmed", "left_semi")
+
+
 def blank_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, blank, total) of all columns in one pass."""
     row = df.agg(F.count(F.lit(1)).alias("total"), *[F.count(F.when(F.col(c).isNull() | (F.col(c).cast("string") == ""), 1)).alias(f"b{k}") for k, c in enumerate(columns)])

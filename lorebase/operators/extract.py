@@ -4,15 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-
-#: Characters by which strings that may hold one another meet.
-RUN = 4
-
-
-def _runs(c: Column) -> Column:
-    """Distinct runs of 1 to RUN characters of a non-empty string."""
-    of = lambda k: F.transform(F.sequence(F.lit(1), F.char_length(c) - k + 1), lambda i: F.substring(c, i, k))
-    return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.char_length(c), F.lit(RUN))), of)))
+from lorebase.operators.contain import either
 
 
 def entity_names(df: DataFrame, key: str = "id", name: str = "name") -> DataFrame:
@@ -24,9 +16,7 @@ def match_tokens(tokens: DataFrame, names: DataFrame, normalise=None, exact: boo
     """(token, id): exact name first, then the normalised name, then either holding the other; the first entity wins.
 
     Exact and normalised matches are equi-joins. Only the distinct tokens left over
-    meet the names by containment, which is an equi-join too: what is held gives its
-    first RUN characters (itself, if shorter), what holds gives all its runs of up to
-    RUN characters, and those that meet are compared.
+    meet the names by containment, each held string by its rarest run.
     """
     distinct = tokens.select("token").where("token is not null and token <> ''").distinct()
     found = []
@@ -41,12 +31,9 @@ def match_tokens(tokens: DataFrame, names: DataFrame, normalise=None, exact: boo
             found.append(hit)
             left = left.join(hit.select("token"), "token", "left_anti")
     probe = left.withColumn("part", normalise(F.col("token")) if normalise is not None else F.col("token")).where("part <> ''")
-    names = names.where("name <> ''")
-    # token inside name, and the other way round
-    inner = probe.withColumn("c", F.substring("part", 1, RUN)).join(names.withColumn("c", F.explode(_runs(F.col("name")))), "c")
-    outer = probe.withColumn("c", F.explode(_runs(F.col("part")))).join(names.withColumn("c", F.substring("name", 1, RUN)), "c")
-    either = inner.where(F.expr("contains(name, part)")).unionByName(outer.where(F.expr("contains(part, name)")))
-    found.append(either.groupBy("token").agg(F.min_by("id", "ord").alias("id")))
+    pairs = either(probe.select(F.col("part").alias("x")), names.select(F.col("name").alias("y")))
+    held = probe.select("token", F.col("part").alias("x")).join(pairs, "x").join(names.withColumnRenamed("name", "y"), "y")
+    found.append(held.groupBy("token").agg(F.min_by("id", "ord").alias("id")))
     out = found[0]
     for f in found[1:]:
         out = out.unionAll(f)

@@ -13,36 +13,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lorebase.functions.text import patient_name, person_name
+from lorebase.operators.contain import contained, either
 from lorebase.operators.walk import greedy, numbered, walked  # noqa: F401 (also used by callers)
 from lorebase.sources.tables import discard, materialise
 
-#: Characters by which strings meet before one is looked for in the other.
-GRAM = 4
-
-
-def holding(inner: DataFrame, i: str, outer: DataFrame, o: str) -> DataFrame:
-    """Rows of both sides where ``o`` holds ``i``.
-
-    The first GRAM characters of ``i``, all of a shorter one, meet all runs of at
-    most as many characters of ``o``.
-    """
-    runs = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), F.lit(GRAM)),
-            lambda k: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(o) - k + 1)), lambda at: F.substring(F.col(o), at, k)),
-        )
-    )
-    a = inner.where(F.col(i) != "").withColumn("__run", F.substring(i, 1, GRAM))
-    b = outer.where(F.col(o) != "").withColumn("__run", F.explode(F.array_distinct(runs)))
-    return a.join(b, "__run").where(F.contains(F.col(o), F.col(i))).drop("__run")
-
-
-def contained(a: DataFrame, b: DataFrame) -> DataFrame:
-    """(x, y) of distinct strings of ``a`` (column x) and ``b`` (column y) where one holds the other."""
-    a, b = a.select("x").distinct(), b.select("y").distinct()
-    return holding(a, "x", b, "y").select("x", "y").unionAll(holding(b, "y", a, "x").select("x", "y")).distinct()
-
-
 def zipped(new: DataFrame, old: DataFrame, key: list[str], rank: int) -> DataFrame:
     """(new_id, old_id, rank): the i-th new row of a key with its i-th old row, both by id.
 
@@ -76,7 +50,7 @@ def link(new: DataFrame, old: DataFrame) -> DataFrame:
 
     take(zipped(left_new, left_old, ["k", "day"], 0))
     take(zipped(left_new, left_old, ["k"], 1))
-    keys = contained(left_new.select(F.col("k").alias("x")), left_old.select(F.col("k").alias("y")))
+    keys = either(left_new.select(F.col("k").alias("x")), left_old.select(F.col("k").alias("y")))
     wants = keys.select(F.col("x").alias("c"), F.col("y").alias("pool"), F.lit(2).alias("rank"))
     take(walked(left_new.select("new_id", F.col("k").alias("c")), wants, left_old.select(F.col("k").alias("pool"), "old_id", F.lit(0).cast("long").alias("place"))))
     take(zipped(left_new, left_old, ["day"], 3))
@@ -88,7 +62,8 @@ def link(new: DataFrame, old: DataFrame) -> DataFrame:
 
 def _complaint_wants(asked: DataFrame, held: DataFrame) -> DataFrame:
     """(c, pool, rank): beginnings of complaints and the complaints that hold them."""
-    return holding(asked.select("c").distinct(), "c", held.select("pool").distinct(), "pool").select("c", "pool", F.lit(4).alias("rank"))
+    found = contained(asked.select(F.col("c").alias("x")), held.select(F.col("pool").alias("y")))
+    return found.select(F.col("x").alias("c"), F.col("y").alias("pool"), F.lit(4).alias("rank"))
 
 
 def _keyed(old: DataFrame, key: Column) -> DataFrame:
@@ -113,7 +88,7 @@ def link_clinical(new: DataFrame, old: DataFrame) -> DataFrame:
     same = classes.join(keys.distinct(), F.col("stem") == F.col("y")).select("c", F.col("y").alias("pool"), F.lit(1).alias("rank"))
     parts = [same]
     for rank, column in ((2, "stem"), (3, "name")):
-        held = contained(classes.select(F.col(column).alias("x")), keys)
+        held = either(classes.select(F.col(column).alias("x")), keys)
         parts.append(classes.join(held, F.col(column) == F.col("x")).select("c", F.col("y").alias("pool"), F.lit(rank).alias("rank")))
     out = walked(a.select("new_id", "c"), reduce(DataFrame.unionAll, parts), b.select(F.col("k").alias("pool"), "old_id", "place"), fixed)
     discard(a, b, fixed)
@@ -128,7 +103,7 @@ def link_by_stem(new: DataFrame, old: DataFrame, prefix: int = 50) -> DataFrame:
     b = materialise(_keyed(old, F.col("patient_id")), "old")
     classes = a.select("c", "stem", "day", "begins").distinct()
     pool = lambda kind, c: F.concat(F.lit(kind), c)
-    held = holding(classes.select("begins").where("begins is not null").distinct(), "begins", b.select("complaint").where("complaint is not null").distinct(), "complaint")
+    held = contained(classes.select(F.col("begins").alias("x")), b.select(F.col("complaint").alias("y"))).toDF("begins", "complaint")
     wants = [
         classes.where("stem is not null").select("c", pool("k", F.col("stem")).alias("pool"), F.lit(0).alias("rank")),
         classes.where("day is not null").select("c", pool("d", F.col("day")).alias("pool"), F.lit(3).alias("rank")),

@@ -58,8 +58,7 @@ def risk_report(db: Database, refs: Refs, table: str = "formulas", edge: str = "
     """
     groups = resolve.canonical_rows(db[table])
     found = conflicts(db[table], groups).groupBy("canonical_id").agg(F.count(F.when(F.col("medical"), 1)).alias("n_medical"), F.count(F.when(~F.col("medical"), 1)).alias("n_other"))
-    sets = db[edge].select(F.col(fk).alias("id"), other).join(groups, "id").groupBy("canonical_id", "id").agg(F.array_sort(F.collect_set(other)).alias("set"))
-    same = sets.groupBy("canonical_id").agg((F.count_distinct("set") <= 1).alias("herbs_consistent"))
+    same = resolve.consistent_sets(db[edge], fk, other, groups).withColumnRenamed("same", "herbs_consistent")
     counts = relation_counts(db, refs, groups).join(groups.where("id <> canonical_id"), "id")
     links = counts.groupBy("canonical_id").agg(F.sum("n").alias("moved"), F.sum(F.when(F.col("edge") == cases, F.col("n")).otherwise(0)).alias("case_links"))
     out = groups.select("name", "canonical_id").distinct().join(found, "canonical_id", "left").join(same, "canonical_id", "left").join(links, "canonical_id", "left")
@@ -103,9 +102,13 @@ def markdown_table(df: DataFrame, limit: int = 500, ordered: bool = False) -> st
     return "\n".join(lines)
 
 
+#: Entries of a dictionary that may be broadcast; beyond, a shuffled join.
+MAX_ENTRIES = 100_000
+
+
 def enriched(df: DataFrame, values: dict[str, dict], key: str, columns: list[str]) -> DataFrame:
-    """Columns filled from a small dictionary by key where they are missing."""
+    """Columns filled from a dictionary by key where they are missing."""
     rows = [(k, *[v.get(c) for c in columns]) for k, v in values.items()]
     fixed = df.sparkSession.createDataFrame(rows, ", ".join([f"{key} string", *[f"__{c} string" for c in columns]]))
-    out = df.join(F.broadcast(fixed), key, "left")  # the dictionary is a constant of the caller's
+    out = df.join(F.broadcast(fixed) if len(rows) <= MAX_ENTRIES else fixed, key, "left")
     return out.withColumns({c: F.coalesce(blank_to_null(F.col(c), False), F.col(f"__{c}")) for c in columns}).select(*df.columns)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lorebase.functions.identity import key_of
 from lorebase.functions.text import blank_to_null
 from lorebase.sources.catalog import IDENTITY_FIELDS, MERGE_FIELDS
+from lorebase.sources.tables import materialise
 
 #: Sources by rank, and the leading one: the caller's own names for them.
 LEADING, RANKS = "primary", {"primary": 0, "secondary": 1}
@@ -143,11 +144,21 @@ def nothing_left(refs: list[tuple[str, str]], removed: DataFrame, table: str = "
 
 
 def repoint(edge: DataFrame, fk: str, groups: DataFrame, key: list[str], order: list[str] | None = None) -> DataFrame:
-    """References moved to canonical ids; of rows that become equal in key the first stays."""
+    """References moved to canonical ids; of rows that become equal in key the first stays.
+
+    Only moved rows can come to an equal key: they are few, so rows that stay are neither sorted nor
+    dealt out, but only asked for the keys that moved rows come to. ``key`` is the key of the edges,
+    so rows that stay have different ones.
+    """
     to = groups.where("id <> canonical_id").select(F.col("id").alias(fk), "canonical_id")
-    moved = edge.join(to, fk, "left").withColumn("__moved", F.col("canonical_id").isNotNull()).withColumn(fk, F.coalesce("canonical_id", fk)).drop("canonical_id")
-    w = Window.partitionBy(*key).orderBy("__moved", *(order or [c for c in edge.columns if c not in key]))
-    return moved.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").select(*edge.columns)
+    stay = edge.join(to.select(fk), fk, "left_anti")
+    moved = edge.join(to, fk).withColumn(fk, F.col("canonical_id")).select(*edge.columns)
+    rest = order or [c for c in edge.columns if c not in key]
+    others = [c for c in edge.columns if c not in key]
+    first = F.min(F.struct(*[F.col(c).alias(f"o{k}") for k, c in enumerate(rest)], F.struct(*others).alias("row"))) if others else F.count(F.lit(1))
+    one = moved.groupBy(*key).agg(first.alias("first")).select(*key, *[F.col(f"first.row.{c}").alias(c) for c in others])
+    held = stay.select(*key).join(one.select(*key), key, "left_semi")
+    return stay.unionByName(one.join(held, key, "left_anti").select(*edge.columns))
 
 
 def dedupe_key(df: DataFrame) -> Column:
@@ -171,7 +182,7 @@ def repoint_evidence(evidence: DataFrame, groups: DataFrame) -> DataFrame:
 
 def migrate(db: dict[str, DataFrame], refs: list[tuple[str, str, list[str]]], table: str = "formulas", fields: tuple[str, ...] = MERGE_FIELDS, leading: str = LEADING, ranks: dict[str, int] = RANKS) -> dict[str, DataFrame]:
     """The tables after all groups are merged; nothing is published here. ``refs``: (edge, fk, key of the edge)."""
-    groups = canonical_rows(db[table], leading=leading, ranks=ranks)
+    groups = materialise(canonical_rows(db[table], leading=leading, ranks=ranks), "groups")  # read by every edge and evidence table
     present = tuple(f for f in fields if f in db[table].columns)
     fills, kept_out = merged_fields(db[table], groups, present)
     wide = fills.groupBy(F.col("canonical_id").alias("id")).pivot("field", list(present)).agg(F.first("value"))
@@ -194,10 +205,25 @@ def migrate(db: dict[str, DataFrame], refs: list[tuple[str, str, list[str]]], ta
 
 
 def reconciled(before: DataFrame, after: DataFrame, fk: str, other: str, groups: DataFrame) -> DataFrame:
-    """(canonical_id, same): each group's set of partners before and after."""
+    """(canonical_id, same): whether each group's set of partners is the same before and after.
+
+    Sets are compared partner by partner, which counts add up to, so no set is ever gathered.
+    """
     to = groups.select(F.col("id").alias(fk), "canonical_id")
-    sets = lambda df, n: df.join(to, fk).groupBy("canonical_id").agg(F.array_sort(F.collect_set(other)).alias(n))
-    return sets(before, "b").join(sets(after, "a"), "canonical_id", "full").select("canonical_id", F.col("a").eqNullSafe(F.col("b")).alias("same"))
+    side = lambda df, bit: df.join(to, fk).select("canonical_id", F.col(other).alias("partner"), F.lit(bit).alias("side"))
+    sides = side(before, 1).unionAll(side(after, 2)).groupBy("canonical_id", "partner").agg(F.bit_or("side").alias("sides"))
+    return sides.groupBy("canonical_id").agg((F.bool_and((F.col("sides") == 3) | F.col("partner").isNull())).alias("same"))
+
+
+def consistent_sets(edge: DataFrame, fk: str, other: str, groups: DataFrame) -> DataFrame:
+    """(canonical_id, same): whether all rows of a group that have partners have the same ones.
+
+    They do if every partner of the group is one of each row: two counts, and no set is gathered.
+    """
+    pairs = edge.select(F.col(fk).alias("id"), F.col(other).alias("partner")).where("partner is not null").join(groups.select("id", "canonical_id"), "id").distinct()
+    rows = pairs.select("canonical_id", "id").distinct().groupBy("canonical_id").agg(F.count(F.lit(1)).alias("rows"))
+    have = pairs.groupBy("canonical_id", "partner").agg(F.count(F.lit(1)).alias("n")).groupBy("canonical_id").agg(F.min("n").alias("least"))
+    return have.join(rows, "canonical_id").select("canonical_id", (F.col("least") == F.col("rows")).alias("same"))
 
 
 def redirect_map(evidence: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lorebase.operators import chain, cleanup, constraints, link
+from lorebase.functions.text import person_name
+from lorebase.operators import chain, cleanup, constraints, extract, link
 from lorebase.plans.catalogue import _CLASSED, _cleanable, query, t
 from lorebase.plans.knowledge import _FORMULAS, _sql, base
 
@@ -159,3 +160,20 @@ def _faulty_sql() -> str:
 def audit_constraints(spark, d):
     db = {name: t(spark, d, source).selectExpr(*[f"{e} as {c}" for c, e in of.items()]) for name, (source, of) in _FAULTY.items()}
     return constraints.violations(db)
+
+
+# ---- matching --------------------------------------------------------------------------------------
+
+_NAMES = "(select min(p_partkey) as ord, max(p_partkey) as id, lower(p_name) as name from part group by lower(p_name))"
+_ASKED = "(select distinct case when c_custkey % 3 = 0 then concat('x', lower(p_name)) when c_custkey % 3 = 1 then upper(substr(p_name, 1, 4)) else concat(upper(p_name), '.') end as token from customer join part on c_custkey = p_partkey union all select 'a' union all select ' ')"
+_PLAIN_TOKEN = "trim(regexp_replace(regexp_replace(lower(token), '[,.\\-'']', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+@query("fuzzy_match_normalised", f"with t as (select token, {_PLAIN_TOKEN} as plain from {_ASKED}), n as (select * from {_NAMES}) select token, arg_min(id, case when name = token then -2 when name = plain then -1 else ord end) as id from t join n on (plain <> '' and (contains(n.name, plain) or contains(plain, n.name))) group by token")
+def fuzzy_match_normalised(spark, d):
+    names = t(spark, d, "part").selectExpr("p_partkey as id", "lower(p_name) as name")
+    asked = t(spark, d, "customer").join(t(spark, d, "part"), F.expr("c_custkey = p_partkey")).selectExpr(
+        "case when c_custkey % 3 = 0 then concat('x', lower(p_name)) when c_custkey % 3 = 1 then upper(substr(p_name, 1, 4)) else concat(upper(p_name), '.') end as token"
+    )
+    tokens = asked.unionAll(spark.createDataFrame([("a",), (" ",)], "token string"))
+    return extract.match_tokens(tokens, extract.entity_names(names), normalise=person_name)
