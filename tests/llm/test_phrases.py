@@ -43,10 +43,10 @@ def rows_of(df):
     return sorted(tuple(r) for r in df.select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect())
 
 
-@pytest.mark.parametrize("held", ((2_000_000, 800_000), (300, 50)))
+@pytest.mark.parametrize("held", (2_000_000, 300))
 def test_against_plain_counting(spark, monkeypatch, held):
-    monkeypatch.setattr(phrases, "HELD_HASHES", held[0])
-    monkeypatch.setattr(phrases, "HELD_RUNS", held[1])
+    monkeypatch.setattr(phrases, "HELD_HASHES", held)
+    monkeypatch.setattr(phrases, "TASK_WORDS", 100)
     docs = [(row[2], row[1]) for row in documents()]
     want = brute(docs, 6)
     assert len(want) > 30 and rows_of(phrases.collocations(frame(spark), least=6)) == sorted(want)
@@ -59,13 +59,10 @@ def test_a_full_bit_table_loses_and_adds_nothing(spark, monkeypatch):
     assert rows_of(phrases.collocations(frame(spark), least=8)) == sorted(brute(docs, 8))
 
 
-def test_equal_hashes_are_counted_apart(spark, monkeypatch):
-    """Also where the hash of a run says nothing: the last pass counts texts."""
-    monkeypatch.setattr(phrases.Runs, "hashes", lambda self, at, starts, ends: (ends - starts).astype(np.uint64))
-    rows = [(k, t, "en") for k, t in enumerate(["aa bb cc", "bb aa. cc aa", "aa\tbb;cc", "cc aa"] * 3)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    # the broken hash is only in the driver's process; workers pickle the class by name, so this also runs with the true one
-    assert rows_of(phrases.collocations(docs, least=3)) == sorted(brute([(r[2], r[1]) for r in rows], 3))
+def test_equal_hashes_are_counted_apart():
+    h, g = np.array([5, 7, 5, 5, 7], np.uint64), np.array([1, 2, 3, 1, 2], np.uint32)
+    got = phrases._summed([(h[:2], g[:2], np.array([10, 20]), np.array([0, 0])), (h[2:], g[2:], np.array([1, 2, 4]), np.array([1, 2, 3]))])
+    assert sorted(zip(*[x.tolist() for x in got])) == [(5, 1, 12, 0), (5, 3, 1, 1), (7, 2, 24, 0)]
 
 
 def test_nulls_empty_tables_and_clashing_names(spark):
@@ -85,4 +82,4 @@ def test_counts_beyond_64_bits_of_product(spark):
 
 def test_pieces_are_counted_once(spark):
     docs = spark.createDataFrame([(1, "A b,a  b\na\tb ", "en"), (2, "a b. c", "en")], "doc_id long, text string, lang string")
-    assert {tuple(r) for r in phrases.pieces_of(docs).collect()} == {("en", "a b", 4, 2), ("en", "c", 1, 1)}
+    assert {tuple(r)[:4] for r in phrases.pieces_of(docs).collect()} == {("en", "a b", 4, 2), ("en", "c", 1, 1)}
