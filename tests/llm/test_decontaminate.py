@@ -66,3 +66,32 @@ def test_keep_clean_and_empty(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.decontaminate(frame(spark), none).where("contaminated").count() == 0
     assert decontaminate.decontaminate(frame(spark, []), bench).count() == 0
+
+
+def test_long_texts_and_repeats_take_no_square(spark):
+    """A document equal to a long item, and a long repetition: rows of hits follow the words."""
+    r = random.Random(9)
+    long = prose(r, 6000)
+    rows = [(1, long), (2, "echo " * 900), (3, "other words only")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = [(1, long), (2, "echo " * 700), (3, "echo"), (4, "echo " * 9)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    prints = decontaminate.prints_of(decontaminate.items_of(bench).select("item", "words"), [1, 9])
+    assert prints.count() < 6000  # the repetition's fingerprints lie in few different words
+    found, _ = decontaminate.hits(docs, decontaminate.items_of(bench))
+    n = found.groupBy("doc_id").count().collect()
+    assert {x["doc_id"]: x["count"] for x in n}[1] < 4 * 6000 and {x["doc_id"]: x["count"] for x in n}[2] < 100 * 900
+    got = {x["doc_id"]: x for x in decontaminate.decontaminate(docs, bench).collect()}
+    assert got[1]["n_hit"] == len(words(long)) and got[2]["n_hit"] == 900 and got[2]["n_items"] == 3 and got[3]["n_hit"] == 0
+
+
+def test_equal_documents_and_items_are_not_paired(spark):
+    r = random.Random(10)
+    text = prose(r, 12)
+    docs = spark.createDataFrame([(k, text) for k in range(400)] + [(1000, prose(r, 12))], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, text) for k in range(400)], "item_id long, text string")
+    found, _ = decontaminate.hits(docs, decontaminate.items_of(bench))
+    assert found.select("doc_id", "item").distinct().count() == 400 and found.count() <= 400 * 12
+    got = decontaminate.decontaminate(docs, bench).where("contaminated").collect()
+    ids = hashlib.sha256(",".join(sorted(map(str, range(400)))).encode()).hexdigest()
+    assert len(got) == 400 and {(x["n_items"], x["items_sha256"]) for x in got} == {(400, ids)}
