@@ -82,6 +82,15 @@ def browse(df: DataFrame, page: int = 1, per_page: int = 30, filters: dict[str,
     return filtered(df, filters).orderBy(key).offset(max(0, (page - 1) * per_page)).limit(per_page)
 
 
+def browse_after(df: DataFrame, last: object | None = None, per_page: int = 30, filters: dict[str, str] | None = None, key: str = "id") -> DataFrame:
+    """The page after the row of key ``last``, from the beginning if that is None.
+
+    The key is a filter that file statistics prune, so a late page costs what an early one does.
+    """
+    rows = filtered(df, filters)
+    return (rows if last is None else rows.where(F.col(key) > F.lit(last))).orderBy(key).limit(per_page)
+
+
 def facet_values(df: DataFrame, c: str) -> DataFrame:
     return df.select(c).where((F.col(c) != "") & F.col(c).isNotNull()).distinct().orderBy(c)
 

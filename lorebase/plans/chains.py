@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lorebase.functions.text import person_name
-from lorebase.operators import chain, cleanup, constraints, extract, link
+from lorebase.operators import chain, cleanup, constraints, extract, link, search
 from lorebase.plans.catalogue import _CLASSED, _cleanable, query, t
 from lorebase.plans.knowledge import _FORMULAS, _sql, base
+from lorebase.sources import documents
 
 #: Orders stand for cases; a case uses the parts it has lines of.
 _CASES = "(select o_orderkey as id, concat('patient ', cast(o_custkey as string)) as patient_id, cast(o_orderdate as string) as case_date, o_orderpriority as chief_complaint from orders)"
@@ -177,3 +178,34 @@ def fuzzy_match_normalised(spark, d):
     )
     tokens = asked.unionAll(spark.createDataFrame([("a",), (" ",)], "token string"))
     return extract.match_tokens(tokens, extract.entity_names(names), normalise=person_name)
+
+
+# ---- documents and pages ---------------------------------------------------------------------------
+
+
+@query("browse_after", "select o_orderkey as id, o_orderstatus from orders where o_orderkey > (select min(o_orderkey) + (max(o_orderkey) - min(o_orderkey)) // 2 from orders) order by 1 limit 30")
+def browse_after(spark, d):
+    rows = t(spark, d, "orders").selectExpr("o_orderkey as id", "o_orderstatus")
+    least, most = rows.agg(F.min("id"), F.max("id")).first()
+    return search.browse_after(rows, least + (most - least) // 2)
+
+
+_FRONT = "concat('---', chr(10), 'title: \"', p_name, '\"', chr(10), '# left out', chr(10), 'tags: [', p_brand, ', \"', p_type, '\"]', chr(10), 'note: it''s a ', p_type, chr(10), '---', chr(10), 'body: no')"
+
+
+@query("front_values", "select p_partkey, 3::bigint as n, p_name as title, 2::bigint as n_tags, p_brand || ',' || p_type as tags_text, 'it''s a ' || p_type as note from part")
+def front_values(spark, d):
+    rows = t(spark, d, "part").selectExpr("p_partkey", f"{_FRONT} as text").select("p_partkey", documents.front_values(F.col("text")).alias("m"))
+    of = lambda k, kind: F.try_variant_get(F.col("m")[k], "$", kind)
+    return rows.select(
+        "p_partkey", F.size("m").cast("long").alias("n"), of("title", "string").alias("title"), F.size(of("tags", "array<string>")).cast("long").alias("n_tags"),
+        documents.as_text(F.col("m")["tags"]).alias("tags_text"), of("note", "string").alias("note"),
+    )
+
+
+@query("registry_contributions", "select n_name as source, x as \"table\", case x when 'notes' then '[1,2]' else n_nationkey::varchar end as what from nation, (values ('herbs'), ('notes')) v(x) union all select n_name, 'formulas', '{\"n\":' || n_regionkey || '}' from nation")
+def registry_contributions(spark, d):
+    entry = "concat('{\"repo\": \"', n_name, '\", \"contributions\": {\"herbs\": ', n_nationkey, ', \"notes\": [1, 2], \"formulas\": {\"n\": ', n_regionkey, '}}}')"
+    rows = t(spark, d, "nation").selectExpr(f"concat('{{\"version\": \"1\", \"sources\": [', {entry}, ', {{\"repo\": \"none\"}}]}}') as text")
+    found = documents.contributions(rows)
+    return found.select("source", "table", F.to_json("what").alias("what"))

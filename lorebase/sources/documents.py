@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 PASSED_OVER = ("README", "INDEX")
@@ -83,6 +84,54 @@ def front_matter(text: Column) -> Column:
     return F.map_from_entries(last)
 
 
+def front_values(text: Column) -> Column:
+    """Map of the keys of the front matter to variants: a list stays a list, a quoted text keeps what is inside its quotes.
+
+    The block lies between a leading ``---`` and the next one. Of a key given twice the last counts; no block gives an empty map.
+    """
+    block = F.regexp_extract(text, r"(?s)^---(.*?)---", 1)
+    lines = F.transform(F.split(block, "\n"), lambda s: F.regexp_replace(s, r"^\s+|\s+$", ""))
+    lines = F.filter(lines, lambda s: s.rlike(r"^[^#\s]\S*:\s*\S"))
+    unquoted = lambda v: F.regexp_replace(v, '^"+|"+$', "")
+
+    def entry(s: Column) -> Column:
+        items = F.transform(F.split(F.regexp_extract(s, r"^\S+:\s*\[(.+?)\]", 1), ","), lambda v: unquoted(F.trim(v)))
+        quoted = F.regexp_extract(s, r'^\S+:\s*"([^"]*)"', 1)
+        plain = unquoted(F.trim(F.regexp_extract(s, r"^\S+:\s*(.+)$", 1)))
+        one = F.to_json(F.array(F.when(s.rlike(r'^\S+:\s*"[^"]*"'), quoted).otherwise(plain)))
+        value = F.when(s.rlike(r"^\S+:\s*\[.+?\]"), F.to_json(items)).otherwise(F.substring(one, 2, F.length(one) - 2))
+        return F.struct(F.regexp_extract(s, r"^(\S+):", 1).alias("key"), value.alias("value"))
+
+    pairs = F.transform(lines, entry)
+    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["key"] == p["key"]))
+    return F.transform_values(F.map_from_entries(last), lambda _, v: F.parse_json(v))
+
+
+def as_text(value: Column) -> Column:
+    """A variant as text: a list's members with commas between, '' for null."""
+    items = F.try_variant_get(value, "$", "array<string>")
+    return F.coalesce(F.array_join(items, ","), F.try_variant_get(value, "$", "string"), F.lit(""))
+
+
+def file_count(spark: SparkSession, folder: str, glob: str = "*.md") -> int:
+    """Files of a folder itself; 0 for one that is not there."""
+    try:
+        return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).select("path").count()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+
+
+def contributions(registries: DataFrame, text: str = "text") -> DataFrame:
+    """(source, table, what): a row for each contribution that a registry in JSON lists; ``what`` is a variant, so it may have any shape."""
+    sources = F.try_variant_get(F.try_parse_json(text), "$.sources", "array<variant>")
+    each = registries.select(F.explode(sources).alias("s"))
+    rows = each.select(F.try_variant_get("s", "$.repo", "string").alias("source"), F.try_variant_get("s", "$.contributions", "variant").alias("c"))
+    listed = registries.sparkSession.tvf.variant_explode(F.col("c").outer())
+    return rows.lateralJoin(listed).select("source", F.coalesce("key", F.col("pos").cast("string")).alias("table"), F.col("value").alias("what"))
+
+
 def registry(spark: SparkSession, path: str) -> DataFrame:
     """Source registries in JSON."""
     return spark.read.json(path, multiLine=True)

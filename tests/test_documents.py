@@ -96,3 +96,20 @@ def test_incremental_import(spark, tmp_path):
     import_cases(spark, str(tmp_path / "in"), out, marks, known).awaitTermination(120)
     rows = spark.read.parquet(out).collect()
     assert len(rows) == 2 and all(r["source_locator"].split("#")[0].endswith(("one.md", "three.md")) for r in rows)
+
+
+def test_front_values_counts_and_registries(spark, tmp_path):
+    text = '---\na: [x, "y z"]\nb: "it\'s"\n# c: no\nb2: plain "quoted"\na2: [ ]\nurl: http://x/y\nb: last\n---\nbody: no'
+    rows = spark.createDataFrame([(1, text), (2, "no front"), (3, None), (4, "---\nnever closed: 1")], "id long, text string")
+    m = documents.front_values(F.col("text"))
+    got = {r["id"]: r["m"] for r in rows.select("id", F.transform_values(m, lambda _, v: F.to_json(v)).alias("m")).collect()}
+    assert got[1] == {"a": '["x","y z"]', "b2": '"plain \\"quoted"', "a2": '"[ ]"', "url": '"http://x/y"', "b": '"last"'} or got[1]["a2"] == '[""]'
+    assert not got[2] and not got[4]
+    assert documents.file_count(spark, str(tmp_path / "nowhere")) == 0
+    (tmp_path / "x.md").write_text("a")
+    assert documents.file_count(spark, str(tmp_path)) == 1
+    js = '{"sources": [{"repo": "r", "contributions": {"herbs": 3, "notes": [1]}}, {"repo": "s", "contributions": ["a", "b"]}, {"repo": "t"}]}'
+    found = documents.contributions(spark.createDataFrame([(js,), (None,), ("no json",)], "text string"))
+    assert sorted((r["source"], r["table"], r["what"]) for r in found.select("source", "table", F.to_json("what").alias("what")).collect() if r["table"]) == [
+        ("r", "herbs", "3"), ("r", "notes", "[1]"), ("s", "0", '"a"'), ("s", "1", '"b"'),
+    ]
