@@ -20,6 +20,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lorebase.sources.tables import materialise
+
 #: Decided first; the longest fitting rule wins. (action, host, path)
 RULES = (
     ("allow", "com", "/"),
@@ -38,6 +40,8 @@ LISTED = tuple(
 
 #: At most this many 64-bit blocks, 16 MB as joined rows, are ever broadcast.
 MAX_BLOCKS = 1 << 20
+#: Listed pairs of host and path that may be broadcast, some 50 MB; beyond, a shuffled join.
+MAX_BROADCAST_ROWS = 300_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -147,7 +151,10 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules=RULES, url: str = "ur
     bits = F.broadcast(bloom_blocks(listed, blocks))
     possible = keys.join(bits, "block").where(F.col("word").bitwiseAND(F.col("__mask")) == F.col("__mask"))
     hits = possible.join(listed, "key", "left_semi").select("host", "path").distinct().withColumn("listed", F.lit(True))
-    return rows.join(hits, ["host", "path"], "left").select(
+    hits = materialise(hits, "listed")
+    # pages are not dealt out by host and path unless very many are listed; Spark then splits a hot pair, as each is once among the hits
+    small = hits.count() <= MAX_BROADCAST_ROWS
+    return rows.join(F.broadcast(hits) if small else hits, ["host", "path"], "left").select(
         *keep,
         "host",
         "path",

@@ -40,3 +40,17 @@ def test_escapes(spark):
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
     got = {r["page_id"]: (r["verdict"], r["path"]) for r in url_filter.filter_urls(pages, listed, rules=()).collect()}
     assert [got[k][0] for k in range(6)] == ["block", "allow", "block", "allow", "block", "block"] and got[0][1] == "/%61/b"
+
+
+def test_pages_without_a_scheme_are_not_dealt_out(spark, monkeypatch):
+    """They have one host and path, all of them; so has a very frequent page."""
+    rows = [(k, "no scheme") for k in range(50)] + [(k, "http://spam.org/x") for k in range(50, 80)] + [(90, None), (91, "http://fine.org/x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string").repartition(4)
+    listed = spark.createDataFrame([("spam.org/",)], "key string")
+    got = [url_filter.filter_urls(pages, listed)]
+    plan = got[0]._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(host" not in plan
+    monkeypatch.setattr(url_filter, "MAX_BROADCAST_ROWS", 0)
+    got.append(url_filter.filter_urls(pages, listed))
+    for out in got:
+        assert {r["page_id"]: r["verdict"] for r in out.collect()} == {k: "block" if 50 <= k < 80 else "allow" for k, _ in rows}
