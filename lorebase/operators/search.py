@@ -184,3 +184,46 @@ def reason_chain(db: Database, symptom: str) -> DataFrame:
     out = out.join(db["formula_syndromes"].select("formula_id", "syndrome_id"), "syndrome_id").join(named("formulas", "formula_id", "formula"), "formula_id")
     herbs = db["formula_herbs"].select("formula_id", "herb_id").join(named("herbs", "herb_id", "herb"), "herb_id")
     return out.join(herbs, "formula_id", "left")
+
+
+def _or_empty(*names: str) -> list[Column]:
+    return [F.coalesce(F.col(n), F.lit("")) for n in names]
+
+
+def command_search(db: Database, keyword: str, limit: int = 10) -> DataFrame:
+    """type, title, info, detail of the first hits, by id, of each of the four kinds that the command line shows."""
+    shown = {
+        "herbs": (F.col("name"), F.concat(*_or_empty("nature", "flavor")), F.col("indication")),
+        "formulas": (F.col("name"), F.concat("six_channel", F.lit(" "), "source_book"), F.concat_ws(" ", *_or_empty("syndrome", "indication"))),
+        "clinical_cases": (F.col("chief_complaint"), *_or_empty("diagnosis", "herbal_rx")),
+        "folk_formulas": (F.col("name"), *_or_empty("disease"), F.col("commentary")),
+    }
+    parts = []
+    for order, (name, columns) in enumerate(shown.items(), 1):
+        if name in db:
+            spec = catalog.table(name)
+            fields = ["name", *spec.search[1:]] if name == "folk_formulas" else list(spec.search)
+            parts.append(branch(db[name], COMMAND_LABELS.get(name, spec.label), order, fields, keyword, dict(zip(("title", "info", "detail"), columns)), limit=limit))
+    return union(parts).orderBy("type_ord", "id").select("type", "title", "info", "detail")
+
+
+# A kind that the command line calls by another name.
+COMMAND_LABELS = {"folk_formulas": "妙方"}
+
+
+def counts(df: DataFrame, value: Column, name: str = "value") -> DataFrame:
+    """(value, n) of values that are not blank, most frequent first."""
+    rows = df.select(value.alias(name)).where((F.col(name) != "") & F.col(name).isNotNull())
+    return rows.groupBy(name).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), name)
+
+
+def year_of(date: Column) -> Column:
+    return F.substring(date.cast("string"), 1, 4)
+
+
+def case_stats(cases: DataFrame) -> DataFrame:
+    """(kind, value, n): all cases, cases by year, cases by gender."""
+    kind = lambda df, k: df.select(F.lit(k).alias("kind"), F.col("value").cast("string").alias("value"), "n")
+    total = cases.agg(F.count(F.lit(1)).alias("n")).withColumn("value", F.lit(""))
+    years, genders = counts(cases, year_of(F.col("case_date"))), counts(cases, F.col("gender"))
+    return kind(total, "total").unionAll(kind(years, "year")).unionAll(kind(genders, "gender"))

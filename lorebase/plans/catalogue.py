@@ -178,17 +178,17 @@ def diagnose(spark, d):
 
 @query("count_by_year", "select substr(cast(o_orderdate as varchar), 1, 4) as year, count(*) as n from orders group by 1")
 def count_by_year(spark, d):
-    return t(spark, d, "orders").groupBy(F.substring(F.col("o_orderdate").cast("string"), 1, 4).alias("year")).agg(F.count(F.lit(1)).alias("n")).orderBy("year")
+    return search.counts(t(spark, d, "orders"), search.year_of(F.col("o_orderdate")), "year")
 
 
 @query("count_by_category", "select c_mktsegment, count(*) as n from customer group by 1")
 def count_by_category(spark, d):
-    return t(spark, d, "customer").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
+    return search.counts(t(spark, d, "customer"), F.col("c_mktsegment"), "c_mktsegment")
 
 
 @query("histogram_desc", "select event_type, count(*) as n from events group by 1 order by n desc, event_type")
 def histogram_desc(spark, d):
-    return t(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "event_type")
+    return search.counts(t(spark, d, "events"), F.col("event_type"), "event_type")
 
 
 @query("dup_groups", "select p_name, count(*) as n from part group by 1 having count(*) >= 2")

@@ -209,3 +209,18 @@ def registry_contributions(spark, d):
     rows = t(spark, d, "nation").selectExpr(f"concat('{{\"version\": \"1\", \"sources\": [', {entry}, ', {{\"repo\": \"none\"}}]}}') as text")
     found = documents.contributions(rows)
     return found.select("source", "table", F.to_json("what").alias("what"))
+
+
+@query("kb_command_search", f"""select '中药' as type, name as title, nature as info, null::varchar as detail from (select * from {_sql('herbs')} where name ilike '%1%' order by id limit 10)
+ union all select '方剂', name, six_channel || ' ' || source_book, ' ' || indication from (select * from {_FORMULAS} where name ilike '%1%' or indication ilike '%1%' or composition ilike '%1%' order by id limit 10)
+ union all select '医案', chief_complaint, '', '' from (select * from {_CASES} where chief_complaint ilike '%1%' order by id limit 10)""")
+def kb_command_search(spark, d):
+    db = with_cases(spark, d)
+    db["clinical_cases"] = db["clinical_cases"].withColumns({c: F.lit(None).cast("string") for c in ("diagnosis", "herbal_rx", "inquiry")})
+    return search.command_search(db, "1")
+
+
+@query("kb_case_stats", "select 'total' as kind, '' as value, count(*) as n from orders union all select 'year', substr(o_orderdate::varchar, 1, 4), count(*) from orders group by 2 union all select 'gender', case o_orderkey % 3 when 1 then '男' else '女' end, count(*) from orders where o_orderkey % 3 > 0 group by 2")
+def kb_case_stats(spark, d):
+    cases = t(spark, d, "orders").selectExpr("cast(o_orderdate as string) as case_date", "case o_orderkey % 3 when 0 then '' when 1 then '男' else '女' end as gender")
+    return search.case_stats(cases)
