@@ -5,7 +5,8 @@ old rows at a rank. So rows of equal keys are never paired with one another. Cla
 that are connected make a component, and components are independent of one another. One with a
 single pool is a run: its k-th new row takes the pool's k-th row that is left, found by
 numbering both sides, whatever their number. Any other component of at most MAX_COMPONENT rows
-is walked by one task, in narrow rows; a larger one goes through rounds over its pairs.
+is walked by one task, in narrow rows; a larger one is walked in blocks of BLOCK new rows, each of
+which reads only the first old rows of its pools that are left. Pairs are never written out.
 """
 
 from __future__ import annotations
@@ -21,7 +22,11 @@ from lorebase.sources.tables import discard, materialise
 
 #: Rows of a component that one task walks.
 MAX_COMPONENT = 200_000
+#: New rows of a block of a larger component.
+BLOCK = 200_000
 LINKS = "new_id long, old_id long, rank int"
+#: Ranks of rows of a walk that are no links: an old row that was taken from outside, and the number of the last new row that was walked.
+TAKEN, DONE = -2, -1
 
 
 def numbered(rows: DataFrame, key: list[str], *by: str) -> DataFrame:
@@ -98,37 +103,139 @@ def _runs(new: DataFrame, wants: DataFrame, holds: DataFrame, fixed: DataFrame |
 
 
 def _walk_component(rows: pd.DataFrame) -> pd.DataFrame:
-    """Kinds of rows: 0 new (n, c), 1 wanted (c, p, rank), 2 held (p, o, place), 3 fixed (n, o)."""
-    kind = rows["kind"].to_numpy()
+    """Kinds of rows: 0 new (n, c), 1 wanted (c, p, rank), 2 held (p, o, place), 3 taken from outside when n asks (n, o), 4 pool that has more rows than are here (p).
+
+    ``no`` numbers kinds 0 and 3. The walk ends before the first new row that would need more of such a pool.
+    """
+    kind, comp = rows["kind"].to_numpy(), rows["comp"].iloc[0]
     of = lambda k, *cols: list(zip(*[rows[x].to_numpy()[kind == k].tolist() for x in cols]))
     pools: dict = {}
     for p, o, place in of(2, "p", "o", "place"):
         pools.setdefault(p, []).append((place, o))
-    for heap in pools.values():
-        heapq.heapify(heap)
+    for held in pools.values():
+        held.sort(reverse=True)
     tiers: dict = {}
     for c, p, rank in of(1, "c", "p", "rank"):
         if p in pools:
-            tiers.setdefault(c, {}).setdefault(rank, []).append(p)
-    fixed, used, out = dict(of(3, "n", "o")), set(), []
-    for n, c in sorted(of(0, "n", "c")):
-        if n in fixed:
-            used.add(fixed[n])
-            continue
-        for rank in sorted(tiers.get(c, ())):
-            best = None
-            for p in tiers[c][rank]:
-                heap = pools[p]
-                while heap and heap[0][1] in used:
-                    heapq.heappop(heap)
-                if heap and (best is None or heap[0] < best):
-                    best = heap[0]
-            tiers[c][rank] = [p for p in tiers[c][rank] if pools[p]]
-            if best is not None:
-                used.add(best[1])
-                out.append((n, best[1], rank))
+            tiers.setdefault(c, {}).setdefault(rank, []).append((pools[p][-1], p))
+    for ranks in tiers.values():
+        for heap in ranks.values():
+            heapq.heapify(heap)
+    more, used, out, last = {p for (p,) in of(4, "p")}, set(), [], 0
+
+    def best(heap):
+        """The least old row left of the pools of a heap, None if there is none; False if only rows that are not here can tell. First rows only grow, so an entry may lag behind."""
+        while heap:
+            was, p = heap[0]
+            held = pools[p]
+            while held and held[-1][1] in used:
+                held.pop()
+            if not held:
+                if p in more:
+                    return False
+                heapq.heappop(heap)
+            elif held[-1] == was:
+                return was
+            else:
+                heapq.heapreplace(heap, (held[-1], p))
+        return None
+
+    for no, n, c, o in sorted([(no, n, c, None) for no, n, c in of(0, "no", "n", "c")] + [(no, n, None, o) for no, n, o in of(3, "no", "n", "o")], key=lambda x: x[0]):
+        if o is not None:
+            used.add(o)
+            out.append((n, o, TAKEN))
+        ranks, found = tiers.get(c) or {}, None
+        for rank in sorted(ranks):
+            found = best(ranks[rank])
+            if found is not None:
                 break
-    return pd.DataFrame(out, columns=["new_id", "old_id", "rank"]).astype({"new_id": "int64", "old_id": "int64", "rank": "int32"})
+            del ranks[rank]
+        if found is False:
+            break
+        if found is not None:
+            used.add(found[1])
+            out.append((n, found[1], rank))
+        last = no
+    out.append((last, 0, DONE))
+    links = pd.DataFrame(out, columns=["new_id", "old_id", "rank"]).astype({"new_id": "int64", "old_id": "int64", "rank": "int32"})
+    return links.assign(comp=comp)
+
+
+def _flat(new: DataFrame, wants: DataFrame, holds: DataFrame, more: DataFrame | None = None) -> DataFrame:
+    """The rows of ``_walk_component``: new (comp, no, new_id, c, old_id), where old_id is null but for rows taken from outside."""
+    null = lambda kind: F.lit(None).cast(kind)
+    row = lambda df, k, no, n, o, c, p, rank, place: df.select(
+        "comp", k.alias("kind"), no.cast("long").alias("no"), n.cast("long").alias("n"), o.cast("long").alias("o"), c.alias("c"), p.alias("p"), rank.cast("int").alias("rank"), place.cast("long").alias("place")
+    )
+    none, text = F.lit(0), null("string")
+    taken = F.col("old_id").isNotNull()
+    parts = [
+        row(new, F.when(taken, 3).otherwise(0), F.col("no"), F.col("new_id"), F.coalesce("old_id", none), F.col("c"), text, none, none),
+        row(wants, F.lit(1), none, none, none, F.col("c"), F.col("pool"), F.col("rank"), none),
+        row(holds, F.lit(2), none, none, F.col("old_id"), text, F.col("pool"), none, F.col("place")),
+    ]
+    if more is not None:
+        parts.append(row(more, F.lit(4), none, none, none, text, F.col("pool"), none, none))
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _events(new: DataFrame, holds: DataFrame, fixed: DataFrame | None) -> DataFrame:
+    """(comp, new_id, c, old_id): new rows that are not fixed, and where an old row is first taken from outside, without class."""
+    none = F.lit(None).cast("long").alias("old_id")
+    if fixed is None:
+        return new.select("comp", "new_id", "c", none)
+    since = fixed.groupBy("old_id").agg(F.min("new_id").alias("new_id"))
+    taken = holds.select("comp", "old_id").distinct().join(since, "old_id").select("comp", "new_id", F.lit(None).cast("string").alias("c"), "old_id")
+    return new.join(fixed.select("new_id"), "new_id", "left_anti").select("comp", "new_id", "c", none).unionAll(taken)
+
+
+def _in_blocks(new: DataFrame, wants: DataFrame, holds: DataFrame, fixed: DataFrame | None, block: int) -> DataFrame:
+    """Links of components of any size, ``block`` new rows of each at a time.
+
+    Of a class no more rows can be linked than its pools hold, and those are its first. A block reads of each pool as many
+    old rows as it might take twice over; where that was too few, the next block begins at the row that asked for more.
+    """
+    key = ["comp", "c"]
+    room = wants.join(holds.groupBy("comp", "pool").agg(F.count(F.lit(1)).alias("n")), ["comp", "pool"]).groupBy(*key).agg(F.sum("n").alias("room"))
+    events = materialise(_events(new, holds, fixed), "events")
+    asking = numbered(events.where("old_id is null"), key, "new_id").join(room, key).where("__no <= room").select("comp", "new_id", "c", "old_id")
+    rows = materialise(numbered(asking.unionAll(events.where("old_id is not null")), ["comp"], "new_id").withColumnRenamed("__no", "no"), "asking")
+    at = materialise(rows.groupBy("comp").agg(F.max("no").alias("last")).select("comp", F.lit(0).cast("long").alias("at"), "last"), "at")
+    left, out = holds, []
+    while not at.isEmpty():
+        # where the walk goes on: the first row that is taken from outside or whose class has a pool with rows left
+        live = wants.join(left.select("comp", "pool").distinct(), ["comp", "pool"], "left_semi").select(*key).distinct()
+        ahead = rows.join(F.broadcast(at), "comp").where("no > at")
+        ahead = ahead.where("old_id is not null").select("comp", "no").unionAll(ahead.join(live, key, "left_semi").select("comp", "no"))
+        first = ahead.groupBy("comp").agg(F.min("no").alias("first"))
+        now = materialise(rows.join(F.broadcast(first), "comp").where((F.col("no") >= F.col("first")) & (F.col("no") < F.col("first") + block)).drop("first"), "block")
+        asked = now.where("old_id is null").groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+        asked = materialise(wants.join(asked, key), "asked")
+        need = asked.groupBy("comp", "pool").agg(F.sum("n").alias("n"))
+        spare = need.groupBy("comp").agg((F.lit(16 + block) / F.count(F.lit(1))).cast("long").alias("spare"))
+        need = need.join(spare, "comp").select("comp", "pool", (2 * F.col("n") + F.col("spare") + 1).alias("most"))
+        held = numbered(left.join(need, ["comp", "pool"]), ["comp", "pool"], "place", "old_id")
+        held = materialise(held.where("__no <= most + 1"), "held")
+        flat = _flat(now, asked, held.where("__no <= most"), held.where("__no > most"))
+        done = materialise(flat.groupBy("comp").applyInPandas(_walk_component, f"{LINKS}, comp string"), "walked")
+        out.append(done.where("rank >= 0").select("new_id", "old_id", "rank"))
+        before = at, now, asked, held, left
+        left = materialise(left.join(done.where(f"rank <> {DONE}").select("old_id"), "old_id", "left_anti"), "left")
+        at = materialise(at.join(done.where(f"rank = {DONE}").select("comp", F.col("new_id").alias("to")), "comp").select("comp", F.col("to").alias("at"), "last").where("at < last"), "at")
+        discard(*(x for x in before if x is not holds))
+    discard(events, rows, at)
+    return reduce(DataFrame.unionAll, out) if out else new.sparkSession.createDataFrame([], LINKS)
+
+
+def _fewer_classes(new: DataFrame, wants: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes that want the same pools at the same ranks made one, named by the least of them; equal ones are told by 128 bits and their number."""
+    marks = [F.bit_xor(F.xxhash64(F.lit(k), "rank", "pool")).alias(f"h{k}") for k in (0, 1)]
+    kinds = wants.groupBy("c").agg(*marks, F.count(F.lit(1)).alias("pools"))
+    least = kinds.groupBy("h0", "h1", "pools").agg(F.min("c").alias("least"))
+    names = materialise(kinds.join(least, ["h0", "h1", "pools"]).select("c", "least"), "classes")
+    fewer = materialise(wants.join(names.where("c = least").select("c"), "c", "left_semi"), "wants")
+    discard(wants)
+    return new.join(names, "c").select("new_id", F.col("least").alias("c")), fewer
 
 
 def walked(new: DataFrame, wants: DataFrame, holds: DataFrame, fixed: DataFrame | None = None, max_component: int | None = None) -> DataFrame:
@@ -141,6 +248,7 @@ def walked(new: DataFrame, wants: DataFrame, holds: DataFrame, fixed: DataFrame
     holds = materialise(holds.join(wants.select("pool").distinct(), "pool", "left_semi").distinct(), "holds")
     wants = wants.groupBy("c", "pool").agg(F.min("rank").alias("rank"))
     wants = materialise(wants.join(holds.select("pool").distinct(), "pool", "left_semi"), "wants")
+    new, wants = _fewer_classes(new, wants)
     class_, pool = lambda c: F.concat(F.lit("c"), c), lambda p: F.concat(F.lit("p"), p)
     first = holds.groupBy("old_id").agg(F.min("pool").alias("first"))
     shared = holds.join(first, "old_id").select(pool(F.col("first")).alias("a"), pool(F.col("pool")).alias("b"))
@@ -156,7 +264,7 @@ def walked(new: DataFrame, wants: DataFrame, holds: DataFrame, fixed: DataFrame
         h.select("comp", "pool").distinct().select("comp", F.lit(0).alias("rows"), F.lit(1).alias("pools")),
     ])
     sizes = sizes.groupBy("comp").agg(F.sum("rows").alias("rows"), F.sum("pools").alias("pools"))
-    kind = F.when(F.col("pools") == 1, "run").when(F.col("rows") <= bound, "walk").otherwise("rounds")
+    kind = F.when(F.col("pools") == 1, "run").when(F.col("rows") <= bound, "walk").otherwise("blocks")
     kinds = materialise(sizes.select("comp", kind.alias("how")), "kinds")
     present = {r["how"] for r in kinds.select("how").distinct().collect()}  # three at most
     some = lambda df, how: df.join(kinds.where(F.col("how") == how).select("comp"), "comp", "left_semi")
@@ -164,27 +272,11 @@ def walked(new: DataFrame, wants: DataFrame, holds: DataFrame, fixed: DataFrame
     if "run" in present:
         out.append(_runs(some(n, "run"), some(w, "run"), some(h, "run"), fixed))
     if "walk" in present:
-        null = lambda kind: F.lit(None).cast(kind)
-        flat = lambda df, k, a, o, c, p, rank, place: df.select(
-            "comp", F.lit(k).alias("kind"), a.cast("long").alias("n"), o.cast("long").alias("o"), c.alias("c"), p.alias("p"), rank.cast("int").alias("rank"), place.cast("long").alias("place")
-        )
-        none = F.lit(0)
-        a = some(n, "walk")
-        parts = [
-            flat(a, 0, F.col("new_id"), none, F.col("c"), null("string"), none, none),
-            flat(some(w, "walk"), 1, none, none, F.col("c"), F.col("pool"), F.col("rank"), none),
-            flat(some(h, "walk"), 2, none, F.col("old_id"), null("string"), F.col("pool"), none, F.col("place")),
-        ]
-        if fixed is not None:
-            parts.append(flat(a.join(fixed.select("new_id", "old_id"), "new_id"), 3, F.col("new_id"), F.col("old_id"), null("string"), null("string"), none, none))
-        out.append(reduce(DataFrame.unionAll, parts).groupBy("comp").applyInPandas(_walk_component, LINKS))
-    if "rounds" in present:
-        pairs = some(n, "rounds").join(some(w, "rounds"), ["comp", "c"]).join(some(h, "rounds"), ["comp", "pool"])
-        pairs = pairs.groupBy("new_id", "old_id").agg(F.min("rank").alias("rank"), F.min("place").alias("place"))
-        if fixed is not None:
-            since = fixed.groupBy("old_id").agg(F.min("new_id").alias("since"))
-            pairs = pairs.join(fixed.select("new_id"), "new_id", "left_anti").join(since, "old_id", "left").where("since is null or new_id < since").drop("since")
-        out.append(greedy(pairs, order=("new_id", "rank", "place", "old_id")))
+        events = _events(some(n, "walk"), some(h, "walk"), fixed).withColumn("no", F.col("new_id"))  # a new row's number may be its id
+        done = _flat(events, some(w, "walk"), some(h, "walk")).groupBy("comp").applyInPandas(_walk_component, f"{LINKS}, comp string")
+        out.append(done.where("rank >= 0").select("new_id", "old_id", "rank"))
+    if "blocks" in present:
+        out.append(_in_blocks(some(n, "blocks"), some(w, "blocks"), some(h, "blocks"), fixed, BLOCK))
     links = [x.select(F.col("new_id").cast("long").alias("new_id"), F.col("old_id").cast("long").alias("old_id"), F.col("rank").cast("int").alias("rank")) for x in out]
     result = materialise(reduce(DataFrame.unionAll, links) if links else new.sparkSession.createDataFrame([], LINKS), "links")
     discard(n, w, h, kinds)

@@ -123,6 +123,30 @@ def test_walks_in_rounds(spark, monkeypatch, seed):
     assert sorted((x["new_id"], x["old_id"]) for x in link.link_clinical(a, b).collect()) == clinical(new, old)
 
 
+def test_walks_in_blocks(spark, monkeypatch):
+    """Blocks of a few new rows, which read a few old rows of a pool, give the links of the whole walk; their number of writes does not follow the pairs."""
+    monkeypatch.setattr(walk, "MAX_COMPONENT", 0)
+    monkeypatch.setattr(walk, "BLOCK", 30)
+    writes, days = [], [f"2020-1-{k}" for k in range(1, 4)]
+    monkeypatch.setattr(walk, "materialise", lambda df, tag="t": (writes.append(tag), materialise(df, tag))[1])
+    r = random.Random(11)
+    new = [(k, f"case {r.randrange(4)}", "", r.choice(["", *days]), r.choice(["", "pain", "old pain"])) for k in range(1, 121)]
+    old = [(1000 + k, f"case {k}", r.choice(["", *days]), r.choice(["", "some old pain"])) for k in range(60)]
+    a, b = spark.createDataFrame(new, NEW).coalesce(1), spark.createDataFrame(old, OLD).coalesce(1)
+    assert sorted((x["new_id"], x["old_id"]) for x in link.link_by_stem(a, b).collect()) == by_stem(new, old)
+    assert 2 <= writes.count("block") <= 5
+
+
+def test_block_stops_where_a_pool_has_more_rows(spark, monkeypatch):
+    """Rows of a pool that are taken by way of another one are not too few for the next new row: the walk goes on from it."""
+    monkeypatch.setattr(walk, "BLOCK", 200)
+    new = spark.createDataFrame([(k, "a" if k < 150 else "b") for k in range(1, 151)], "new_id long, c string")
+    wants = spark.createDataFrame([("a", "p", 1), ("b", "q", 1)], "c string, pool string, rank int")
+    holds = [("p", 1000 + k, k) for k in range(200)] + [("q", 1000 + k, k) for k in range(200)]
+    got = walk.walked(new, wants, spark.createDataFrame(holds, "pool string, old_id long, place long"), max_component=0)
+    assert sorted(map(tuple, got.collect())) == [(k, 999 + k, 1) for k in range(1, 151)]
+
+
 def counted_writes(monkeypatch):
     n = []
     for module in (link, walk, components):
