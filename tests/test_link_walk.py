@@ -147,6 +147,22 @@ def test_block_stops_where_a_pool_has_more_rows(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == [(k, 999 + k, 1) for k in range(1, 151)]
 
 
+def test_contained_names_in_blocks(spark, monkeypatch):
+    """Names inside many others: what is left of all pools is looked up by the least first row, and no pair is written."""
+    monkeypatch.setattr(walk, "MAX_COMPONENT", 0)
+    monkeypatch.setattr(walk, "greedy", None)
+    new = [(k, "", ("case 1", "case 12")[k % 2], "", "") for k in range(1, 41)]
+    old = [(100 + k, f"case {(1, 12)[k % 2]}{k} more", "", "") for k in range(30)]
+    left, want = {o[0]: o[1] for o in old}, []
+    for n, _, name, *_ in new:
+        fits = [i for i, k in left.items() if name in k]
+        if fits:
+            want.append((n, min(fits), 2))
+            del left[min(fits)]
+    got = link.link(spark.createDataFrame(new, NEW).coalesce(1), spark.createDataFrame(old, OLD).coalesce(1)).collect()
+    assert sorted(map(tuple, got)) == want
+
+
 def counted_writes(monkeypatch):
     n = []
     for module in (link, walk, components):
