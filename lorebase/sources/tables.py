@@ -13,6 +13,15 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{name}.parquet")
 
 
+#: What a task reads of a shuffle where partitions are put together; repeated values shrink so much there that its sorts may hold twenty times as much.
+SHUFFLED = "8m"
+
+
+def small_tasks(spark: SparkSession) -> None:
+    """Shuffled partitions are put together up to SHUFFLED from now on, so that a task's sorts and hash tables stay small in large tables."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", SHUFFLED)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder all executors share.
 
