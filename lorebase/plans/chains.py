@@ -195,7 +195,8 @@ _FRONT = "concat('---', chr(10), 'title: \"', p_name, '\"', chr(10), '# left out
 
 @query("front_values", "select p_partkey, 3::bigint as n, p_name as title, 2::bigint as n_tags, p_brand || ',' || p_type as tags_text, 'it''s a ' || p_type as note from part")
 def front_values(spark, d):
-    rows = t(spark, d, "part").selectExpr("p_partkey", f"{_FRONT} as text").select("p_partkey", documents.front_values(F.col("text")).alias("m"))
+    parts = t(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type").repartition("p_partkey")  # a small file would be read, and parsed, by one task
+    rows = parts.selectExpr("p_partkey", f"{_FRONT} as text").select("p_partkey", documents.front_values(F.col("text")).alias("m"))
     of = lambda k, kind: F.try_variant_get(F.col("m")[k], "$", kind)
     return rows.select(
         "p_partkey", F.size("m").cast("long").alias("n"), of("title", "string").alias("title"), F.size(of("tags", "array<string>")).cast("long").alias("n_tags"),

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from lorebase.plans import catalogue
+from lorebase.plans import catalogue, chains  # noqa: F401 (registers its queries)
 
 
 def test_shuffled_partitions_stay_small(spark):
@@ -18,3 +18,9 @@ def test_shuffled_partitions_stay_small(spark):
         assert grouped.rdd.getNumPartitions() >= 8
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_front_matter_is_dealt_out(spark):
+    """A small file with many rows is not parsed by the one task that reads it."""
+    plan = catalogue.QUERIES["front_values"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().logical().toString()
+    assert "RepartitionByExpression" in plan
