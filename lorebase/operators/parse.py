@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lorebase.functions.text import age, case_date, gender, ustrip, without_markup
 
@@ -46,6 +46,24 @@ def _gathered(rows: DataFrame) -> DataFrame:
     return rows.groupBy("path", "case_no").agg(*[F.max_by(F.when(F.col("field") == f, F.col("value")), F.when(F.col("field") == f, F.col("pos"))).alias(f) for f in FIELDS])
 
 
+ENTRIES = "array<struct<field:string,value:string>>"
+
+
+def _last(entries: str, field: str) -> Column:
+    """The value that a field is given last, or null."""
+    return F.try_element_at(F.filter(entries, lambda e: e["field"] == field), F.lit(-1))["value"]
+
+
+def _one_row(**columns: Column) -> Column:
+    """A struct as the only row of a generator, so that no filter on it is moved below and worked out twice."""
+    return F.explode(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))).alias("one")
+
+
+def _people(cells: Column, made) -> Column:
+    """The entries that ``made`` makes of a row of four or more cells, else none."""
+    return F.flatten(F.transform(F.filter(F.array(cells), lambda c: F.size(c) >= 4), made))
+
+
 def _person(cells: Column) -> Column:
     """name, gender and age of a row of four or more cells."""
     sex = F.when(cells[1].isin("男", "女"), cells[1]).otherwise("")
@@ -58,23 +76,19 @@ def _has(*names: str) -> Column:
     return reduce(Column.__or__, [F.coalesce(F.col(n), F.lit("")) != "" for n in names])
 
 
-def table_cases(docs: DataFrame) -> DataFrame:
-    """Cases of pipe tables. A line with both marks begins a case; the line after a header row holds the person."""
-    lines = docs.select("path", F.posexplode(F.split(ustrip(F.col("text")), "\n")).alias("pos", "line")).withColumn("line", ustrip(F.col("line")))
-    lines = lines.where("line <> ''").where(~F.col("line").rlike(r"^\|[-:]+\|$")).withColumn("line", F.regexp_replace(F.regexp_replace("line", r"^\|", ""), r"\|$", ""))
-    start = F.col("line").contains(VISIT) & F.col("line").contains(RECORD)
-    header = F.col("line").contains("姓名") & F.col("line").contains("性别")
-    lines = lines.withColumn("kind", F.when(start, "start").when(header, "header").otherwise("line"))
-    inside = Window.partitionBy("path").orderBy("pos")
-    lines = lines.withColumn("case_no", F.sum(F.when(F.col("kind") == "start", 1).otherwise(0)).over(inside))
-    dates = lines.where("kind = 'start'").select("path", "case_no", "pos", F.lit("case_date").alias("field"), F.translate(F.regexp_extract("line", r"(\d{4}/\d{1,2}/\d{1,2})", 1), "/", "-").alias("value"))
-    rest = lines.where("kind <> 'start'").withColumn("data", F.lag("kind").over(inside) == "header").where("kind = 'line'")
-    cells = F.filter(F.transform(F.split("line", r"\|"), ustrip), lambda c: c != "")
-    people = rest.where("data").withColumn("cells", F.transform(cells, without_markup)).where(F.size("cells") >= 4)
-    people = people.select("path", "case_no", "pos", F.explode(_person(F.col("cells"))).alias("p")).select("path", "case_no", "pos", "p.field", "p.value")
-    line = F.col("line")
-    none = F.lit(None).cast("string")
-    field, value = none, none
+def _starts(line: Column) -> Column:
+    return line.contains(VISIT) & line.contains(RECORD)
+
+
+def _table_lines(piece: Column) -> Column:
+    """Lines without outer pipes; empty ones and rules are left out."""
+    lines = F.filter(F.transform(F.split(piece, "\n"), ustrip), lambda c: (c != "") & ~c.rlike(r"^\|[-:]+\|$"))
+    return F.transform(lines, lambda c: F.regexp_replace(F.regexp_replace(c, r"^\|", ""), r"\|$", ""))
+
+
+def _table_entry(line: Column) -> Column:
+    """Field and value of a labelled line; the field of any other is null."""
+    field = value = F.lit(None).cast("string")
     for label, name in reversed(LABELS):
         here = line.contains(label)
         if name == "tongue_diagnosis":
@@ -87,44 +101,76 @@ def table_cases(docs: DataFrame) -> DataFrame:
         if name == "notes":
             here = here & ~line.contains("备注")
         field, value = F.when(here, name).otherwise(field), F.when(here, _after(line, label)).otherwise(value)
-    given = rest.where("not coalesce(data, false)").select("path", "case_no", "pos", field.alias("field"), value.alias("value")).where("field is not null")
-    rows = dates.where("value <> ''").unionByName(people).unionByName(given)
-    return _gathered(rows).where(_has("chief_complaint", "diagnosis"))
+    return F.array(F.struct(field.alias("field"), value.alias("value")))
+
+
+def table_cases(docs: DataFrame) -> DataFrame:
+    """Cases of pipe tables. A line with both marks begins a case; the line after a header row holds the person.
+
+    A document is cut at those lines, and a piece is read within its row: nothing is sorted or shuffled. The person
+    may stand in the next piece, so each piece is told whether the last line before it, but for marks, is a header.
+    """
+    header = lambda c: c.contains("姓名") & c.contains("性别")
+    begins = rf"(?md)^(?=[^\n]*{VISIT})(?=[^\n]*{RECORD})"
+    pieces = docs.select("path", F.transform(F.split(ustrip(F.col("text")), begins), _table_lines).alias("pieces"))
+    last = lambda c: F.try_element_at(F.filter(c, lambda x: ~_starts(x)), F.lit(-1))
+    pieces = pieces.withColumn("ends", F.transform("pieces", lambda c: header(last(c))))  # null: marks only
+    known = lambda i: F.try_element_at(F.filter(F.slice("ends", 1, i), lambda e: e.isNotNull()), F.lit(-1))
+    before = lambda i: F.when(i == 0, False).otherwise(F.coalesce(F.get("ends", i - 1), known(i), F.lit(False)))
+    first = F.coalesce(_starts(F.get(F.get("pieces", F.lit(0)), F.lit(0))), F.lit(False)).cast("int")
+    made = lambda c, i: F.struct(
+        (i + first).alias("case_no"), before(i).alias("before"), F.filter(c, _starts).alias("marks"), F.filter(c, lambda x: ~_starts(x)).alias("rest")
+    )
+    rows = pieces.select("path", F.explode(F.transform("pieces", made)).alias("p")).select("path", "p.*")
+    cells = lambda c: F.transform(F.filter(F.transform(F.split(c, r"\|"), ustrip), lambda x: x != ""), without_markup)
+    none = F.array().cast(ENTRIES)
+    data = lambda i: F.when(i == 0, F.col("before")).otherwise(header(F.get("rest", i - 1)))
+    entry = lambda c, i: F.when(header(c), none).when(data(i), _people(cells(c), _person)).otherwise(_table_entry(c))
+    dates = F.transform("marks", lambda c: F.struct(F.lit("case_date").alias("field"), F.translate(F.regexp_extract(c, r"(\d{4}/\d{1,2}/\d{1,2})", 1), "/", "-").alias("value")))
+    entries = F.concat(F.filter(dates, lambda e: e["value"] != ""), F.flatten(F.transform("rest", entry)))
+    rows = rows.select("path", "case_no", entries.alias("entries"))
+    found = rows.select("path", "case_no", _one_row(**{f: _last("entries", f) for f in FIELDS})).select("path", "case_no", "one.*")
+    return found.where(_has("chief_complaint", "diagnosis"))
 
 
 def visit_cases(docs: DataFrame) -> DataFrame:
-    """Cases of labelled lines; a visit begins at its date label and is passed over below the least length."""
+    """Cases of labelled lines; a visit begins at its date label and is passed over below the least length.
+
+    A visit is read within its row. Lines without label that follow a complaint, up to the next complaint, belong to it.
+    """
     visits = docs.select("path", F.posexplode(F.split("text", f"(?={VISIT}[：:])")).alias("case_no", "visit")).withColumn("visit", ustrip(F.col("visit")))
     visits = visits.where(F.length("visit") >= LEAST_VISIT)
-    lines = visits.select("path", "case_no", F.posexplode(F.split("visit", "\n")).alias("pos", "line")).withColumn("line", ustrip(F.col("line")))
-    line = F.col("line")
-    inside = Window.partitionBy("path", "case_no").orderBy("pos")
-    header = line.contains("姓名") & line.contains("性别") & line.contains("年龄")
-    lines = lines.withColumn("header", header).withColumn("data", F.coalesce(F.lag("header").over(inside), F.lit(False))).where("data or not header")
-    cells = F.filter(F.transform(F.split("line", "\t"), ustrip), lambda c: c != "")
-    people = lines.where("data").withColumn("cells", cells).where(F.size("cells") >= 4)
-    dated = F.array(F.struct(F.lit("case_date").alias("field"), case_date(F.col("cells")[3]).alias("value")))
-    people = people.select("path", "case_no", "pos", F.explode(F.concat(_person(F.col("cells")), dated)).alias("p")).select("path", "case_no", "pos", "p.field", "p.value").where("value is not null")
-    lines = lines.where("not data")
-    field, value = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for label, name in reversed(LABELS):
-        here = line.startswith(label)
-        field, value = F.when(here, name).otherwise(field), F.when(here, F.regexp_replace(line, rf"(?U)^{label}[：:]?\s*", "")).otherwise(value)
-    lines = lines.withColumns({"field": field, "value": value})
-    since = F.max(F.when(F.col("field") == "chief_complaint", F.col("pos"))).over(inside)
-    goes_on = F.col("field").isNull() & ~reduce(Column.__or__, [line.startswith(w) for w in (*ENDS_COMPLAINT, VISIT)])
-    parts = lines.withColumn("since", since).where(goes_on & F.col("since").isNotNull())
-    more = parts.groupBy("path", "case_no", "since").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda x: x["line"]), " ").alias("more"))
-    given = lines.where("field is not null").join(more.withColumnsRenamed({"since": "pos"}), ["path", "case_no", "pos"], "left")
-    full = F.when(F.col("more").isNotNull(), F.concat("value", F.lit(" "), "more")).otherwise(F.col("value"))
-    rows = given.select("path", "case_no", "pos", "field", full.alias("value")).unionByName(people)
-    return _gathered(rows).where(_has("chief_complaint", "diagnosis", "herbal_rx"))
+    rows = visits.select("path", "case_no", F.transform(F.split("visit", "\n"), ustrip).alias("lines"))
+    header = lambda c: c.contains("姓名") & c.contains("性别") & c.contains("年龄")
+    data = lambda i: F.when(i == 0, False).otherwise(header(F.get("lines", i - 1)))
+    cells = lambda c: F.filter(F.transform(F.split(c, "\t"), ustrip), lambda x: x != "")
+    dated = lambda c: F.array(F.struct(F.lit("case_date").alias("field"), case_date(c[3]).alias("value")))
+    people = F.flatten(F.transform("lines", lambda c, i: F.when(data(i), _people(cells(c), lambda x: F.concat(_person(x), dated(x)))).otherwise(F.array().cast(ENTRIES))))
+
+    def entry(line: Column) -> Column:
+        field = value = F.lit(None).cast("string")
+        for label, name in reversed(LABELS):
+            here = line.startswith(label)
+            field, value = F.when(here, name).otherwise(field), F.when(here, F.regexp_replace(line, rf"(?U)^{label}[：:]?\s*", "")).otherwise(value)
+        return F.struct(field.alias("field"), value.alias("value"), line.alias("line"))
+
+    given = F.transform(F.filter("lines", lambda c, i: ~data(i) & ~header(c)), entry)
+    rows = rows.select("path", "case_no", F.filter(people, lambda e: e["value"].isNotNull()).alias("people"), given.alias("given"))
+    goes_on = lambda e: e["field"].isNull() & ~reduce(Column.__or__, [e["line"].startswith(w) for w in (*ENDS_COMPLAINT, VISIT)])
+    back = F.array_position(F.reverse(F.transform("given", lambda e: F.coalesce(e["field"], F.lit("")))), "chief_complaint").cast("int")  # 0: no complaint
+    after = F.slice("given", F.size("given") - F.col("back") + 2, F.greatest(F.col("back") - 1, F.lit(0)))
+    rows = rows.withColumn("back", back).withColumn("more", F.transform(F.filter(F.when(F.col("back") > 1, after).otherwise(F.slice("given", 1, 0)), goes_on), lambda e: e["line"]))
+    of = {f: _last("people" if f in ("name", "gender", "age", "case_date") else "given", f) for f in FIELDS}
+    complaint = of["chief_complaint"]
+    of["chief_complaint"] = F.when(F.size("more") > 0, F.concat(complaint, F.lit(" "), F.array_join("more", " "))).otherwise(complaint)
+    found = rows.select("path", "case_no", _one_row(**of)).select("path", "case_no", "one.*")
+    return found.where(_has("chief_complaint", "diagnosis", "herbal_rx"))
 
 
 def case_records(docs: DataFrame) -> DataFrame:
     """Cases of both formats, told apart by their marks."""
-    table = is_table_format(F.col("text"))
-    return table_cases(docs.where(table)).unionByName(visit_cases(docs.where(~table)))
+    marked = docs.select("path", _one_row(table=is_table_format(F.col("text")), text=F.col("text"))).select("path", "one.*")
+    return table_cases(marked.where("table")).unionByName(visit_cases(marked.where("not table")))
 
 
 def _section(text: Column, label: str, until: str) -> Column:

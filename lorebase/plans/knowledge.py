@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from lorebase.operators import audit, link, parse, report, resolve, search
 from lorebase.plans.catalogue import query, t
 from lorebase.sources import catalog
+from lorebase.sources.tables import dealt
 
 #: table -> (source, expressions by column)
 BASES = {
@@ -223,7 +224,8 @@ def _text(form: str) -> str:
  '第' || c_nationkey || '型' || case when c_custkey % 3 = 0 then '' else '，宜调理，禁生冷，三日后复诊再议' end as diagnosis from customer, (values (0), (1)) v(x)""")
 def parse_cases(spark, d):
     one = f"case when c_custkey % 3 = 0 then {_text(_TABLE)} else {_text(_VISIT)} end"
-    docs = t(spark, d, "customer").selectExpr("c_custkey as path", f"concat({one}, chr(10), {one}) as text")
+    customers = t(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    docs = dealt(customers, "c_custkey").selectExpr("c_custkey as path", f"concat({one}, chr(10), {one}) as text")
     return parse.case_records(docs).select("path", F.col("case_no").cast("int").alias("case_no"), "name", "gender", "age", "case_date", "chief_complaint", "diagnosis")
 
 

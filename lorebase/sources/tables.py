@@ -22,6 +22,11 @@ def small_tasks(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", SHUFFLED)
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt by ``key`` to as many tasks as a shuffle has, for work that makes much of a row: a small file is read by one task, which would do all of it."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder all executors share.
 

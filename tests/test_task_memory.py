@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from lorebase.operators import parse
 from lorebase.plans import catalogue, chains  # noqa: F401 (registers its queries)
 
 
@@ -24,3 +25,19 @@ def test_front_matter_is_dealt_out(spark):
     """A small file with many rows is not parsed by the one task that reads it."""
     plan = catalogue.QUERIES["front_values"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().logical().toString()
     assert "RepartitionByExpression" in plan
+
+
+def test_cases_are_parsed_within_their_row(spark):
+    """Lines of a document are neither sorted nor shuffled, and a small file of documents is not parsed by the task that reads it."""
+    plan = catalogue.QUERIES["parse_cases"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Aggregate" not in plan
+    assert "RepartitionByExpression" in plan
+
+
+def test_person_after_a_mark(spark):
+    """A header row that ends a case names the person in the next one, also after pieces that hold marks only."""
+    mark = "|初诊日期 2020/1/{}|**病案纪录**|"
+    text = "\n".join([mark.format(1), "|诊断：a|", "|姓名|性别|年龄|来处|", mark.format(2), mark.format(3), "|Li|女|3|x|", "|诊断：b|"])
+    rows = spark.createDataFrame([("p", text)], "path string, text string")
+    found = {r["case_no"]: (r["name"], r["case_date"], r["diagnosis"]) for r in parse.case_records(rows).collect()}
+    assert found == {1: (None, "2020-1-1", "a"), 3: ("Li", "2020-1-3", "b")}
