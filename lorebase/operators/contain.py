@@ -4,13 +4,16 @@ A string of RUN characters or more gives its runs of RUN characters, a shorter o
 outer strings give their runs of those lengths that occur. A table of how many outer strings hold
 each run picks, for every inner string all of whose runs occur, the rarest, and only by that
 one do the two meet and are compared. So a run that nearly all strings have pairs nothing,
-unless an inner string has no other.
+unless an inner string has no other. The distinct strings of both sides are written once, as
+each side is read several times.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lorebase.sources.tables import materialise
+
 #: Characters of a run.
 RUN = 4
 
@@ -22,10 +25,16 @@ def runs(c: Column, n: int | Column) -> Column:
     return F.array_distinct(F.when(count >= 1, each).otherwise(F.array().cast("array<string>")))
 
 
+def _strings(df: DataFrame, name: str) -> DataFrame:
+    return materialise(df.select(name).where(F.col(name) != "").distinct(), "strings")
+
+
 def contained(inner: DataFrame, outer: DataFrame) -> DataFrame:
     """(x, y): distinct strings x of ``inner`` and y of ``outer``, columns of these names, where y holds x; empty ones hold and are held by nothing."""
-    x = inner.select("x").where("x <> ''").distinct()
-    y = outer.select("y").where("y <> ''").distinct()
+    return _contained(_strings(inner, "x"), _strings(outer, "y"))
+
+
+def _contained(x: DataFrame, y: DataFrame) -> DataFrame:
     size = F.least(F.char_length("x"), F.lit(RUN))
     lengths = sorted(r[0] for r in x.select(size.alias("n")).distinct().collect())  # RUN at most
     if not lengths:
@@ -41,5 +50,6 @@ def contained(inner: DataFrame, outer: DataFrame) -> DataFrame:
 
 def either(a: DataFrame, b: DataFrame) -> DataFrame:
     """(x, y) of distinct strings of ``a`` (column x) and ``b`` (column y) where one holds the other."""
-    back = contained(b.select(F.col("y").alias("x")), a.select(F.col("x").alias("y")))
-    return contained(a, b).unionAll(back.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct()
+    x, y = _strings(a, "x"), _strings(b, "y")
+    back = _contained(y.toDF("x"), x.toDF("y"))
+    return _contained(x, y).unionAll(back.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct()

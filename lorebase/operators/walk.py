@@ -245,9 +245,10 @@ def walked(new: DataFrame, wants: DataFrame, holds: DataFrame, fixed: DataFrame
     pools. ``fixed`` (new_id, old_id) are taken whatever was taken before, and are used from then on.
     """
     bound = MAX_COMPONENT if max_component is None else max_component
-    holds = materialise(holds.join(wants.select("pool").distinct(), "pool", "left_semi").distinct(), "holds")
-    wants = wants.groupBy("c", "pool").agg(F.min("rank").alias("rank"))
-    wants = materialise(wants.join(holds.select("pool").distinct(), "pool", "left_semi"), "wants")
+    asked = materialise(wants.groupBy("c", "pool").agg(F.min("rank").alias("rank")), "asked")  # dear to find, and read twice
+    holds = materialise(holds.join(asked.select("pool").distinct(), "pool", "left_semi").distinct(), "holds")
+    wants = materialise(asked.join(holds.select("pool").distinct(), "pool", "left_semi"), "wants")
+    discard(asked)
     new, wants = _fewer_classes(new, wants)
     class_, pool = lambda c: F.concat(F.lit("c"), c), lambda p: F.concat(F.lit("p"), p)
     first = holds.groupBy("old_id").agg(F.min("pool").alias("first"))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from lorebase.operators import parse
+from lorebase.operators import contain, parse, walk
 from lorebase.plans import catalogue, chains  # noqa: F401 (registers its queries)
 
 
@@ -41,3 +41,28 @@ def test_person_after_a_mark(spark):
     rows = spark.createDataFrame([("p", text)], "path string, text string")
     found = {r["case_no"]: (r["name"], r["case_date"], r["diagnosis"]) for r in parse.case_records(rows).collect()}
     assert found == {1: (None, "2020-1-1", "a"), 3: ("Li", "2020-1-3", "b")}
+
+
+def test_strings_are_read_once(spark, tmp_path):
+    """What is compared are the distinct strings, written once, not the tables they come from."""
+    for name, column in (("a", "x"), ("b", "y")):
+        spark.createDataFrame([(v,) for v in ("pain", "a pain of old", "", "none")], f"{column} string").write.parquet(f"{tmp_path}/{name}")
+    a, b = spark.read.parquet(f"{tmp_path}/a"), spark.read.parquet(f"{tmp_path}/b")
+    for found in (contain.contained(a, b), contain.either(a, b)):
+        assert not [f for f in found.inputFiles() if str(tmp_path) in f]
+        assert ("pain", "a pain of old") in {tuple(r) for r in found.collect()}
+
+
+def test_wants_are_found_once(spark):
+    """The walk works out what is wanted once."""
+    asked = spark.sparkContext.accumulator(0)
+
+    def seen(v):
+        asked.add(1)
+        return v
+
+    wants = spark.createDataFrame([("c", "p"), ("c", "q"), ("d", "q")], "c string, pool string").withColumn("c", F.udf(seen, "string")("c")).withColumn("rank", F.lit(1))
+    new = spark.createDataFrame([(1, "c"), (2, "d")], "new_id long, c string")
+    holds = spark.createDataFrame([("p", 7, 0), ("q", 8, 0)], "pool string, old_id long, place long")
+    assert sorted(map(tuple, walk.walked(new, wants, holds).collect())) == [(1, 7, 1), (2, 8, 1)]
+    assert asked.value == 3
