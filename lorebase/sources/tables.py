@@ -17,9 +17,21 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
 SHUFFLED = "8m"
 
 
+#: Files up to this size may be broadcast unasked. What is made of a file may be a hundred times as large, and Spark guesses it by the file's size.
+SMALL_FILE = "256k"
+#: What has been shuffled, and so is measured, may still be broadcast up to this size.
+SMALL_ROWS = "8m"
+
+#: What a task reads of a file; it sets how much a first count or distinct holds.
+SCANNED = "32m"
+
+
 def small_tasks(spark: SparkSession) -> None:
-    """Shuffled partitions are put together up to SHUFFLED from now on, so that a task's sorts and hash tables stay small in large tables."""
+    """From now on a task reads SCANNED of a file and shuffled partitions are put together up to SHUFFLED, so that a task's sorts and hash tables stay small in large tables, and only measured or very small tables are broadcast."""
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", SHUFFLED)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", SCANNED)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", SMALL_FILE)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", SMALL_ROWS)
 
 
 def dealt(df: DataFrame, key: str) -> DataFrame:

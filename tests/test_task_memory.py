@@ -66,3 +66,12 @@ def test_wants_are_found_once(spark):
     holds = spark.createDataFrame([("p", 7, 0), ("q", 8, 0)], "pool string, old_id long, place long")
     assert sorted(map(tuple, walk.walked(new, wants, holds).collect())) == [(1, 7, 1), (2, 8, 1)]
     assert asked.value == 3
+
+
+def test_what_is_made_of_a_small_file_is_not_broadcast(spark, tmp_path):
+    """A file of much less than 10 MB may hold a million rows; it is shuffled, and only what is measured as small is broadcast."""
+    spark.range(1_000_000).select("id", (F.col("id") % 7).alias("v")).write.parquet(f"{tmp_path}/part.parquet")
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    part = catalogue.t(spark, str(tmp_path), "part")
+    plan = part.join(part.select(F.col("id").alias("o"), F.explode(F.array(F.lit(1), F.lit(2))).alias("x")), F.col("id") == F.col("o"))._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" not in plan
