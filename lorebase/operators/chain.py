@@ -52,18 +52,30 @@ def valid_edges(db: Database, hop: Hop) -> DataFrame:
     return rows.join(ids(db, hop.source, "own"), "own", "left_semi").join(ids(db, hop.target, "far"), "far", "left_semi")
 
 
-def reduced(db: Database, hops: tuple[Hop, ...], start: DataFrame) -> list[DataFrame]:
-    """(own, far) of each hop, written: only rows on a whole path from the ids of ``start`` (one column id)."""
-    forward, reached = [], start.select(F.col("id").alias("own")).distinct()
+def reached(db: Database, hops: tuple[Hop, ...], start: DataFrame) -> list[DataFrame]:
+    """(own, far) of each hop, written: rows that a path from the ids of ``start`` (one column id) comes to."""
+    out, at = [], start.select(F.col("id").alias("own")).distinct()
     for hop in hops:
-        rows = materialise(valid_edges(db, hop).join(reached, "own", "left_semi"), "hop")
-        forward.append(rows)
-        reached = rows.select(F.col("far").alias("own")).distinct()
+        rows = materialise(valid_edges(db, hop).join(at, "own", "left_semi"), "hop")
+        out.append(rows)
+        at = rows.select(F.col("far").alias("own")).distinct()
+    return out
+
+
+def leading(forward: list[DataFrame]) -> list[DataFrame]:
+    """Of what ``reached`` gives, the rows that lead to the last hop; all but the last are written anew."""
     backward = [forward[-1]]
     for rows in reversed(forward[:-1]):
         leads = backward[0].select(F.col("own").alias("far")).distinct()
         backward.insert(0, materialise(rows.join(leads, "far", "left_semi"), "hop"))
-        discard(rows)
+    return backward
+
+
+def reduced(db: Database, hops: tuple[Hop, ...], start: DataFrame) -> list[DataFrame]:
+    """(own, far) of each hop, written: only rows on a whole path from the ids of ``start`` (one column id)."""
+    forward = reached(db, hops, start)
+    backward = leading(forward)
+    discard(*forward[:-1])
     return backward
 
 
@@ -129,9 +141,9 @@ def _side_by_side(parts: list[DataFrame], key: list[str], columns: tuple[str, ..
 def start_coverage(db: Database, symptom: str = "", hops: tuple[Hop, ...] = TO_CASES) -> DataFrame:
     """A row a hop: how many of the matching symptoms a path of so many hops begins at, of how many, and how many nodes it reaches."""
     start = matching(db, symptom).distinct()
-    parts = []
+    parts, forward = [], reached(db, hops, start)  # shorter paths begin with the same rows
     for k, hop in enumerate(hops, 1):
-        edges = reduced(db, hops[:k], start)
+        edges = leading(forward[:k])
         facts = [edges[0].agg(F.count_distinct("own").alias("covered")), edges[-1].agg(F.count_distinct("far").alias("reached")), start.agg(F.count(F.lit(1)).alias("total"))]
         parts += [f.withColumns({"step": F.lit(k), "hop": F.lit(hop.name)}) for f in facts]
     return _side_by_side(parts, ["step", "hop"], ("covered", "total", "reached"))

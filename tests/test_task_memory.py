@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from lorebase.operators import contain, parse, walk
+from lorebase.operators import chain, contain, parse, walk
 from lorebase.plans import catalogue, chains  # noqa: F401 (registers its queries)
 
 
@@ -75,3 +75,11 @@ def test_what_is_made_of_a_small_file_is_not_broadcast(spark, tmp_path):
     part = catalogue.t(spark, str(tmp_path), "part")
     plan = part.join(part.select(F.col("id").alias("o"), F.explode(F.array(F.lit(1), F.lit(2))).alias("x")), F.col("id") == F.col("o"))._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" not in plan
+
+
+def test_edges_of_a_hop_are_found_once(spark, monkeypatch):
+    """Coverage of shorter paths does not look the edge tables up again."""
+    seen, valid = [], chain.valid_edges
+    monkeypatch.setattr(chain, "valid_edges", lambda db, hop: (seen.append(hop.name), valid(db, hop))[1])
+    catalogue.QUERIES["reason_start_coverage"](spark, "/root/testdata/sf0.001")
+    assert len(seen) == 3
