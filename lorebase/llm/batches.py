@@ -6,7 +6,8 @@ sums over the bytes of a slice of the batch, without a Python object per word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +56,18 @@ def in_small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def giving_back(task: Callable) -> Callable:
+    """``task`` over Arrow batches; at its end freed memory goes back to the system, as far as the C library can do that."""
+
+    def run(batches):
+        yield from task(batches)
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return run
+
+
 def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of consecutive rows; null is empty text."""
     column = column.cast(pa.large_string())

@@ -22,6 +22,8 @@ tokens strip their surroundings or match single words only are refused.
 from __future__ import annotations
 
 import json
+import os
+from array import array
 from collections import Counter
 from functools import lru_cache
 from hashlib import sha256
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 from tokenizers import Tokenizer
 
-from lorebase.llm.batches import in_small_batches, with_columns
+from lorebase.llm.batches import giving_back, in_small_batches, with_columns
 from lorebase.sources.tables import discard, materialise
 
 MAX_WORDS, MAX_WORD_BYTES = 200_000, 24
@@ -56,6 +58,7 @@ class Words:
     """Splitting, encoding and pieces of one tokenizer file."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads of the library would each hold memory for as long as the worker lives
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
@@ -124,7 +127,7 @@ def word_table(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                     seen = Counter()
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
 
-    return in_small_batches(docs).select(F.col(text).alias("t")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return in_small_batches(docs).select(F.col(text).alias("t")).mapInArrow(giving_back(count), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 #: Steps of the histogram in a doubling of the count.
@@ -148,7 +151,7 @@ def head_of(table: DataFrame, path: str, max_words: int = MAX_WORDS) -> DataFram
         if total > max_words:
             break
         least = row["step"]
-    return short.where(F.lit(False) if least is None else F.col("step") >= least).select("word").mapInArrow(encode, "word string, ids array<int>")
+    return short.where(F.lit(False) if least is None else F.col("step") >= least).select("word").mapInArrow(giving_back(encode), "word string, ids array<int>")
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", outputs: tuple = ("ids",), max_words: int = MAX_WORDS, keep_text: bool = True) -> DataFrame:
@@ -158,7 +161,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", outputs: tuple = ("id
     head = head_of(table, path, max_words).toArrow()
     discard(table)
     # at most max_words short words with their ids
-    shared = spark.sparkContext.broadcast((head.column("word").to_pylist(), [tuple(i) for i in head.column("ids").to_pylist()]))
+    shared = spark.sparkContext.broadcast({w.as_py(): packed(i.as_py()) for w, i in zip(head.column("word"), head.column("ids"))})
     schema = docs.schema
     place = [f.name for f in schema].index(text)
     rows, kind = with_columns(docs, {o: OUTPUTS[o] for o in outputs})
@@ -168,17 +171,15 @@ def encode(docs: DataFrame, path: str, text: str = "text", outputs: tuple = ("id
 
     def run(batches):
         w = words_of(path)
-        known = dict(zip(*shared.value))
+        known = shared.value
         text_of = [str(i) for i in range(len(w.pieces))]
         for b in (part for whole in batches for part in _parts(whole, place)):
             texts = [w.find(t.as_py()) if t.is_valid else [] for t in b.column(place)]
             new = list({x for t in texts for x in t if x not in known})
-            here = dict(zip(new, w.encode(new)))
+            here = dict(zip(new, map(packed, w.encode(new))))
             out: dict[str, list] = {o: [] for o in outputs}
             for t in texts:
-                ids: list[int] = []
-                for x in t:
-                    ids += known[x] if x in known else here[x]
+                ids = unpacked(b"".join([known[x] if x in known else here[x] for x in t]))
                 if "ids" in out:
                     out["ids"].append(ids)
                 if "n_tokens" in out:
@@ -194,7 +195,16 @@ def encode(docs: DataFrame, path: str, text: str = "text", outputs: tuple = ("id
             added = [pa.array(out[o], to_arrow_type(OUTPUTS[o])) for o in outputs]
             yield pa.RecordBatch.from_arrays([*[b.column(k) for k in kept], *added], names)
 
-    return rows.mapInArrow(run, kind).toDF(*[schema.names[k] for k in kept], *outputs)
+    return rows.mapInArrow(giving_back(run), kind).toDF(*[schema.names[k] for k in kept], *outputs)
+
+
+def packed(ids: list[int]) -> bytes:
+    """Ids as one object of four bytes each: a table of words in every worker takes less than half the memory of lists."""
+    return array("i", ids).tobytes()
+
+
+def unpacked(ids: bytes) -> list[int]:
+    return array("i", ids).tolist()
 
 
 def _parts(batch: pa.RecordBatch, place: int):
