@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from lorebase.functions.identity import canonical_json, key_of
 from lorebase.functions.text import blank_to_null, like_any, list_of, markdown_html, person_name, preview, without_markup
 from lorebase.operators import audit, changes, cleanup, extract, resolve, search
-from lorebase.sources.tables import read_table, small_tasks
+from lorebase.sources.tables import many_partitions, read_table, small_tasks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +30,7 @@ def query(name: str, sql: str | None = None):
 
 def t(spark, d, name):
     small_tasks(spark)
+    many_partitions(spark, d, name)
     return read_table(spark, d, name)
 
 

@@ -22,6 +22,9 @@ SMALL_FILE = "256k"
 #: What has been shuffled, and so is measured, may still be broadcast up to this size.
 SMALL_ROWS = "8m"
 
+#: A shuffle is dealt into a partition for so many bytes of the largest table, so that one of four times the table still has partitions of SHUFFLED.
+PER_PARTITION = 2 << 20
+
 #: What a task reads of a file; it sets how much a first count or distinct holds.
 SCANNED = "32m"
 
@@ -34,6 +37,15 @@ def small_tasks(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", SMALL_ROWS)
 
 
+def many_partitions(spark: SparkSession, base: str, name: str) -> None:
+    """From now on shuffles are dealt into enough partitions for the table ``name``: they are put together up to SHUFFLED but never split, so a fixed number of them would grow with the tables."""
+    context, key = spark.sparkContext, "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{base}/{name}.parquet")
+    needed = -(-path.getFileSystem(context._jsc.hadoopConfiguration()).getContentSummary(path).getLength() // PER_PARTITION)
+    if needed > int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(key, str(needed))
+
+
 def dealt(df: DataFrame, key: str) -> DataFrame:
     """Rows dealt by ``key`` to as many tasks as a shuffle has, for work that makes much of a row: a small file is read by one task, which would do all of it."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)

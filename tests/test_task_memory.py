@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from lorebase.operators import chain, contain, parse, walk
 from lorebase.plans import catalogue, chains  # noqa: F401 (registers its queries)
+from lorebase.sources import tables
 
 
 def test_shuffled_partitions_stay_small(spark):
@@ -83,3 +84,17 @@ def test_edges_of_a_hop_are_found_once(spark, monkeypatch):
     monkeypatch.setattr(chain, "valid_edges", lambda db, hop: (seen.append(hop.name), valid(db, hop))[1])
     catalogue.QUERIES["reason_start_coverage"](spark, "/root/testdata/sf0.001")
     assert len(seen) == 3
+
+
+def test_partitions_follow_the_tables(spark, tmp_path, monkeypatch):
+    """A large table is shuffled into more partitions than the session has by default, so that none grows with it."""
+    spark.range(200_000).select("id", F.rand(1).alias("v")).write.parquet(f"{tmp_path}/part.parquet")
+    monkeypatch.setattr(tables, "PER_PARTITION", 50_000)
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    spark.conf.unset(key)
+    try:
+        rows = catalogue.t(spark, str(tmp_path), "part")
+        asked = int(spark.conf.get(key))
+        assert asked > 20 and rows.repartition("id")._jdf.queryExecution().executedPlan().toString().count(f", {asked})") == 1
+    finally:
+        spark.conf.unset(key)
