@@ -56,7 +56,9 @@ def reached(db: Database, hops: tuple[Hop, ...], start: DataFrame) -> list[DataF
     """(own, far) of each hop, written: rows that a path from the ids of ``start`` (one column id) comes to."""
     out, at = [], start.select(F.col("id").alias("own")).distinct()
     for hop in hops:
-        rows = materialise(valid_edges(db, hop).join(at, "own", "left_semi"), "hop")
+        # first what is reached: making rows distinct and looking up their own end then need no shuffle besides
+        edge = db[hop.edge].join(at.withColumnRenamed("own", hop.own), hop.own, "left_semi")
+        rows = materialise(valid_edges({**db, hop.edge: edge}, hop), "hop")
         out.append(rows)
         at = rows.select(F.col("far").alias("own")).distinct()
     return out
@@ -87,13 +89,18 @@ def paths(db: Database, symptom: str, hops: tuple[Hop, ...] = TO_CASES, names: d
     """One row a whole path: for each table on it its id and, where it has one, its name column (``names`` by table)."""
     shown = {t: "name" for t in ("symptoms", "syndromes", "formulas", "herbs")} | {"clinical_cases": "patient_id"} | (names or {})
     edges = reduced(db, hops, matching(db, symptom))
-    out = edges[0].select(F.col("own").alias(f"{hops[0].source}_id"), F.col("far").alias(f"{hops[0].target}_id"))
-    for hop, rows in zip(hops[1:], edges[1:]):
-        out = out.join(rows.select(F.col("own").alias(f"{hop.source}_id"), F.col("far").alias(f"{hop.target}_id")), f"{hop.source}_id")
-    for table in (hops[0].source, *(h.target for h in hops)):
-        label = db[table].select(F.col("id").alias(f"{table}_id"), F.col(shown[table]).alias(table))
-        out = out.join(label, f"{table}_id")
     tables = (hops[0].source, *(h.target for h in hops))
+    label = lambda table: db[table].select(F.col("id").alias(f"{table}_id"), F.col(shown[table]).alias(table))
+    rows = [e.select(F.col("own").alias(f"{h.source}_id"), F.col("far").alias(f"{h.target}_id")) for h, e in zip(hops, edges)]
+    # the last table's names are put to edges, not to paths, of which there are many times as many; so no path is shuffled after the last hop
+    rows[-1] = rows[-1].join(label(tables[-1]), f"{tables[-1]}_id")
+    out = rows[0]
+    for hop, more in zip(hops[1:-1], rows[1:-1]):
+        out = out.join(more, f"{hop.source}_id")
+    for table in tables[:-1]:
+        out = out.join(label(table), f"{table}_id")
+    if len(hops) > 1:
+        out = out.join(rows[-1], f"{hops[-1].source}_id")
     return out.select(*[c for t in tables for c in (f"{t}_id", t)])
 
 

@@ -98,3 +98,10 @@ def test_partitions_follow_the_tables(spark, tmp_path, monkeypatch):
         assert asked > 20 and rows.repartition("id")._jdf.queryExecution().executedPlan().toString().count(f", {asked})") == 1
     finally:
         spark.conf.unset(key)
+
+
+def test_paths_are_not_shuffled_for_names(spark):
+    """Names of the last table are joined to the edges of the last hop; what is joined last are the paths."""
+    plan = catalogue.QUERIES["reason_cases"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert "formulas_id" in joins[0] and "clinical_cases_id" not in joins[0]
