@@ -1,8 +1,8 @@
 """Checks made from the declared catalogue: rules of rows, keys and references of all tables.
 
-All rules of a table's rows are counted in one aggregate. The keys of all tables are found
-doubled in one pass over (table, key), and all references are held against one index of ids in
-one anti join, however many tables there are.
+All rules of a table's rows are counted in one aggregate. Each key is found doubled by its own
+columns, so that no task holds names of tables or keys as text, and all references are held
+against one index of ids in one anti join, however many tables there are.
 """
 
 from __future__ import annotations
@@ -53,10 +53,10 @@ def doubled_keys(db: Database) -> DataFrame:
         for key in (spec.key, *((u,) for u in spec.unique)) if spec else ():
             if set(key) <= set(df.columns):
                 rows = df.where(reduce(Column.__and__, [F.col(c).isNotNull() for c in key]))
+                doubled = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
                 value = F.concat_ws(",", *[F.col(c).cast("string") for c in key])
-                parts.append(rows.select(F.lit(name).alias("table"), F.lit("key:" + ",".join(key)).alias("rule"), value.alias("key")))
-    rows = _all(db, parts) if parts else _all(db, []).withColumn("key", F.lit(""))
-    return rows.groupBy("table", "rule", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                parts.append(doubled.select(F.lit(name).alias("table"), F.lit("key:" + ",".join(key)).alias("rule"), value.alias("key"), "n"))
+    return _all(db, parts) if parts else _all(db, []).select("table", "rule", F.lit("").alias("key"), "n")
 
 
 def broken_references(db: Database) -> DataFrame:

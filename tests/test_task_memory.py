@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from lorebase.operators import chain, contain, parse, walk
+from lorebase.operators import chain, constraints, contain, parse, walk
 from lorebase.plans import catalogue, chains  # noqa: F401 (registers its queries)
 from lorebase.sources import tables
 
@@ -105,3 +105,14 @@ def test_paths_are_not_shuffled_for_names(spark):
     plan = catalogue.QUERIES["reason_cases"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join Inner" in line]
     assert "formulas_id" in joins[0] and "clinical_cases_id" not in joins[0]
+
+
+def test_keys_are_counted_as_they_are(spark):
+    """Rows are dealt by the key's own columns, without the names of table and key; strings with commas stay apart."""
+    edges = spark.createDataFrame([(1, 2), (1, 2), (3, 4)], "formula_id long, herb_id long")
+    found = constraints.doubled_keys({"formula_herbs": edges, "formulas": spark.createDataFrame([(5,), (5,), (6,)], "id long")})
+    assert {tuple(r) for r in found.collect()} == {("formula_herbs", "key:formula_id,herb_id", "1,2", 2), ("formulas", "key:id", "5", 2)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "hashpartitioning" in line and "key:" in line or "hashpartitioning(table" in line]
+    apart = spark.createDataFrame([("a,b", "c"), ("a", "b,c")], "formula_id string, herb_id string")
+    assert constraints.doubled_keys({"formula_herbs": apart}).count() == 0
